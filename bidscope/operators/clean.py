@@ -187,13 +187,13 @@ def exactly_one_customer(df: DataFrame, group: str = AUCTION) -> tuple[DataFrame
     return kept.where(F.col("_c") == 1).drop("_c"), rejected
 
 
-def winners(df: DataFrame) -> DataFrame:
+def winners(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """winning rows as (File, WinnerId, Time, MarketplaceId, ProductId,
-    IsCustomer, LandedPrice)."""
+    IsCustomer, LandedPrice) plus any ``carry`` columns."""
     landed = F.col(LANDED) if LANDED in df.columns else F.col(LISTING) + F.col(SHIPPING)
     return df.where(F.col(WINNER) == 1).select(
         F.col(AUCTION).alias("File"), F.col(SELLER).alias("WinnerId"), F.col(TIME).alias("Time"),
-        MARKET, PRODUCT, CUSTOMER, landed.alias(LANDED))
+        MARKET, PRODUCT, CUSTOMER, landed.alias(LANDED), *carry)
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

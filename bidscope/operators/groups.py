@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Keys whose groups are bounded by the data model -> window strategy.
-BOUNDED_KEYS = {("CompetitionName",)}
+BOUNDED_KEYS = {("CompetitionName",), ("CompetitionName", "clf")}
 STRATEGY = {"default": None}  # None: choose per key; or force "join"/"window"
 
 

@@ -22,6 +22,60 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
 
+# Row key of the auction view (unique together with l_shipdate).
+KEY = ["l_orderkey", "l_linenumber", "ProductId", "SellerId", "CompetitionName"]
+KEY_SQL = ", ".join(KEY)
+LANDED_SQL = "lp as (select *, ListingPrice+ShippingPrice as LandedPrice from offers)"
+
+# Per-auction context (winner price G3, customer, bounds G4) in DuckDB SQL.
+CONTEXT_SQL = LANDED_SQL + """,
+ctx as (select CompetitionName,
+   cast(sum(case when IsBuyBoxWinner=1 then 1 else 0 end) as bigint) as n_winners,
+   min(LandedPrice) as MinPrice, max(LandedPrice) as MaxPrice,
+   coalesce(min(case when IsBuyBoxWinner=1 then LandedPrice end), min(LandedPrice)) as WinnerPrice,
+   max(case when IsCustomer=1 then LandedPrice end) as CustomerPrice,
+   max(case when IsCustomer=1 then IsBuyBoxWinner end) as CustomerStatus
+  from lp group by CompetitionName),
+bnd as (select *,
+   case when CustomerStatus=1 then greatest(WinnerPrice, MinPrice)
+        when CustomerPrice > WinnerPrice then greatest(WinnerPrice, MinPrice)
+        else greatest(CustomerPrice - CustomerPrice*0.1::double, MinPrice) end as lo,
+   case when CustomerStatus=1 then WinnerPrice + WinnerPrice*0.1::double
+        when CustomerPrice > WinnerPrice then least(CustomerPrice, WinnerPrice + WinnerPrice*0.1::double)
+        else WinnerPrice end as hi,
+   WinnerPrice as mid from ctx)"""
+
+
+def sql_linspace(a: str, b: str, n: int) -> str:
+    if n == 1:
+        return f"[{a}]"
+    return (f"list_transform(range(0,{n}), lambda i: case when i={n - 1} then ({b})::double "
+            f"else i*((({b})-({a}))/{n - 1}) + ({a}) end)")
+
+
+def sql_logspace(a: str, b: str, n: int) -> str:
+    return (f"list_transform({sql_linspace(f'log10({a})', f'log10({b})', n)}, "
+            f"lambda e: pow(10.0::double, e))")
+
+
+def sql_round2(lst: str) -> str:
+    return f"list_transform({lst}, lambda x: round_even(x*100.0::double, 0)/100.0::double)"
+
+
+def sql_unique(lst: str) -> str:
+    return f"list_sort(list_distinct({lst}))"
+
+
+def sql_grid(lo: str, mid: str, hi: str) -> str:
+    up80 = sql_unique(sql_round2(sql_logspace(mid, hi, 80)))
+    full50 = sql_unique(sql_round2(sql_logspace(lo, hi, 50)))
+    up50 = sql_unique(sql_round2(sql_logspace(mid, hi, 50)))
+    pv = f"list_min({up50})"
+    mirror = (f"list_transform(list_filter({up50}, lambda e: ({pv} - (e - {pv})) >= {lo} "
+              f"and e <> {lo}), lambda e: {pv} - (e - {pv}))")
+    both = sql_unique(f"list_concat({mirror}, {up50})")
+    return f"(case when {lo} = {mid} then {up80} when {mid} = {hi} then {full50} else {both} end)"
+
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round double/float columns (the comparison precision)."""
@@ -60,4 +114,4 @@ def query(name: str, sql: str | None = None, view: bool = True):
 
 # Query definitions live in catalog_*.py modules; importing them registers.
 def load_all() -> None:
-    from bidscope.plans import catalog_core  # noqa: F401
+    from bidscope.plans import catalog_core, catalog_scalar  # noqa: F401
