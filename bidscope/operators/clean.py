@@ -206,6 +206,21 @@ def became_customer(events: DataFrame) -> DataFrame:
     return events.where((F.col("IsCustomer") == 0) & (F.col("Next") == 1))
 
 
+def reject_outliers(df: DataFrame, col: str, by: Sequence[str] = (PRODUCT,),
+                    m: float = 2.0) -> DataFrame:
+    """keep rows with |x - median| / MAD < m per group; a group with
+    MAD = 0 keeps all its rows.  Medians are exact and skew-safe
+    (distributed ranks, see ``ranking.py``)."""
+    from bidscope.operators.ranking import quantiles
+    by = list(by)
+    med = quantiles(df, col, [0.5], by).withColumnRenamed("q50", "_med")
+    d = df.join(med, on=by, how="left").withColumn("_dev", F.abs(F.col(col) - F.col("_med")))
+    mad = quantiles(d, "_dev", [0.5], by).withColumnRenamed("q50", "_mad")
+    d = d.join(mad, on=by, how="left")
+    keep = (F.col("_mad") == 0) | (F.col("_dev") / F.col("_mad") < F.lit(m))
+    return d.where(keep).drop("_med", "_dev", "_mad")
+
+
 def required_fields(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with all required fields, rows missing one)."""
     ok = F.lit(True)

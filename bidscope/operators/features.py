@@ -175,3 +175,73 @@ def normalise_all(df: DataFrame, group: str = AUCTION,
             if f.name not in exclude and f.name != group
             and isinstance(f.dataType, T.NumericType)]
     return minmax(df, group, cols, constant=constant)
+
+
+def lowest_n_offers(df: DataFrame, n: int = 20, group: str = AUCTION,
+                    tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The n lowest landed prices of each auction (ties by
+    ``tiebreak`` columns); ``offer_rank`` is 1-based."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(group).orderBy(F.col(LANDED), *[F.col(c) for c in tiebreak])
+    return df.withColumn("offer_rank", F.row_number().over(w)).where(F.col("offer_rank") <= n)
+
+
+def auction_split_flags(df: DataFrame, ratio: float = 0.3, time_col: str = "Time",
+                        group: str = AUCTION) -> DataFrame:
+    """(auction, is_test): the first round(ratio * n) auctions in
+    (time, name) order are the test set (half-even rounding); whole
+    auctions stay on one side.  The order is an exact distributed rank,
+    not a single-partition window."""
+    from bidscope.operators.ranking import global_rank
+    auctions = df.groupBy(group).agg(F.min(time_col).alias("_t"))
+    ranked = global_rank(auctions, ["_t", group], "_r")
+    n = auctions.count()
+    n_test = round(ratio * n)            # Python round: half to even
+    return ranked.select(group, (F.col("_r") < F.lit(n_test)).alias("is_test"))
+
+
+def auction_order_split(df: DataFrame, ratio: float = 0.3, time_col: str = "Time",
+                        group: str = AUCTION) -> tuple[DataFrame, DataFrame]:
+    """(train, test) offers split by auction order."""
+    flags = auction_split_flags(df, ratio, time_col, group)
+    tagged = df.join(flags, on=group, how="inner")
+    return (tagged.where(~F.col("is_test")).drop("is_test"),
+            tagged.where(F.col("is_test")).drop("is_test"))
+
+
+def gower_to_ideal(df: DataFrame, group: str = AUCTION,
+                   min_cols: Sequence[str] = (LANDED, MAX_HOURS),
+                   max_cols: Sequence[str] = ("SellerFeedbackCount",),
+                   one_cols: Sequence[str] = ("IsFulfilledByAmazon", "IsFeaturedMerchant"),
+                   zero_cols: Sequence[str] = (COMPETES_PLATFORM,),
+                   out: str = "GowerToIdeal") -> DataFrame:
+    """Gower dissimilarity of each offer to its auction's ideal profile.
+
+    Ideal: min of ``min_cols``, max of ``max_cols``, 1 for ``one_cols``,
+    0 for ``zero_cols``.  Per column (range over the auction plus the
+    ideal row): both values scaled by the column max (0 if the max is 0),
+    |diff| / (1 - min/max) (0 if that range is 0); nulls weigh 0; the
+    distance is the weighted mean.  One group aggregate, no self join.
+    """
+    spec = ([(c, "min") for c in min_cols] + [(c, "max") for c in max_cols]
+            + [(c, "one") for c in one_cols] + [(c, "zero") for c in zero_cols])
+    aggs = {}
+    for i, (c, _) in enumerate(spec):
+        aggs[f"_gmn{i}"] = F.min(F.col(c).cast("double"))
+        aggs[f"_gmx{i}"] = F.max(F.col(c).cast("double"))
+    res = with_group_stats(df, group, aggs)
+    num, den = F.lit(0.0), F.lit(0.0)
+    for i, (c, kind) in enumerate(spec):
+        gmn, gmx = F.col(f"_gmn{i}"), F.col(f"_gmx{i}")
+        ideal = {"min": gmn, "max": gmx, "one": F.lit(1.0), "zero": F.lit(0.0)}[kind]
+        mx = F.greatest(gmx, ideal)
+        mn = F.least(gmn, ideal)
+        rng = F.when(mx == 0, F.lit(0.0)).otherwise(F.lit(1.0) - mn / mx)
+        x = F.col(c).cast("double")
+        xs = F.when(mx != 0, x / mx).otherwise(F.lit(0.0))
+        vs = F.when(mx != 0, ideal / mx).otherwise(F.lit(0.0))
+        sij = F.when(rng != 0, F.abs(xs - vs) / rng).otherwise(F.lit(0.0))
+        wij = F.when(x.isNull(), F.lit(0.0)).otherwise(F.lit(1.0))
+        num = num + F.coalesce(sij, F.lit(0.0)) * wij
+        den = den + wij
+    return res.withColumn(out, F.when(den != 0, num / den).otherwise(F.lit(0.0))).drop(*aggs.keys())

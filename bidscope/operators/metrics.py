@@ -27,10 +27,10 @@ def distinct_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     out = None
     for c in cols:
-        one = df.select(c).where(F.col(c).isNotNull()).distinct().agg(
-            F.count(F.lit(1)).alias(f"distinct_{c}"))
-        out = one if out is None else out.join(one, how="inner")  # 1 x 1 rows
-    return out
+        one = (df.select(c).where(F.col(c).isNotNull()).distinct()
+                 .agg(F.count(F.lit(1)).alias(f"distinct_{c}")).withColumn("_k", F.lit(1)))
+        out = one if out is None else out.join(one, on="_k")  # one-row results side by side
+    return out.drop("_k")
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,

@@ -88,9 +88,38 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*out)
 
 
+def positive_zero(sql: str, digits: int = DIGITS) -> str:
+    """Wrap every ``round(x, digits)`` as ``(round(x, digits) + 0.0)`` so a
+    tiny negative rounds to +0.0 as Spark's decimal rounding does."""
+    out, i, tail = [], 0, f", {digits})"
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = sql[j:k + 1]
+        out.append(sql[i:j])
+        fixed = "round(" + positive_zero(inner[6:], digits)
+        out.append("(" + fixed + " + 0.0::double)" if inner.endswith(tail) else fixed)
+        i = k + 1
+
+
 def with_view(body: str) -> str:
     """Prefix SQL with the auction view CTEs (``k``, ``offers``)."""
-    body = body.strip()
+    body = positive_zero(body.strip())
     if body.lower().startswith("with "):
         return "with " + VIEW_SQL.strip() + ",\n" + body[5:]
     return "with " + VIEW_SQL.strip() + "\n" + body
@@ -107,11 +136,11 @@ def query(name: str, sql: str | None = None, view: bool = True):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_view(sql) if view else sql
+            ORACLES[name] = with_view(sql) if view else positive_zero(sql)
         return fn
     return deco
 
 
 # Query definitions live in catalog_*.py modules; importing them registers.
 def load_all() -> None:
-    from bidscope.plans import catalog_core, catalog_scalar  # noqa: F401
+    from bidscope.plans import catalog_core, catalog_scalar, catalog_tables  # noqa: F401
