@@ -263,8 +263,9 @@ def backtest(results: DataFrame, recommended: Sequence[str]) -> DataFrame:
     parts = [F.struct(F.lit(c).alias("clf"),
                       (round2(F.col(c)) - round2(F.col("NextPrice"))).alias("gap"))
              for c in recommended]
-    return (results.select("File", "CustomerStatus", F.explode(F.array(*parts)).alias("r"))
-                   .select("File", "CustomerStatus", "r.clf", "r.gap"))
+    keep = [c for c in ("File", "NextFile", "CustomerStatus") if c in results.columns]
+    return (results.select(*keep, F.explode(F.array(*parts)).alias("r"))
+                   .select(*keep, "r.clf", "r.gap"))
 
 
 def split_by_gap(gaps: DataFrame) -> DataFrame:
@@ -277,5 +278,6 @@ def split_by_gap(gaps: DataFrame) -> DataFrame:
 
 def compare_classifiers(gaps: DataFrame, a: str, b: str) -> DataFrame:
     """Two recommenders side by side per event, with the gap difference."""
-    wide = gaps.groupBy("File").pivot("clf", [a, b]).agg(F.first("gap"))
+    keys = [c for c in ("File", "NextFile") if c in gaps.columns]
+    wide = gaps.groupBy(*keys).pivot("clf", [a, b]).agg(F.first("gap"))
     return wide.withColumn("gap_diff", F.col(a) - F.col(b))
