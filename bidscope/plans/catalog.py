@@ -143,5 +143,5 @@ def query(name: str, sql: str | None = None, view: bool = True):
 
 # Query definitions live in catalog_*.py modules; importing them registers.
 def load_all() -> None:
-    from bidscope.plans import (catalog_core, catalog_reprice, catalog_scalar,  # noqa: F401
-                                catalog_tables)
+    from bidscope.plans import (catalog_core, catalog_models, catalog_reprice,  # noqa: F401
+                                catalog_scalar, catalog_tables)
