@@ -122,18 +122,29 @@ def score_candidates(frame: DataFrame, prob: Column | str | float = 0.5,
     keys = list(keys)
     p = prob if isinstance(prob, Column) else (F.col(prob) if isinstance(prob, str)
                                                else F.lit(float(prob)))
-    df = frame.withColumn("_h", ship_hours_floor(MAX_HOURS))
-    df = with_group_stats(df, keys, {"_ml": F.min(LANDED), "_mh": F.min("_h")})
-    df = df.withColumn(IDEAL_POINT, F.col("_ml") * F.col("_mh") - F.col(LANDED) * F.col("_h"))
-    df = minmax(df.drop("_ml", "_mh"), keys, IDEAL_POINT)
+    df = frame.withColumn("_h", ship_hours_floor(MAX_HOURS)) \
+              .withColumn("_x", F.col(LANDED) * F.col("_h")) \
+              .withColumn("_wt", normal_weight(LANDED, "WinnerPrice"))
+    # pass 1: ideal point = c - x with c = min(L)*min(H); subtracting from a
+    # constant is monotone in IEEE arithmetic, so its group min / max are
+    # c - max(x) / c - min(x) exactly and need no second pass; the weight
+    # depends on the row only, so its min / max come from the same pass
+    df = with_group_stats(df, keys, {"_ml": F.min(LANDED), "_mh": F.min("_h"),
+                                     "_xhi": F.max("_x"), "_xlo": F.min("_x"),
+                                     "_wlo": F.min("_wt"), "_whi": F.max("_wt")})
+    c = F.col("_ml") * F.col("_mh")
+    ideal = c - F.col("_x")
+    df = df.withColumn(IDEAL_POINT, minmax_expr(ideal, c - F.col("_xhi"), c - F.col("_xlo")))
     df = df.withColumn("NewScore", new_score_expr(p))
-    df = df.withColumn("_wt", normal_weight(LANDED, "WinnerPrice"))
-    df = minmax(df, keys, ["NewScore", "_wt"], suffix="_n")
+    df = df.withColumn("_wt_n", minmax_expr(F.col("_wt"), F.col("_wlo"), F.col("_whi")))
+    # pass 2: NewScore range; pass 3: blend range
+    df = minmax(df, keys, ["NewScore"], suffix="_n")
     df = df.withColumn("_blend", F.col("NewScore_n") + F.col("_wt_n"))
     df = with_group_stats(df, keys, {"_blo": F.min("_blend"), "_bhi": F.max("_blend")})
     score = minmax_expr(F.col("_blend"), F.col("_blo"), F.col("_bhi")) * 100.0
-    return df.withColumn("Score", score).drop("_h", "_wt", "NewScore_n", "_wt_n", "_blend",
-                                              "_blo", "_bhi")
+    return df.withColumn("Score", score).drop(
+        "_h", "_x", "_wt", "_ml", "_mh", "_xhi", "_xlo", "_wlo", "_whi", "NewScore_n", "_wt_n",
+        "_blend", "_blo", "_bhi")
 
 
 def _poly_fit_groups(pdf: pd.DataFrame, keys: list[str], x: str, y: str, degree: int,

@@ -82,3 +82,22 @@ def test_csv_permissive_and_markets(spark, offers):
     assert sizes.where(F.col("MarketplaceId").isNull()).first()["n_rows"] == offers.count()
     one = back.select("MarketplaceId").first()[0]
     assert read_markets(spark, out, [one]).select("MarketplaceId").distinct().count() == 1
+
+
+def test_recommend_stream_foreach_batch(spark):
+    """T4: each micro-batch of new notifications is repriced with the batch
+    operators (a whole auction arrives in one file, so in one batch)."""
+    from bidscope.operators import reprice as RP
+    root, _ = _tree()
+    out = tempfile.mkdtemp(prefix="bidscope-rec-")
+    offers, _ = S.stream_notifications(spark, root)
+
+    def sink(batch, epoch):
+        rec = RP.reprice(batch, degree=1)
+        rec.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = S.recommend_stream(offers, sink, tempfile.mkdtemp(prefix="bidscope-ck-"))
+    q.awaitTermination(180)
+    got = spark.read.parquet(out)
+    assert {r["File"] for r in got.collect()} == {"good1", "good2"}
+    assert got.where(F.col("RecommendedPrice") <= 0).count() == 0
