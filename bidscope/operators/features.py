@@ -192,10 +192,9 @@ def auction_split_flags(df: DataFrame, ratio: float = 0.3, time_col: str = "Time
     (time, name) order are the test set (half-even rounding); whole
     auctions stay on one side.  The order is an exact distributed rank,
     not a single-partition window."""
-    from bidscope.operators.ranking import global_rank
+    from bidscope.operators.ranking import global_rank_count
     auctions = df.groupBy(group).agg(F.min(time_col).alias("_t"))
-    ranked = global_rank(auctions, ["_t", group], "_r")
-    n = auctions.count()
+    ranked, n = global_rank_count(auctions, ["_t", group], "_r")
     n_test = round(ratio * n)            # Python round: half to even
     return ranked.select(group, (F.col("_r") < F.lit(n_test)).alias("is_test"))
 

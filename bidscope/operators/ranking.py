@@ -25,9 +25,17 @@ def _cols(xs) -> list:
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_rank",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, total: str | None = None) -> DataFrame:
     """Append a 0-based rank of every row in ``order`` (ties broken by
-    position, so ranks are unique)."""
+    position, so ranks are unique); ``total`` names an optional column
+    holding the row count (known from the per-partition counts)."""
+    res, n = global_rank_count(df, order, out, partitions)
+    return res.withColumn(total, F.lit(n).cast("long")) if total else res
+
+
+def global_rank_count(df: DataFrame, order: Sequence[str | Column], out: str = "_rank",
+                      partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``global_rank`` plus the exact row count (summed per-partition counts)."""
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(order)
@@ -43,9 +51,10 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_rank"
         acc += n
     off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (s.join(F.broadcast(off), on="_pid", how="left")   # one row per partition
+    res = (s.join(F.broadcast(off), on="_pid", how="left")   # one row per partition
              .withColumn(out, F.col("_off") + local)
              .drop("_pid", "_mid", "_off"))
+    return res, acc
 
 
 def group_rank(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
@@ -72,8 +81,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float],
     if by:
         r = group_rank(src, by, ["_x"])
     else:
-        r = global_rank(src, ["_x"]).withColumn("_k", F.lit(1))
-        r = r.join(r.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")), on="_k").drop("_k")
+        r = global_rank(src, ["_x"], total="_n")
     aggs = []
     want = F.lit(False)
     for p in probs:
