@@ -231,12 +231,22 @@ def required_fields(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Data
 
 def clean(df: DataFrame, min_fraction: float = 0.9, protect: Sequence[str] = ID_COLUMNS,
           label: str = WINNER) -> DataFrame:
-    """F1 -> F2 -> F3 -> F4 -> F5, in that order."""
-    df = drop_duplicate_columns(df, protect)
-    df = drop_duplicate_rows(df)
-    df = drop_constant_columns(df, protect, label)
-    df = drop_sparse_columns(df, min_fraction)
-    return exactly_one_winner(df)
+    """F1 -> F2 -> F3 -> F4 -> F5, with the result of that order.
+
+    Duplicate-column and constant-column verdicts do not change when
+    duplicate rows are removed, so both are taken from the input in one
+    job (F1 + F3 aggregates, one verdict row per column to the driver).  The sparse-column threshold (F4) counts rows after
+    de-duplication, so the de-duplicated frame is kept for that pass and
+    the final winner filter (F5).
+    """
+    from pyspark import StorageLevel
+    dup = duplicate_column_report(df, protect)
+    const = constant_column_report(df, protect, label)
+    verdicts = dup.select("column", F.col("duplicate").alias("drop")).unionByName(
+        const.select("column", F.col("constant").alias("drop")))
+    gone = {r["column"] for r in verdicts.collect() if r["drop"]}   # one row per column
+    kept = drop_duplicate_rows(df.drop(*gone)).persist(StorageLevel.MEMORY_AND_DISK)
+    return exactly_one_winner(drop_sparse_columns(kept, min_fraction))
 
 
 def clean_report(df: DataFrame, min_fraction: float = 0.9, protect: Sequence[str] = ID_COLUMNS,
