@@ -59,3 +59,22 @@ def test_exact_quantiles_match_numpy(spark):
         assert [q[g]["q25"], q[g]["q50"], q[g]["q75"]] == pytest.approx(list(ref), abs=1e-9)
     r = global_rank(df, ["v", "g"]).agg(F.min("_rank"), F.max("_rank"), F.countDistinct("_rank")).first()
     assert tuple(r) == (0, 1000, 1001)
+
+
+def test_knn_matches_brute_force(spark):
+    """Band-join kNN equals the NumPy brute force, clustered data."""
+    import numpy as np
+    from bidscope.operators.knn import knn_vote
+    rng = np.random.default_rng(7)
+    centers = rng.normal(size=(4, 8))
+    pts = np.vstack([c + 0.05 * rng.normal(size=(60, 8)) for c in centers])
+    labels = rng.integers(0, 3, size=len(pts))
+    df = spark.createDataFrame([(i, [float(x) for x in p], int(l)) for i, (p, l) in
+                                enumerate(zip(pts, labels))], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["predicted"] for r in knn_vote(df, 3).collect()}
+    d = ((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(pts)):
+        nn = sorted(range(len(pts)), key=lambda j: (d[i, j], j))[:3]
+        vals, counts = np.unique(labels[nn], return_counts=True)
+        assert got[i] == int(vals[np.argmax(counts)])
