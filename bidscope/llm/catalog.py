@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bidscope.llm.exact_dedup import exact_dedup
+from bidscope.llm.near_dedup import near_dedup
+from bidscope.llm.packing import pack
+from bidscope.llm.quality import score_quality
 from bidscope.llm.substring_dedup import substring_dedup
+from bidscope.llm.toxicity import score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -41,3 +46,46 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by an earlier 20-word window go; one row per document."""
     return substring_dedup(table(spark, sf_dir, "documents"), k=20)
+
+
+def fold(n: int) -> Column:
+    """The fold of a row: crc32 of its id as text, modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def _scored(scores: DataFrame, held_out: Column, least: float) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens; one row per piece."""
+    return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048, separator=0)
+
+
+@query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents (five-word shingles, similarity 0.8); one row per document."""
+    return near_dedup(table(spark, sf_dir, "documents"), shingle=5, threshold=0.8)
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its nearest labelled neighbours."""
+    scores = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                           table(spark, sf_dir, "labels"), fold(5) != 0)
+    return _scored(scores, fold(5) == 0, 0.3)
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by positive-unlabelled learning."""
+    scores = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            table(spark, sf_dir, "labels"), fold(3) != 1)
+    return _scored(scores, fold(3) == 1, 0.7)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-SLICE_BYTES = 4 << 20          # texts are taken in slices of about this size
+SLICE_BYTES = 2 << 20          # texts are taken in slices of about this size
 _BASE = U64(0x9E3779B97F4A7C55)
 _WORD_BASE = U64(0xD1B54A32D192ED03)
 _cache: dict = {}
@@ -62,12 +62,13 @@ def buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], body
 
 
-def slices(col, limit: int = SLICE_BYTES):
+def slices(col, limit: int = SLICE_BYTES, max_rows: int = 1 << 16):
     """Yield (first row, last row + 1, offsets from 0, bytes) of whole texts."""
     off, body = buffers(col)
     a, n = 0, len(off) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1)
+        b = min(b, a + max_rows)
         yield a, b, off[a:b + 1] - off[a], body[off[a]:off[b]]
         a = b
 
@@ -86,11 +87,17 @@ def spans(body: np.ndarray, off: np.ndarray, gap: np.ndarray = _GAP):
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span."""
-    up, down = _pairs(_BASE, len(body))
+def byte_sums(body: np.ndarray) -> np.ndarray:
+    """Prefix sums from which any span of ``body`` is hashed."""
+    up, _ = _pairs(_BASE, len(body))
     sums = np.zeros(len(body) + 1, U64)
     np.cumsum(_BYTE[body] * up[:len(body)], out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span, from ``byte_sums``."""
+    _, down = _pairs(_BASE, len(sums))
     size = (ends - starts).astype(U64)
     return mix((sums[ends] - sums[starts]) * down[starts] + size * U64(0x2545F4914F6CDD1D))
 
@@ -99,7 +106,7 @@ def words(body: np.ndarray, off: np.ndarray):
     """(hash, row, start, end) of every word of a slice."""
     starts, ends = spans(body, off)
     row = np.searchsorted(off, starts, "right") - 1
-    return span_hashes(body, starts, ends), row, starts, ends
+    return span_hashes(byte_sums(body), starts, ends), row, starts, ends
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
@@ -113,6 +120,16 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:n]) * down[:n])
 
 
+def row_hashes(h: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of each row's whole sequence of values (``first``: first_places)."""
+    g = mix(h ^ U64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
+    up, down = _pairs(_WORD_BASE, len(g))
+    sums = np.zeros(len(g) + 1, U64)
+    np.cumsum(g * up[:len(g)], out=sums[1:])
+    size = np.diff(first).astype(U64)
+    return mix((sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]] + size)
+
+
 def inside(row: np.ndarray, k: int) -> np.ndarray:
     """Whether the k values from each place belong to one row."""
     n = len(row) - k + 1

@@ -1,8 +1,11 @@
+import os
 import random
+import sys
 
 import pytest
 
-WORDS = ["ab", "cde", "the", "of", "é", "naïve", "x1", "zz", "longerword", "and"]
+sys.path.insert(0, os.path.dirname(__file__))
+from llm_fixtures import prose  # noqa: E402
 
 
 @pytest.fixture
@@ -10,11 +13,6 @@ def rng():
     return random.Random(7)
 
 
-def prose(rng, n, words=None):
-    return " ".join(rng.choice(words or WORDS) + (str(rng.randint(0, 400)) if rng.random() < .7 else "")
-                    for _ in range(n))
-
-
 @pytest.fixture
 def corpus(rng):
     """Texts with exact and near copies, shared passages, odd spaces, empty and null ones."""
