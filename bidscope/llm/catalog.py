@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidscope.llm.decontaminate import contaminated
 from bidscope.llm.exact_dedup import exact_dedup
+from bidscope.llm.line_dedup import line_dedup
 from bidscope.llm.near_dedup import near_dedup
 from bidscope.llm.packing import pack
 from bidscope.llm.quality import score_quality
+from bidscope.llm.revisit import resolve_revisits
 from bidscope.llm.substring_dedup import substring_dedup
+from bidscope.llm.token_counts import token_counts
 from bidscope.llm.toxicity import score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +36,84 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document; one row per document."""
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents; one row per document and item."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later repeated runs of lines; one row per document."""
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in input in the captures' schema: each page once as a response and once as a
+    not-modified answer half an hour later, with one of four kinds of validator."""
+    kind = "case page_id % 4"
+    return table(spark, sf_dir, "pages").selectExpr(
+        "page_id", "url", "html", "1700000000 + page_id * 60 as s", "concat('day ', page_id % 365) as modified",
+        "concat('\"', md5(coalesce(html, '')), '\"') as tag").selectExpr("explode(array("
+        "  named_struct('capture_id', page_id * 2, 'url', url, 'ts', timestamp_seconds(s), 'status', 200, 'headers',"
+        "    map('ETag', if(page_id % 4 = 1, null, tag), 'Last-Modified', modified, 'Content-Type', 'text/html',"
+        "        'Date', cast(s as string)), 'payload', html),"
+        "  named_struct('capture_id', page_id * 2 + 1, 'url', url, 'ts', timestamp_seconds(s + 1800), 'status', 304, 'headers',"
+        f"    map('etag', {kind} when 0 then concat('W/', tag) when 2 then '\"new\"' end,"
+        f"        'last-modified', {kind} when 1 then modified end,"
+        "        'cache-control', 'max-age=60', 'content-type', 'none', 'date', cast(s + 1800 as string)),"
+        "    'payload', cast(null as string)))) as c").select("c.*")
+
+
+@query("op5_revisit_resolution", """
+with p as (
+ select page_id, url, html, 1700000000 + page_id * 60 as s, 'day ' || (page_id % 365) as modified,
+  '"' || md5(coalesce(html, '')) || '"' as tag,
+  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from pages),
+c as (
+ select *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^www\\.', ''), ':(80|443)$', '')
+   || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') as place,
+  list_sort(list_filter(string_split(regexp_extract(bare, '\\?(.*)$', 1), '&'),
+                        lambda x: x <> '' and not starts_with(lower(x), 'utm_'))) as args from p),
+k as (select *, place || case when len(args) > 0 then '?' || array_to_string(args, '&') else '' end as key from c),
+pairs as (
+ select r.page_id * 2 + 1 as capture_id, r.key, r.page_id as rp, r.s as rs, r.tag as rtag, r.modified as rmod,
+  f.page_id * 2 as refers_to, f.page_id as fp, f.s as fs, f.tag as ftag, f.modified as fmod, f.html as fhtml,
+  row_number() over (partition by r.page_id order by f.s desc nulls last, f.page_id desc) as n
+ from k r left join k f on f.key = r.key and f.s < r.s + 1800 and f.html is not null),
+o as (
+ select *, case when refers_to is null then 'no_response'
+   when rp % 4 in (0, 2) and fp % 4 <> 1 then case when rp % 4 = 0 and rtag = ftag then 'verified' else 'changed' end
+   when rp % 4 = 1 then case when rmod = fmod then 'verified' else 'changed' end
+   else 'unverified' end as outcome from pairs where n = 1)
+select capture_id, key, refers_to, outcome,
+ case when outcome = 'verified' then 'text/html' else 'none' end as content_type,
+ case when outcome = 'verified' and rp % 4 = 1 then case when fp % 4 = 1 then null else ftag end
+      when rp % 4 = 0 then 'W/' || rtag when rp % 4 = 2 then '"new"' end as etag,
+ case when outcome = 'verified' and rp % 4 <> 1 then fmod when rp % 4 = 1 then rmod end as last_modified,
+ cast(rs + 1800 as varchar) as date, 'max-age=60' as cache_control,
+ case when outcome = 'verified' then sha256(fhtml) end as payload_sha256
+from o""")
+def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified captures of the pages with the response they stand for; one row per revisit."""
+    out = resolve_revisits(captures(spark, sf_dir))
+    names = ("content-type", "etag", "last-modified", "date", "cache-control")
+    return out.select("capture_id", "key", "refers_to", "outcome",
+                      *(F.col("headers")[n].alias(n.replace("-", "_")) for n in names), "payload_sha256")
+
+
 @query("op6_exact_dedup", """
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as t from documents),
      g as (select t, min(doc_id) as keep_id, count(*) as group_size from n group by t)
@@ -53,11 +135,6 @@ def fold(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
-def vocabulary(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def _scored(scores: DataFrame, held_out: Column, least: float) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score",
                          (F.col("score") >= least).cast("int").alias("predicted"))

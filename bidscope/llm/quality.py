@@ -9,7 +9,8 @@
 3. At most ``max_labelled`` labelled rows, taken by hash of their id, become
    latent vectors.  They are the only broadcast, bounded by that parameter.
 4. Every document: exact cosines to all of them in blocks, the ``k`` nearest vote
-   with their similarity as weight, smoothed towards the labels' mean.
+   (no more than the rarer label has vectors) with their similarity as weight, the
+   labels balanced, smoothed towards the labels' mean.
 
 Cases: null or empty text has no terms and scores the labels' mean; without any
 usable label every score is 0.5; repeated rows score alike; labels of one id
@@ -21,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bidscope.llm import sums, textkernels as K
 
@@ -78,7 +80,7 @@ def _frequencies(dims: int):
 
 def _products(dims: int, idf, width: int, seed: int):
     def run(batches):
-        w = test_matrix(dims, width, seed).astype(np.float32)
+        w = random_matrix(dims, width, seed).astype(np.float32)
         total = np.zeros((dims, width))
         for batch in batches:
             for _, _, counts in _rows_of(batch, dims):
@@ -88,20 +90,22 @@ def _products(dims: int, idf, width: int, seed: int):
     return run
 
 
-def test_matrix(dims: int, width: int, seed: int) -> np.ndarray:
+def random_matrix(dims: int, width: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dims, width))
 
 
-def leading_directions(product: np.ndarray, w: np.ndarray, rank: int) -> np.ndarray:
-    """Leading eigenvectors of A from A W (A symmetric, not negative)."""
+def leading_directions(product: np.ndarray, w: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """(eigenvectors, roots of the eigenvalues) of A, the leading ones, from A W
+    (A symmetric, not negative); zeros where A has fewer."""
     core = w.T @ product
     value, vector = np.linalg.eigh((core + core.T) / 2)
-    use = value > 1e-10 * max(value.max(), 1e-300)      # directions that A reaches
+    use = value > 1e-7 * max(value.max(), 1e-300)       # directions that A reaches (products are float32)
     root = product @ (vector[:, use] / np.sqrt(value[use]))
-    u, _, _ = np.linalg.svd(root, full_matrices=False)
-    basis = np.zeros((len(w), rank), np.float32)
+    u, size, _ = np.linalg.svd(root, full_matrices=False)
+    basis, spectrum = np.zeros((len(w), rank), np.float32), np.zeros(rank)
     basis[:, :min(rank, u.shape[1])] = u[:, :rank]
-    return basis
+    spectrum[:min(rank, len(size))] = size[:rank]
+    return basis, spectrum
 
 
 def _latent(x: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -122,20 +126,25 @@ def _embed(dims: int, model):
 
 
 def vote(z: np.ndarray, vectors: np.ndarray, y: np.ndarray, k: int, prior: float, pull: float) -> np.ndarray:
-    """Similarity-weighted vote of the k nearest labelled vectors, block by block."""
+    """Similarity-weighted vote of the k nearest labelled vectors, block by block.
+
+    Both labels have the same total weight among all vectors.
+    """
     out = np.full(len(z), prior)
     if not len(vectors):
         return out
     k = min(k, len(vectors))
+    share = min(max(float(y.mean()), 1 / (len(y) + 1)), len(y) / (len(y) + 1))
+    balance = y / (2 * share) + (1 - y) / (2 * (1 - share))
     for a in range(0, len(z), 256):
         sim = z[a:a + 256] @ vectors.T
         near = np.argpartition(sim, -k, axis=1)[:, -k:]
-        weight = np.maximum(np.take_along_axis(sim, near, 1), 0).astype(float)
+        weight = np.maximum(np.take_along_axis(sim, near, 1), 0).astype(float) * balance[near]
         out[a:a + 256] = ((weight * y[near]).sum(1) + pull * prior) / (weight.sum(1) + pull)
     return out
 
 
-def _score(dims: int, k: int, pull: float, model):
+def _score(dims: int, k: int, pull: float, model, skip: int):
     def run(batches):
         import pyarrow as pa
         idf, basis, vectors, y, prior = model.value
@@ -143,8 +152,8 @@ def _score(dims: int, k: int, pull: float, model):
             got = [vote(_latent(_weighted(c, idf), basis), vectors, y, k, prior, pull)
                    for _, _, c in _rows_of(batch, dims)]
             score = np.concatenate(got) if got else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score, pa.float64())],
-                                             names=[*batch.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[skip:], pa.array(score, pa.float64())],
+                                             names=[*batch.schema.names[skip:], "score"])
     return run
 
 
@@ -154,8 +163,10 @@ def _text(docs: DataFrame, text_col: str) -> Column:
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_labelled: int = 4096, k: int = 25,
                   dims: int = 2048, rank: int = 32, width: int = 40, pull: float = 1.0, seed: int = 9,
-                  id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """``docs`` without its text, plus ``score`` (share of label 1 among the neighbours).
+                  id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+                  keep_text: bool = False) -> DataFrame:
+    """``docs`` plus ``score`` (share of label 1 among the neighbours), without its text
+    unless ``keep_text``.
 
     ``learn`` says of ``labels`` which rows may be learned from.  At most
     ``max_labelled`` of them are used, chosen by a hash of their id.
@@ -165,7 +176,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_labelle
     df = sums.summed(text.mapInArrow(_frequencies(dims), sums.PARTS), (dims + 1,))
     idf = (np.log((1 + df[dims]) / (1 + df[:dims])) + 1).astype(np.float32)
     product = sums.summed(text.mapInArrow(_products(dims, idf, width, seed), sums.PARTS), (dims, width))
-    basis = leading_directions(product, test_matrix(dims, width, seed), rank)
+    basis, _ = leading_directions(product, random_matrix(dims, width, seed), rank)
     chosen = (labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.avg(label_col).cast("double").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_labelled))
@@ -177,7 +188,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_labelle
     vectors = np.array([np.frombuffer(r["vec"], np.float32) for r in known]).reshape(-1, basis.shape[1])
     y = np.array([r["y"] for r in known])
     prior = float(y.mean()) if len(y) else 0.5
+    k = max(1, min(k, int(np.minimum((y > 0.5).sum(), (y <= 0.5).sum())) or k))
     rest = [c for c in docs.columns if c != text_col]
-    shape = docs.select(*rest).schema
-    return docs.select(_text(docs, text_col), *rest).mapInArrow(
-        _score(dims, k, pull, sc.broadcast((idf, basis, vectors, y, prior))), shape.add("score", "double"))
+    text = F.col(text_col).cast("string")
+    frame = docs.select(text.alias(text_col) if keep_text else _text(docs, text_col), *rest)
+    shape = T.StructType([f for f in frame.schema.fields if f.name != "_text"]).add("score", "double")
+    return frame.mapInArrow(_score(dims, k, pull, sc.broadcast((idf, basis, vectors, y, prior)),
+                                   0 if keep_text else 1), shape)

@@ -42,6 +42,10 @@ _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
 NEWLINE = np.zeros(256, bool)
 NEWLINE[10] = True
+#: Lower case for ASCII letters, a space for ASCII punctuation, other bytes as they are.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[ord("A"):ord("Z") + 1] += 32
+FOLD[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
 
 
 def buffers(col) -> tuple[np.ndarray, np.ndarray]:

@@ -29,16 +29,13 @@ from pyspark.sql import functions as F
 from bidscope.llm import sums, textkernels as K
 
 U64 = np.uint64
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[ord("A"):ord("Z") + 1] += 32
-_FOLD[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
 _PREFIXES = (6, 8)
 _BITS = 20
 
 
 def features(off: np.ndarray, body: np.ndarray):
     """(row, hash) of every word of a slice and of its prefixes (not distinct)."""
-    body = _FOLD[body]
+    body = K.FOLD[body]
     starts, ends = K.spans(body, off)
     row = np.searchsorted(off, starts, "right") - 1
     bytes_ = K.byte_sums(body)

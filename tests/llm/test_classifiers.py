@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bidscope.llm import textkernels as K
 from bidscope.llm.catalog import fold
-from bidscope.llm.quality import leading_directions, score_quality, term_counts, test_matrix as random_matrix, vote
+from bidscope.llm.quality import leading_directions, random_matrix, score_quality, term_counts, vote
 from bidscope.llm.toxicity import features, fit_nnpu, score_toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -74,7 +74,7 @@ def test_vote_is_exact():
     for i in range(0, 700, 97):
         sim = v @ z[i]
         near = np.argsort(-sim)[:7]
-        w = np.maximum(sim[near], 0)
+        w = np.maximum(sim[near], 0) * np.where(y[near] == 1, 25 / y.sum(), 25 / (50 - y.sum()))
         assert got[i] == pytest.approx((w @ y[near] + 0.5) / (w.sum() + 1))
 
 
@@ -82,7 +82,8 @@ def test_directions_span_a_low_rank_matrix():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 60))
     w = random_matrix(60, 12, 0)
-    basis = leading_directions(x.T @ (x @ w), w, 5)
+    basis, spectrum = leading_directions(x.T @ (x @ w), w, 5)
+    assert np.allclose(spectrum, np.linalg.svd(x, compute_uv=False)[:5])
     assert np.allclose(x @ basis @ basis.T, x, atol=1e-3)
 
 
