@@ -14,7 +14,16 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20          # texts are taken in slices of about this size
 _BASE = U64(0x9E3779B97F4A7C55)
 _WORD_BASE = U64(0xD1B54A32D192ED03)
-_cache: dict = {}
+
+
+class _Tables(dict):
+    """Power tables of this process; they do not travel with pickled functions."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_cache = _Tables()
 
 
 def _pairs(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
