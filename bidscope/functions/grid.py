@@ -7,13 +7,8 @@ a cartesian product).
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from bidscope.functions.scalars import round2
 
 # Grid sizes of the recommendation search.
 POINTS_UP_ONLY = 80    # lower bound equals the middle point
@@ -39,37 +34,22 @@ def linspace(a, b, n) -> Column:
                     lambda i: F.when(i == n - 1, b).otherwise(i.cast("double") * step + a)))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _np_logspace(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
-    # Rows sharing a point count are computed as one 2-D NumPy call; the
-    # result is bit-identical to numpy.logspace per row (C libm pow/log10,
-    # which the JVM's Math.pow does not always reproduce to the last ulp,
-    # and a last-ulp difference flips the cent rounding of grid prices).
-    av = a.to_numpy(dtype=float, na_value=np.nan)
-    bv = b.to_numpy(dtype=float, na_value=np.nan)
-    nv = n.to_numpy(dtype=float, na_value=np.nan)
-    out = [None] * len(av)
-    ok_all = ~(np.isnan(av) | np.isnan(bv) | np.isnan(nv))
-    with np.errstate(all="ignore"):
-        for k in np.unique(nv[ok_all]):
-            idx = np.nonzero(ok_all & (nv == k))[0]
-            vals = np.logspace(np.log10(av[idx]), np.log10(bv[idx]), int(k), axis=1)
-            for j, i in enumerate(idx):
-                out[i] = vals[j]
-    return pd.Series(out, dtype=object)
-
-
 def logspace(a, b, n) -> Column:
-    """10 ** linspace(log10 a, log10 b, n), evaluated by NumPy."""
-    return _np_logspace(_lit(a).cast("double"), _lit(b).cast("double"), _lit(n).cast("int"))
-
-
-def logspace_jvm(a, b, n) -> Column:
-    """G2 in JVM expressions only (may differ from NumPy in the last ulp)."""
+    """10 ** linspace(log10 a, log10 b, n)."""
     return F.transform(linspace(F.log10(_lit(a)), F.log10(_lit(b)), n),
                        lambda e: F.pow(F.lit(10.0), e))
 
 
+def grid_cents(x) -> Column:
+    """Grid price in cents: x*100 is first rounded to six places, then half to even.
+
+    A log-spaced end that lies on a half cent is off by an ulp either way,
+    depending on the host's log and pow; the snap takes that noise away, so
+    every host and engine gives the same price.
+    """
+    return F.rint(F.round(_lit(x) * 100.0, 6)) / 100.0
+
+
 def unique_sorted(arr: Column) -> Column:
     """U4: distinct values, ascending."""
     return F.array_sort(F.array_distinct(arr))
@@ -95,7 +75,7 @@ def price_bounds(status, customer_price, winner_price, min_price) -> Column:
 def grid_from_raw(lo, mid, hi, raw) -> Column:
     """G5 from the branch's raw log-spaced points (see ``with_price_grid``)."""
     lo, mid, hi = _lit(lo), _lit(mid), _lit(hi)
-    base = unique_sorted(F.transform(_lit(raw), lambda x: round2(x)))
+    base = unique_sorted(F.transform(_lit(raw), grid_cents))
     pivot = F.array_min(base)
     mirror = F.transform(F.filter(base, lambda e: ((pivot - (e - pivot)) >= lo) & (e != lo)),
                          lambda e: pivot - (e - pivot))
@@ -103,21 +83,24 @@ def grid_from_raw(lo, mid, hi, raw) -> Column:
     return F.when((lo == mid) | (mid == hi), base).otherwise(both)
 
 
-def with_price_grid(df, lo: str = "lo", mid: str = "mid", hi: str = "hi", out: str = "grid"):
-    """Candidate prices, rounded to cents, distinct and sorted.
+def with_price_grid(df, lo: str = "lo", mid: str = "mid", hi: str = "hi", out: str = "grid",
+                    only: Column | bool = True):
+    """Candidate prices, rounded to cents, distinct and sorted; null where
+    ``only`` does not hold.
 
     lo = mid: 80 log-spaced points from mid to hi.
     mid = hi: 50 log-spaced points from lo to hi.
     otherwise: 50 log-spaced points from mid to hi plus their mirror
     images below the smallest of them, kept while >= lo.
-    One NumPy logspace per row (the branch picks its ends and size), then
-    rounding, distinct, mirror and sort as JVM array expressions.
+    One log-spaced array per row (the branch picks its ends and size), then
+    rounding (``grid_cents``), distinct, mirror and sort, all as JVM expressions.
     """
     lo_c, mid_c, hi_c = F.col(lo), F.col(mid), F.col(hi)
     start = F.when(lo_c == mid_c, mid_c).when(mid_c == hi_c, lo_c).otherwise(mid_c)
     n = F.when(lo_c == mid_c, F.lit(POINTS_UP_ONLY)).otherwise(F.lit(POINTS_DEFAULT))
-    df = df.withColumn("_raw_grid", logspace(start, hi_c, n))
-    return df.withColumn(out, grid_from_raw(lo_c, mid_c, hi_c, F.col("_raw_grid"))).drop("_raw_grid")
+    raw = df.withColumn("_raw_grid", F.when(_lit(only), logspace(start, hi_c, n)))
+    grid = F.when(_lit(only), grid_from_raw(lo_c, mid_c, hi_c, F.col("_raw_grid")))
+    return raw.withColumn(out, grid).drop("_raw_grid")
 
 
 def split_range(lo, hi, current, steps, state) -> Column:

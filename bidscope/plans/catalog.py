@@ -58,8 +58,10 @@ def sql_logspace(a: str, b: str, n: int) -> str:
             f"lambda e: pow(10.0::double, e))")
 
 
-def sql_round2(lst: str) -> str:
-    return f"list_transform({lst}, lambda x: round_even(x*100.0::double, 0)/100.0::double)"
+def sql_grid_cents(lst: str) -> str:
+    # cents half to even, after a snap to six places of a cent
+    return (f"list_transform({lst}, lambda x: "
+            f"round_even(round(x*100.0::double, 6), 0)/100.0::double)")
 
 
 def sql_unique(lst: str) -> str:
@@ -67,9 +69,9 @@ def sql_unique(lst: str) -> str:
 
 
 def sql_grid(lo: str, mid: str, hi: str) -> str:
-    up80 = sql_unique(sql_round2(sql_logspace(mid, hi, 80)))
-    full50 = sql_unique(sql_round2(sql_logspace(lo, hi, 50)))
-    up50 = sql_unique(sql_round2(sql_logspace(mid, hi, 50)))
+    up80 = sql_unique(sql_grid_cents(sql_logspace(mid, hi, 80)))
+    full50 = sql_unique(sql_grid_cents(sql_logspace(lo, hi, 50)))
+    up50 = sql_unique(sql_grid_cents(sql_logspace(mid, hi, 50)))
     pv = f"list_min({up50})"
     mirror = (f"list_transform(list_filter({up50}, lambda e: ({pv} - (e - {pv})) >= {lo} "
               f"and e <> {lo}), lambda e: {pv} - (e - {pv}))")
@@ -144,4 +146,4 @@ def query(name: str, sql: str | None = None, view: bool = True):
 # Query definitions live in catalog_*.py modules; importing them registers.
 def load_all() -> None:
     from bidscope.plans import (catalog_core, catalog_models, catalog_reprice,  # noqa: F401
-                                catalog_scalar, catalog_tables)
+                                catalog_scalar, catalog_streams, catalog_tables)
