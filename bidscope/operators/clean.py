@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from bidscope.operators.groups import group_stats, with_group_stats
 from bidscope.schema import (AUCTION, CUSTOMER, ID_COLUMNS, LANDED, LISTING, MARKET,
                              PRODUCT, SELLER, SHIPPING, TIME, WINNER)
+from bidscope.session import cut_lineage
 
 
 def _type_family(dt: T.DataType) -> str:
@@ -236,16 +237,15 @@ def clean(df: DataFrame, min_fraction: float = 0.9, protect: Sequence[str] = ID_
     Duplicate-column and constant-column verdicts do not change when
     duplicate rows are removed, so both are taken from the input in one
     job (F1 + F3 aggregates, one verdict row per column to the driver).  The sparse-column threshold (F4) counts rows after
-    de-duplication, so the de-duplicated frame is kept for that pass and
-    the final winner filter (F5).
+    de-duplication, so the de-duplicated frame is checkpointed for that pass
+    and the final winner filter (F5); Spark removes it with its last user.
     """
-    from pyspark import StorageLevel
     dup = duplicate_column_report(df, protect)
     const = constant_column_report(df, protect, label)
     verdicts = dup.select("column", F.col("duplicate").alias("drop")).unionByName(
         const.select("column", F.col("constant").alias("drop")))
     gone = {r["column"] for r in verdicts.collect() if r["drop"]}   # one row per column
-    kept = drop_duplicate_rows(df.drop(*gone)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = cut_lineage(drop_duplicate_rows(df.drop(*gone)))
     return exactly_one_winner(drop_sparse_columns(kept, min_fraction))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bidscope.functions.scalars import log_time
 from bidscope.operators.clean import became_customer, winners
 from bidscope.schema import AUCTION, MARKET, PRODUCT, TIME
+from bidscope.session import cut_lineage
 
 EVENT_KEYS = (MARKET, "WinnerId", PRODUCT)
 
@@ -23,15 +24,28 @@ def previous_win(wins: DataFrame, order: Sequence[str | Column] = ("Time",),
     IsCustomer, LandedPrice).  Output: the previous win's File, Time,
     IsCustomer, LandedPrice and this win as Next / NextId / NextPrice;
     first wins of a key (no previous) are dropped.
+
+    The wins are dealt to ranges of (key, time), so one key with very many
+    wins fills many tasks.  Inside a range the previous row comes from a
+    window; the first row of a key in a range takes the key's last row of
+    the ranges before, from a table with one row per key and range.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev = {c: F.lag(c).over(w) for c in ("File", "Time", "IsCustomer", "LandedPrice")}
-    out = wins.select(*keys,
-                      prev["File"].alias("File"), prev["Time"].alias("Time"),
-                      prev["IsCustomer"].alias("IsCustomer"),
-                      prev["LandedPrice"].alias("LandedPrice"),
-                      F.col("IsCustomer").alias("Next"), F.col("File").alias("NextId"),
-                      F.col("LandedPrice").alias("NextPrice"))
+    cols = ("File", "Time", "IsCustomer", "LandedPrice")
+    n = int(wins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = cut_lineage(
+        wins.withColumn("_o", F.struct(*place)).select(*keys, *cols, "_o")
+            .repartitionByRange(n, *keys, "_o").withColumn("_part", F.spark_partition_id()))
+    row = F.struct(*cols)
+    here = Window.partitionBy("_part", *keys).orderBy("_o")
+    before = Window.partitionBy(*keys).orderBy("_part")
+    ends = (dealt.groupBy(*keys, "_part").agg(F.max(F.struct("_o", row.alias("r"))).alias("_last"))
+            .withColumn("_carry", F.lag("_last.r").over(before))
+            .where(F.col("_carry").isNotNull()).drop("_last"))
+    prev = dealt.withColumn("_near", F.lag(row).over(here)).join(ends, on=[*keys, "_part"], how="left")
+    was = F.coalesce("_near", "_carry")
+    out = prev.select(*keys, *[was[c].alias(c) for c in cols], F.col("IsCustomer").alias("Next"),
+                      F.col("File").alias("NextId"), F.col("LandedPrice").alias("NextPrice"))
     return out.dropna(how="any")
 
 

@@ -21,14 +21,22 @@ PLATFORM = "PlatformSellerId"
 NO_PLATFORM_DIFF = -9999.0  # P22: sentinel when the auction has no platform offer
 
 
+def local_table(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A small dimension as a local table to broadcast; past ``max_rows`` rows the
+    frame is returned as it is and joined by shuffle."""
+    rows = df.limit(max_rows + 1).collect()
+    return df if len(rows) > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def platform_seller(df: DataFrame, dimension: DataFrame) -> DataFrame:
     """Attach the market's platform seller id (``PlatformSellerId``).
 
-    ``dimension`` has one row per market (MarketplaceId, PlatformSellerId):
-    tens of rows, so the planner broadcasts it on its measured size.
+    ``dimension`` has one row per market (MarketplaceId, PlatformSellerId).
+    It is fetched under a checked bound and then joined as a local table,
+    so offers are never shuffled on the market.
     Markets without an entry get 'nothing' (string ids) or null.
     """
-    dim = dimension.select(MARKET, PLATFORM)
+    dim = local_table(dimension.select(MARKET, PLATFORM))
     out = df.drop(PLATFORM).join(dim, on=MARKET, how="left")
     if isinstance(out.schema[PLATFORM].dataType, T.StringType):
         out = out.withColumn(PLATFORM, F.coalesce(F.col(PLATFORM), F.lit(NO_PLATFORM)))
@@ -43,7 +51,7 @@ def derived_platform_dimension(df: DataFrame) -> DataFrame:
 
 def known_markets(df: DataFrame, dimension: DataFrame) -> DataFrame:
     """keep markets that have a platform seller."""
-    return df.join(dimension.select(MARKET).distinct(), on=MARKET, how="left_semi")
+    return df.join(local_table(dimension.select(MARKET).distinct()), on=MARKET, how="left_semi")
 
 
 def diff_to_min_auction(df: DataFrame, group: str = AUCTION) -> DataFrame:
@@ -111,7 +119,8 @@ def product_minima(df: DataFrame) -> DataFrame:
 
 
 def diff_to_min_product(df: DataFrame, minima: DataFrame | None = None,
-                        normalise: bool = False) -> DataFrame:
+                        normalise: bool = False, price: str = LANDED,
+                        source: DataFrame | None = None) -> DataFrame:
     """W5 + J3: LandedPrice - product minimum.
 
     The minimum comes from ``minima`` (ProductId, min_landed) when given,
@@ -119,9 +128,12 @@ def diff_to_min_product(df: DataFrame, minima: DataFrame | None = None,
     their own minimum here.  With ``normalise`` the difference is also
     min-max scaled per product (W6, constant -> 1).  One product
     aggregate serves both: x - m is monotone in x, so the group min/max of
-    the difference are min/max of LandedPrice minus m.
+    the difference are min/max of LandedPrice minus m.  ``source`` may name
+    a narrower frame with the same (ProductId, LandedPrice) rows, and
+    ``price`` the column of ``df`` that holds the landed price.
     """
-    stats = group_stats(df, PRODUCT, {"_own": F.min(LANDED), "_max": F.max(LANDED)})
+    stats = group_stats(source if source is not None else df.withColumn(LANDED, F.col(price)), PRODUCT,
+                        {"_own": F.min(LANDED), "_max": F.max(LANDED)})
     if minima is not None:
         stats = stats.join(minima.select(PRODUCT, F.col("min_landed").alias("_given")),
                            on=PRODUCT, how="left")
@@ -131,7 +143,7 @@ def diff_to_min_product(df: DataFrame, minima: DataFrame | None = None,
     stats = stats.select(PRODUCT, m.alias("_m"), (F.col("_own") - m).alias("_dlo"),
                          (F.col("_max") - m).alias("_dhi"))
     out = df.drop(DIFF_MIN_PRODUCT).join(stats, on=PRODUCT, how="left")
-    diff = F.col(LANDED) - F.col("_m")
+    diff = F.col(price) - F.col("_m")
     if normalise:
         diff = minmax_expr(diff, F.col("_dlo"), F.col("_dhi"))
     return out.withColumn(DIFF_MIN_PRODUCT, diff).drop("_m", "_dlo", "_dhi")

@@ -22,15 +22,13 @@ def market_sizes(df: DataFrame, market: str = MARKET) -> DataFrame:
 def distinct_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A4: number of distinct values of each column, one row.
 
-    Each column is its own small distinct aggregate (hash on the value,
-    partial combine), joined as scalars — no Expand over all columns.
+    One scan: every row becomes (column number, value as text) rows, which are
+    made distinct with map-side combining and counted per column.
     """
-    out = None
-    for c in cols:
-        one = (df.select(c).where(F.col(c).isNotNull()).distinct()
-                 .agg(F.count(F.lit(1)).alias(f"distinct_{c}")).withColumn("_k", F.lit(1)))
-        out = one if out is None else out.join(one, on="_k")  # one-row results side by side
-    return out.drop("_k")
+    each = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])
+    values = df.select(F.explode(each).alias("e")).select("e.c", "e.v").where(F.col("v").isNotNull()).distinct()
+    return values.agg(*[F.sum((F.col("c") == i).cast("long")).alias(f"distinct_{c}") for i, c in enumerate(cols)]) \
+                 .na.fill(0)
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.session import cut_lineage
@@ -57,14 +57,31 @@ def global_rank_count(df: DataFrame, order: Sequence[str | Column], out: str = "
     return res, acc
 
 
-def group_rank(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
-               out: str = "_rank", size: str = "_n") -> DataFrame:
-    """0-based rank inside each group plus the group size, exact and
-    skew-safe (group start and size by aggregate + join)."""
-    g = global_rank(df, [*by, *order], "_g")
-    starts = g.groupBy(*by).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias(size))
-    return (g.join(starts, on=list(by), how="left")
-             .withColumn(out, F.col("_g") - F.col("_start")).drop("_g", "_start"))
+def value_ranks(src: DataFrame, by: Sequence[str], x: str = "_x") -> tuple[DataFrame, int]:
+    """One row per distinct (group, value): its first 0-based global place
+    ``_start`` in (group, value) order and its count ``_c``; and the row total.
+
+    Equal values are counted before anything is sorted, so ties and hot
+    groups cost no more than their distinct values; the running counts are
+    taken per range partition and shifted by the partitions before.
+    """
+    spark = src.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*by, x]
+    counts = src.groupBy(*order).agg(F.count(F.lit(1)).alias("_c"))
+    dealt = cut_lineage(counts.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    sizes = sorted((r["_pid"], r["n"]) for r in
+                   dealt.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())   # one row per partition
+    offsets, acc = [], 0
+    for pid, size in sizes:
+        offsets.append((pid, acc))
+        acc += size
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
+    run = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (dealt.withColumn("_run", F.sum("_c").over(run))
+             .join(F.broadcast(off), on="_pid", how="left")   # one row per partition
+             .select(*order, "_c", (F.col("_off") + F.col("_run") - F.col("_c")).alias("_start")))
+    return ranks, acc
 
 
 def _lerp(a: Column, b: Column, t: Column) -> Column:
@@ -78,26 +95,30 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float],
     one row per group with columns q<int(100 p)>, e.g. q25, q50, q75."""
     by = list(by)
     src = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    ranks, total = value_ranks(src, by)
     if by:
-        r = group_rank(src, by, ["_x"])
+        # the groups' places join under new names, so a group of very many values can be split
+        stats = (ranks.groupBy(*by).agg(F.min("_start").alias("_g0"), F.sum("_c").alias("_n"))
+                 .withColumnsRenamed({k: f"_j{i}" for i, k in enumerate(by)}))
+        joined = ranks.join(stats, on=[F.col(k).eqNullSafe(F.col(f"_j{i}")) for i, k in enumerate(by)])
     else:
-        r = global_rank(src, ["_x"], total="_n")
-    aggs = []
-    want = F.lit(False)
-    for p in probs:
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("long")
-        want = want | (F.col("_rank") == lo) | (F.col("_rank") == lo + 1)
-    picked = r.where(want)
+        joined = ranks.withColumn("_g0", F.lit(0)).withColumn("_n", F.lit(total))
+    place = F.col("_start") - F.col("_g0")
+
+    def covers(at):
+        return (place <= at) & (at < place + F.col("_c"))
+
+    want, aggs = F.lit(False), []
     for p in probs:
         name = f"q{int(round(p * 100))}"
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
         lo = F.floor(h).cast("long")
-        aggs += [F.max(F.when(F.col("_rank") == lo, F.col("_x"))).alias(f"_{name}_a"),
-                 F.max(F.when(F.col("_rank") == lo + 1, F.col("_x"))).alias(f"_{name}_b"),
+        want = want | covers(lo) | covers(lo + 1)
+        aggs += [F.max(F.when(covers(lo), F.col("_x"))).alias(f"_{name}_a"),
+                 F.max(F.when(covers(lo + 1), F.col("_x"))).alias(f"_{name}_b"),
                  F.max(h - lo).alias(f"_{name}_t")]
-    g = picked.groupBy(*by) if by else picked
-    res = g.agg(*aggs)
+    picked = joined.where(want)
+    res = (picked.groupBy(*by) if by else picked).agg(*aggs)
     outs = []
     for p in probs:
         name = f"q{int(round(p * 100))}"

@@ -4,14 +4,12 @@ K1, K2).
 
 Shuffle plan: one exchange by auction serves the gate, the winner price,
 the bounds and the grid (bounded per-auction windows); the product
-history minimum is an aggregate joined on ProductId; candidates are a
-lateral ``explode`` of each customer row's own grid (<= 80 rows per
-auction, columns pruned before the explode).
+history minimum is an aggregate joined on ProductId; real and candidate
+rows come from one lateral ``explode`` (<= 80 candidates per auction).
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,7 +21,6 @@ from pyspark.sql import types as T
 from bidscope.functions.grid import price_bounds, with_price_grid
 from bidscope.functions.scalars import (clip, normal_weight, price_direction, round2,
                                         ship_hours_floor)
-from bidscope.operators.clean import exactly_one_customer
 from bidscope.operators.features import minmax
 from bidscope.operators.groups import minmax_expr, with_group_stats
 from bidscope.operators.scoring import new_score_expr
@@ -68,7 +65,7 @@ def product_history_min(history: DataFrame) -> DataFrame:
 
 def auction_context(offers: DataFrame, group: str = AUCTION) -> DataFrame:
     """Per-auction columns on every offer row: CustomerPrice, CustomerStatus,
-    WinnerPrice, MinPrice, n_winners, bounds (lo, hi, mid) and the grid.
+    WinnerPrice, MinPrice, n_winners, n_customers and bounds (lo, hi, mid).
 
     All statistics are windows of one auction key -> one exchange.
     """
@@ -78,6 +75,7 @@ def auction_context(offers: DataFrame, group: str = AUCTION) -> DataFrame:
         "MinPrice": F.min(LANDED),
         "MaxPrice": F.max(LANDED),
         "_wmin": F.min(F.when(F.col(WINNER) == 1, F.col(LANDED))),
+        "n_customers": F.sum((F.col(CUSTOMER) == 1).cast("long")),
         "CustomerPrice": F.max(F.when(F.col(CUSTOMER) == 1, F.col(LANDED))),
         "CustomerStatus": F.max(F.when(F.col(CUSTOMER) == 1, F.col(WINNER)))})
     df = df.withColumn("WinnerPrice", F.coalesce("_wmin", "MinPrice")).drop("_wmin")
@@ -96,19 +94,23 @@ def make_candidates(offers: DataFrame, history: DataFrame | None = None,
     per grid price (a copy of the customer row with LandedPrice = price),
     flagged by ``is_candidate``; DifftoMinLandedPriceProduct is landed
     minus the product's history minimum (auction minimum if unseen).
+
+    Every row carries an array of prices: its own, and on the customer row
+    the grid as well.  One ``explode`` makes real and candidate rows, so
+    the auction context is planned and computed once.
     """
-    kept, _ = exactly_one_customer(offers, group)
-    ctx = auction_context(kept, group)
+    ctx = auction_context(offers, group).where(F.col("n_customers") == 1).drop("n_customers")
     hist = product_history_min(history if history is not None else offers)
     ctx = ctx.join(hist, on=PRODUCT, how="left").withColumn(
         "ProductMinPrice", F.coalesce("ProductMinPrice", "MinPrice"))
-    real = ctx.withColumn("is_candidate", F.lit(False))
-    cust = with_price_grid(ctx.where(F.col(CUSTOMER) == 1), out="_grid")
-    cand = (cust.select(*[c for c in cust.columns if c not in (LANDED, "_grid")],
-                        F.explode("_grid").alias(LANDED))
-                .withColumn("is_candidate", F.lit(True)))
-    both = real.unionByName(cand)
-    return both.withColumn(DIFF_MIN_PRODUCT, F.col(LANDED) - F.col("ProductMinPrice"))
+    ctx = with_price_grid(ctx, out="_grid", only=F.col(CUSTOMER) == 1)
+    price = lambda x, c: F.struct(x.alias("x"), F.lit(c).alias("c"))
+    grid = F.coalesce("_grid", F.array().cast("array<double>"))
+    prices = F.concat(F.array(price(F.col(LANDED), False)), F.transform(grid, lambda x: price(x, True)))
+    rows = ctx.withColumn("_p", F.explode(prices))
+    return (rows.select(*[c for c in ctx.columns if c not in (LANDED, "_grid")],
+                        F.col("_p.x").alias(LANDED), F.col("_p.c").alias("is_candidate"))
+                .withColumn(DIFF_MIN_PRODUCT, F.col(LANDED) - F.col("ProductMinPrice")))
 
 
 def score_candidates(frame: DataFrame, prob: Column | str | float = 0.5,
@@ -147,97 +149,102 @@ def score_candidates(frame: DataFrame, prob: Column | str | float = 0.5,
         "_blend", "_blo", "_bhi")
 
 
-def _poly_fit_groups(pdf: pd.DataFrame, keys: list[str], x: str, y: str, degree: int,
-                     out: str) -> pd.DataFrame:
-    res = np.empty(len(pdf))
-    xs, ys = pdf[x].to_numpy(dtype=float), pdf[y].to_numpy(dtype=float)
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        for idx in pdf.groupby(keys, sort=False).indices.values():
-            coef = np.polyfit(xs[idx], ys[idx], degree)
-            res[idx] = np.polyval(coef, xs[idx])
-    return pdf.assign(**{out: res})
-
-
 def poly_smooth(df: DataFrame, keys: Sequence[str], x: str, y: str,
-                degree: int = POLY_DEGREE, out: str = "Smoothed") -> DataFrame:
+                degree: int = POLY_DEGREE, out: str = "Smoothed",
+                carry: Sequence[str] = ()) -> DataFrame:
     """R4 core: least-squares polynomial of ``y`` on ``x`` per group,
-    evaluated at each row (NumPy polyfit: scaled SVD, minimum norm).
+    evaluated at each row (column-scaled SVD, minimum norm, as NumPy's
+    polyfit).  ``carry`` columns pass through.
 
     Rows are clustered by key (one exchange) and streamed through
     ``mapInPandas`` as Arrow batches; a group cut by a batch boundary is
     carried into the next batch, so each group is fitted whole and no
     group is ever materialised beyond its own rows (<= 80 candidates).
+    The groups of a batch with equally many rows are fitted by one
+    stacked pseudo-inverse.
     """
-    keys = list(keys)
-    cols = [*keys, x, y]
+    keys, cols = list(keys), [*keys, x, y, *carry]
     src = df.select(*cols).repartition(*keys).sortWithinPartitions(*keys)
     schema = T.StructType([*[src.schema[c] for c in cols], T.StructField(out, T.DoubleType())])
 
+    def fit(pdf):       # nested: travels with the task
+        group = pdf.groupby(keys, sort=False).ngroup().to_numpy()
+        order = np.argsort(group, kind="stable")
+        size = np.bincount(group)
+        first = np.cumsum(size) - size
+        xs, ys = (pdf[c].to_numpy(dtype=float)[order] for c in (x, y))
+        res = np.empty(len(pdf))
+        for n in np.unique(size):
+            at = first[size == n][:, None] + np.arange(n)[None, :]
+            van = xs[at][:, :, None] ** np.arange(degree, -1, -1)
+            scale = np.sqrt((van * van).sum(axis=1, keepdims=True))
+            scaled = van / np.where(scale > 0, scale, 1)
+            coef = np.linalg.pinv(scaled, rcond=n * np.finfo(float).eps) @ ys[at][:, :, None]
+            res[order[at]] = (scaled @ coef)[:, :, 0]
+        return pdf.assign(**{out: res})
+
     def run(batches):
-        carry = None
+        left = None
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if left is not None and len(left):
+                pdf = pd.concat([left, pdf], ignore_index=True)
             if not len(pdf):
                 continue
             last = pdf.iloc[-1][keys]
             tail = (pdf[keys] == last.values).all(axis=1)
-            carry, done = pdf[tail], pdf[~tail]
+            left, done = pdf[tail], pdf[~tail].reset_index(drop=True)
             if len(done):
-                yield _poly_fit_groups(done, keys, x, y, degree, out)
-        if carry is not None and len(carry):
-            yield _poly_fit_groups(carry, keys, x, y, degree, out)
+                yield fit(done)
+        if left is not None and len(left):
+            yield fit(left.reset_index(drop=True))
 
     return src.mapInPandas(run, schema)
 
 
 def linear_smooth(df: DataFrame, keys: Sequence[str], x: str, y: str,
-                  out: str = "Smoothed") -> DataFrame:
+                  out: str = "Smoothed", carry: Sequence[str] = ()) -> DataFrame:
     """R4 with degree 1: regr_slope / regr_intercept per group (SQL-expressible)."""
     keys = list(keys)
-    fit = with_group_stats(df.select(*keys, x, y), keys, {
+    fit = with_group_stats(df.select(*keys, x, y, *carry), keys, {
         "_b1": F.regr_slope(y, x), "_b0": F.regr_intercept(y, x)})
     b1 = F.coalesce("_b1", F.lit(0.0))
     b0 = F.coalesce("_b0", F.col(y))
     return fit.withColumn(out, b1 * F.col(x) + b0).drop("_b1", "_b0")
 
 
+#: Columns of the auction that a recommendation reports.
+CONTEXT = ("CustomerPrice", "WinnerPrice", "CustomerStatus")
+
+
 def smooth_curve(scored: DataFrame, keys: Sequence[str] = (AUCTION,),
-                 degree: int = POLY_DEGREE) -> DataFrame:
+                 degree: int = POLY_DEGREE, carry: Sequence[str] = ()) -> DataFrame:
     """Fit Score on price over the candidates, evaluate, clip to 0..100.
 
-    Output: keys, Price (= candidate LandedPrice), Score, Smoothed.
+    Output: keys, Price (= candidate LandedPrice), Score, ``carry``, Smoothed.
     """
-    cand = scored.where("is_candidate").select(*keys, F.col(LANDED).alias("Price"), "Score")
-    fit = (linear_smooth(cand, keys, "Price", "Score") if degree == 1
-           else poly_smooth(cand, keys, "Price", "Score", degree))
+    cand = scored.where("is_candidate").select(*keys, F.col(LANDED).alias("Price"), "Score", *carry)
+    fit = (linear_smooth(cand, keys, "Price", "Score", carry=carry) if degree == 1
+           else poly_smooth(cand, keys, "Price", "Score", degree, carry=carry))
     return fit.withColumn("Smoothed", clip("Smoothed", 0.0, 100.0))
 
 
-def recommend(smoothed: DataFrame, context: DataFrame, keys: Sequence[str] = (AUCTION,),
+def recommend(smoothed: DataFrame, keys: Sequence[str] = (AUCTION,),
               top_n: int = TOP_N) -> tuple[DataFrame, DataFrame]:
     """R5 + K1 + K2: (top-n table, one recommendation per key).
 
     Price rounded to cents, PredictedScore to 2 decimals, Direction vs the
     customer price at 3 decimals; top rows by score desc, price asc
     (deterministic tie order); RecommendedPrice = price of the first row.
-    ``context`` gives per-auction CustomerPrice, WinnerPrice (and
-    CustomerStatus).
+    ``smoothed`` is R4 with the ``CONTEXT`` columns carried along.
     """
     keys = list(keys)
-    ctx = context.where((F.col(CUSTOMER) == 1) & ~F.col("is_candidate")).select(
-        AUCTION, "CustomerPrice", "WinnerPrice", "CustomerStatus")   # one row per auction
-    t = (smoothed.join(ctx, on=AUCTION, how="left")
-                 .select(*keys, round2("Price").alias("Price"),
-                         round2("Smoothed").alias("PredictedScore"), "CustomerPrice",
-                         "WinnerPrice", "CustomerStatus")
+    t = (smoothed.select(*keys, round2("Price").alias("Price"),
+                         round2("Smoothed").alias("PredictedScore"), *CONTEXT)
                  .withColumn("Direction", price_direction("Price", "CustomerPrice")))
     w = Window.partitionBy(*keys).orderBy(F.col("PredictedScore").desc(), F.col("Price").asc())
     top = t.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
     rec = (top.where(F.col("rank") == 1)
-              .select(*keys, F.col(AUCTION).alias("File"), "CustomerPrice", "WinnerPrice",
-                      "CustomerStatus",
+              .select(*keys, F.col(AUCTION).alias("File"), *CONTEXT,
                       F.col("Price").alias("RecommendedPrice"), "PredictedScore", "Direction"))
     return top, rec
 
@@ -261,10 +268,8 @@ def reprice(offers: DataFrame, history: DataFrame | None = None,
             prob: Column | str | float = 0.5, degree: int = POLY_DEGREE) -> DataFrame:
     """R2 -> R3 -> R4 -> R5 for every gated auction: one recommendation per
     auction (File, CustomerPrice, WinnerPrice, RecommendedPrice, ...)."""
-    frame = make_candidates(offers, history)
-    scored = score_candidates(frame, prob)
-    sm = smooth_curve(scored, (AUCTION,), degree)
-    _, rec = recommend(sm, frame)
+    scored = score_candidates(make_candidates(offers, history), prob)
+    _, rec = recommend(smooth_curve(scored, (AUCTION,), degree, CONTEXT))
     return rec
 
 

@@ -14,7 +14,7 @@ from bidscope.operators.events import offers_of_events, previous_win, select_rep
 from bidscope.operators.ranking import describe
 from bidscope.plans import features as FP
 from bidscope.plans.catalog import CONTEXT_SQL, KEY, KEY_SQL, query, sql_grid
-from bidscope.plans.reprice_jobs import reprice_many
+from bidscope.plans.reprice_jobs import reprice_many, reprice_models
 from bidscope.schema import AUCTION, LANDED
 
 R = 6
@@ -116,7 +116,8 @@ def reprice_sql(p: str, prob: str, only: str | None = None) -> str:
           LandedPrice - ProductMinPrice as DifftoMinLandedPriceProduct from {p}fr),
 {p}f2 as (select *, min(LandedPrice) over w * min(hh) over w - LandedPrice*hh as ip
           from {p}f1 window w as (partition by CompetitionName)),
-{p}f3 as (select *, {_mm('ip')} as ipn from {p}f2 window w as (partition by CompetitionName)),
+{p}f3 as (select *, {_mm('ip')} as ipn, {_mm('LandedPrice')} as ldn, {_mm('DifftoMinLandedPriceProduct')} as dpn
+          from {p}f2 window w as (partition by CompetitionName)),
 {p}f4 as (select *, IsFulfilledByAmazon*({prob}) + ({prob})*ipn + ({prob})*IsFeaturedMerchant as ns,
           exp(-((LandedPrice-WinnerPrice)*(LandedPrice-WinnerPrice))/2.0::double)
             / sqrt(2.0::double*pi()) as wt from {p}f3),
@@ -215,9 +216,8 @@ select CompetitionName, round(Price, {R}) as Price, round(PredictedScore, {R}) a
   Direction, cast(rank as int) as rank from a_top where rank <= 10""")
 def q_k1(offers):
     """K1 + R5: 10 best (rounded) prices per auction by smoothed score."""
-    frame = _frame(offers)
-    sm = RP.smooth_curve(RP.score_candidates(frame, _half()), (AUCTION,), 1)
-    top, _ = RP.recommend(sm, frame)
+    sm = RP.smooth_curve(RP.score_candidates(_frame(offers), _half()), (AUCTION,), 1, RP.CONTEXT)
+    top, _ = RP.recommend(sm)
     return top.select(AUCTION, "Price", "PredictedScore", "Direction", "rank")
 
 
@@ -228,10 +228,7 @@ select CompetitionName, File, round(CustomerPrice, {R}) as CustomerPrice, round(
   round(PredictedScore, {R}) as PredictedScore, Direction from a_rec""")
 def q_r5(offers):
     """R5 + K2: one recommended price per auction (first of K1)."""
-    frame = _frame(offers)
-    sm = RP.smooth_curve(RP.score_candidates(frame, _half()), (AUCTION,), 1)
-    _, rec = RP.recommend(sm, frame)
-    return rec
+    return RP.reprice(offers, prob=_half(), degree=1)
 
 
 @query("r6_auction_scores", f"""
@@ -310,12 +307,58 @@ def q_r10(offers):
                                   "Half", "Featured")
 
 
+FORMULA = ("(0.2::double + 0.3::double*(1.0::double - ldn) + 0.2::double*ipn + 0.1::double*dpn"
+           " + 0.1::double*IsFeaturedMerchant)")
+
+
+class FormulaModel:
+    """A fixed linear formula of the serving features, in a model's place."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        p = (F.lit(0.2) + F.lit(0.3) * (F.lit(1.0) - F.col(LANDED)) + F.lit(0.2) * F.col("IdealPointCompetition")
+             + F.lit(0.1) * F.col("DifftoMinLandedPriceProduct") + F.lit(0.1) * F.col("IsFeaturedMerchant"))
+        return df.withColumn("prob", p).withColumn("prediction", (F.col("prob") > 0.5).cast("double"))
+
+
+SERVED = [LANDED, "IdealPointCompetition", "DifftoMinLandedPriceProduct", "IsFeaturedMerchant", "IsFulfilledByAmazon"]
+
+
+@query("r7_reprice_formula_model", f"""
+with {EVENTS_SQL.strip()},{CONTEXT_SQL},{reprice_sql('m_', FORMULA, "select File from events")}
+select r.File, round(r.CustomerPrice, {R}) as CurrentPrice, round(r.WinnerPrice, {R}) as WinnerPrice,
+  r.CustomerStatus, round(r.RecommendedPrice, {R}) as Formula, e.NextId as NextFile,
+  round(e.NextPrice, {R}) as NextPrice from m_rec r left join events e on e.File = r.File""")
+def q_r7_formula(offers):
+    """R7 through the model path (FP2 features of offers + candidates, M4, R3-R5)
+    with a fixed formula of the features as the model."""
+    trained = {"Formula": {"model": FormulaModel(), "features": SERVED, "clf": 0}}
+    return reprice_models(offers, _events(offers), trained, W.derived_platform_dimension(offers), degree=1)
+
+
+@query("r7_reprice_models")
+def q_r7_models(offers):
+    """R7 with two trained models: forest and logistic regression fit on the serving
+    features of all auctions (rows-only check)."""
+    from bidscope.operators.models import train
+    dim = W.derived_platform_dimension(offers)
+    minima = W.product_minima(landed_price(offers))
+    frame = FP.serve_features(offers, dim, minima, SERVED, len(SERVED))
+    trained = {"RandomForest": train(frame, 1, SERVED), "LogisticRegression": train(frame, 2, SERVED)}
+    return reprice_models(offers, _events(offers), trained, dim, minima, degree=1)
+
+
 @query("u3_union_training", f"""
-select {KEY_SQL} from offers""")
+with au as (select CompetitionName, min(auction_time) as t from offers group by 1),
+rk as (select CompetitionName, row_number() over (order by t, CompetitionName) - 1 as r, count(*) over () as n from au)
+select case when r < round_even(0.3::double * n, 0) then 'new' else 'old' end as side, count(*) as n_rows,
+  count(distinct o.CompetitionName) as n_auctions, sum(l_orderkey) as orders
+from offers o join rk on o.CompetitionName = rk.CompetitionName group by 1""")
 def q_u3(offers):
-    """Old + new training data (the two sides of the W11 split) by name."""
+    """Old + new training data (the two sides of the W11 split) by name, counted by side."""
     train, test = W.auction_order_split(offers, 0.3, "auction_time")
-    return train.select(*KEY).unionByName(test.select(*KEY))
+    both = train.withColumn("side", F.lit("old")).unionByName(test.withColumn("side", F.lit("new")))
+    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(AUCTION).alias("n_auctions"),
+                                    F.sum("l_orderkey").alias("orders"))
 
 
 # ------------------------------------------------------ feature pipelines
@@ -353,26 +396,27 @@ def _mmw(c: str, w: str) -> str:
             f"({c} - min({c}) over {w})/(max({c}) over {w} - min({c}) over {w}) end)")
 
 
-def fp_sql(src: str, minima: str | None) -> str:
-    """FP add_features over CTE ``src`` (optionally with a minima CTE)."""
-    dp0 = ("LandedPrice - coalesce(mn.m, min(LandedPrice) over (partition by a2.ProductId))"
+def fp_sql(src: str, minima: str | None, p: str = "") -> str:
+    """FP add_features over CTE ``src`` (optionally with a minima CTE); ``p`` prefixes its CTEs."""
+    a1, a2, a3, a4 = (f"{p}a{i}" for i in (1, 2, 3, 4))
+    dp0 = (f"LandedPrice - coalesce(mn.m, min(LandedPrice) over (partition by {a2}.ProductId))"
            if minima else "LandedPrice - min(LandedPrice) over (partition by ProductId)")
-    join = f"a2 left join {minima} mn on a2.ProductId = mn.ProductId" if minima else "a2"
+    join = f"{a2} left join {minima} mn on {a2}.ProductId = mn.ProductId" if minima else a2
     return f"""
-a1 as (select s.*, pdim.P, ListingPrice+ShippingPrice as LandedPrice,
+{a1} as (select s.*, pdim.P, ListingPrice+ShippingPrice as LandedPrice,
    case when ShippingTime_maxHours=0 then 1 else ShippingTime_maxHours end as H
   from {src} s join pdim on s.MarketplaceId = pdim.MarketplaceId),
-a2 as (select *, LandedPrice - min(LandedPrice) over w as D1,
+{a2} as (select *, LandedPrice - min(LandedPrice) over w as D1,
    case when min(case when SellerId = P then LandedPrice end) over w is null then -9999.0::double
         else LandedPrice - min(case when SellerId = P then LandedPrice end) over w end as D3,
    case when SellerId = P then 0 when max(case when SellerId = P then 1 else 0 end) over w = 1
         then 1 else -1 end as C2,
    min(LandedPrice) over w * min(H) over w - LandedPrice*H as IP
-  from a1 window w as (partition by CompetitionName)),
-a3 as (select a2.*, {dp0} as DP0 from {join}),
-a4 as (select *, {_mmw('DP0', 'wp')} as DP, {_mmw('LandedPrice', 'w')} as LDn,
+  from {a1} window w as (partition by CompetitionName)),
+{a3} as (select {a2}.*, {dp0} as DP0 from {join}),
+{a4} as (select *, {_mmw('DP0', 'wp')} as DP, {_mmw('LandedPrice', 'w')} as LDn,
     {_mmw('IP', 'w')} as IPn
-  from a3 window w as (partition by CompetitionName), wp as (partition by ProductId))"""
+  from {a3} window w as (partition by CompetitionName), wp as (partition by ProductId))"""
 
 
 _FP1_NORM = {"SellerId": _code("SellerId"), "IsFeaturedMerchant": "IsFeaturedMerchant",
@@ -382,18 +426,18 @@ _FP1_NORM = {"SellerId": _code("SellerId"), "IsFeaturedMerchant": "IsFeaturedMer
              "CompeteAmzCompetition": "C2", "IdealPointCompetition": "IPn"}
 
 
-def _fp1_select(src: str) -> str:
+def _fp1_select(src: str, extra: str = "") -> str:
     pre = ", ".join(f"{v} as {k}" for k, v in _FP1_NORM.items())
     norm = ", ".join(f"round({_mmw(k, 'w')}, {R}) as {k}" for k in _FP1_NORM)
     return f"""
-b1 as (select IsBuyBoxWinner, {_code('ProductId')} as ProductId, CompetitionName, DP, {pre} from {src})
-select IsBuyBoxWinner, round(ProductId, {R}) as ProductId, round({_code('CompetitionName')}, {R})
-  as CompetitionName, round(DP, {R}) as DifftoMinLandedPriceProduct, {norm}
-from b1 window w as (partition by CompetitionName)"""
+select IsBuyBoxWinner, round({_code('ProductId')}, {R}) as ProductId, round({_code('CompetitionName')}, {R})
+  as CompetitionName, round(DP, {R}) as DifftoMinLandedPriceProduct, {norm}{extra}
+from (select IsBuyBoxWinner, ProductId, CompetitionName, DP, {pre} from {src})
+window w as (partition by CompetitionName)"""
 
 
 @query("fp1_train_features", f"""
-with {FP_IN_SQL.strip()},{fp_sql('fi', None)},{_fp1_select('a4')}""")
+with {FP_IN_SQL.strip()},{fp_sql('fi', None)}{_fp1_select('a4')}""")
 def q_fp1(offers):
     """FP1: training features (W1-W6, P9-P12, W12) on the stand-in offers."""
     df = fp_input(offers)
@@ -423,9 +467,10 @@ te as (select fi.* from fi join rk on fi.CompetitionName = rk.CompetitionName
 tr as (select fi.* from fi join rk on fi.CompetitionName = rk.CompetitionName
        where r >= round_even(0.3::double * n, 0)),
 trmin as (select ProductId, min(ListingPrice+ShippingPrice) as m from tr group by 1),
-{fp_sql('te', 'trmin')},{_fp1_select('a4')}""")
+{fp_sql('te', 'trmin', 't')},{fp_sql('tr', None, 'r')}{_fp1_select('ta4', ", 'test' as side")}
+union all by name {_fp1_select('ra4', ", 'train' as side")}""")
 def q_fp3(offers):
-    """FP3: W11 split; test features use product minima learned on train."""
+    """FP3: W11 split; test features use product minima learned on train; both sides."""
     df = fp_input(offers, with_time=True)
-    _, test, _ = FP.train_test_features(df, W.derived_platform_dimension(df), 0.3, "Time")
-    return test
+    train, test, _ = FP.train_test_features(df, W.derived_platform_dimension(df), 0.3, "Time")
+    return test.withColumn("side", F.lit("test")).unionByName(train.withColumn("side", F.lit("train")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bidscope.functions import grid as G
 from bidscope.functions import scalars as P
 from bidscope.operators.features import derived_platform_dimension, platform_seller
+from bidscope.operators.groups import with_group_stats
 from bidscope.operators.reprice import auction_context, winner_price
 from bidscope.plans.auction_view import load
 from bidscope.plans.catalog import (CONTEXT_SQL, KEY, KEY_SQL, LANDED_SQL, query, sql_grid,
@@ -33,6 +34,40 @@ def q_p3(offers):
     return P.default_missing(src, columns=["ShippingPrice", "SubCondition"])
 
 
+@query("p1_flag", f"""
+select {KEY_SQL}, case l_linenumber % 3 when 0 then 1 when 1 then 0 end as flag,
+  case l_linenumber % 3 when 0 then 1 when 1 then -1 end as winner from offers""")
+def q_p1(offers):
+    """Text flags: "true" -> 1, other text -> 0 (or -1), absent -> null."""
+    n = F.col("l_linenumber") % 3
+    text = F.when(n == 0, "true").when(n == 1, "false")
+    return offers.select(*KEY, P.flag(text).alias("flag"), P.flag(text, 1, -1).alias("winner"))
+
+
+@query("p2_present_flag", f"""
+select {KEY_SQL}, case when IsFeaturedMerchant = 1 then 1 else 0 end as ConditionNotes from offers""")
+def q_p2(offers):
+    """1 where the tag is there, even if empty."""
+    return offers.select(*KEY, P.present_flag(F.when(F.col("IsFeaturedMerchant") == 1, F.lit(""))).alias("ConditionNotes"))
+
+
+@query("p4_is_customer", f"""
+select {KEY_SQL}, case when SellerId = min(SellerId) over (partition by CompetitionName) then 1 else 0 end as mine
+from offers""")
+def q_p4(offers):
+    """The offer's seller is the notification's seller (here: the auction's least id)."""
+    head = with_group_stats(offers, AUCTION, {"head": F.min("SellerId")})
+    return head.select(*KEY, P.is_customer("SellerId", "head").alias("mine"))
+
+
+@query("p23_columns_of_type", """
+select column_name as name from (describe select * from offers) where column_type = 'VARCHAR'""")
+def q_p23(offers):
+    """Names of the text columns of the offers."""
+    names = P.columns_of_type(offers)
+    return offers.agg(F.array(*[F.lit(n) for n in names]).alias("names")).select(F.explode("names").alias("name"))
+
+
 @query("p5_file_stem", """
 select distinct MarketplaceId, CompetitionName,
   regexp_replace(regexp_extract('/data/' || MarketplaceId || '/' || CompetitionName || '.xml',

@@ -190,22 +190,43 @@ def q_f12(offers):
     return C.clean(standin(offers))
 
 
+def _dense_expr(c):
+    return f"count({c}) < cast(floor(count(*)*0.9::double) as bigint) as sparse"
+
+
+def _names(flag: str) -> str:
+    return f"(select coalesce(string_agg(name, ',' order by i), '') from v where {flag})"
+
+
+def _number(*flags: str) -> str:
+    return f"(select count(*) from v where not ({' or '.join(flags)}))" if flags else "(select count(*) from v)"
+
+
+_F14_STEPS = [("duplicate_columns", "n0", "n0", [], ["gone1"]), ("duplicate_rows", "n0", "n2", ["gone1"], ["gone1"]),
+              ("constant_columns", "n2", "n2", ["gone1"], ["gone1", "gone2"]),
+              ("sparse_columns", "n2", "n2", ["gone1", "gone2"], ["gone1", "gone2", "gone3"]),
+              ("one_winner", "n2", "n5", ["gone1", "gone2", "gone3"], ["gone1", "gone2", "gone3"])]
+
+
 @query("f14_clean_report", f"""
 with {STANDIN_SQL.strip()},
-d as (select distinct {", ".join(_F12_KEEP)}, ShipsDomestically, ConditionNotes, SubCondition from st),
+d as (select distinct * from st),
+pos as (select * from (values {", ".join(f"('{c}', {i})" for i, c in enumerate(STANDIN_COLS))}) t(name, i)),
+dup as ({_dup_sql()}),
+con as ({_union_report(STANDIN_COLS, _const_expr)}),
+spa as ({_union_report(STANDIN_COLS, _dense_expr).replace(" from st", " from d")}),
+v as (select name, i, coalesce(duplicate, false) as gone1, constant and not coalesce(duplicate, false) as gone2,
+        sparse and not constant and not coalesce(duplicate, false) as gone3
+      from pos left join dup on dup.column = name left join con on con.column = name left join spa on spa.column = name),
 one as (select CompetitionName from d group by 1
         having sum(case when IsBuyBoxWinner = 1 then 1 else 0 end) = 1),
 n as (select (select count(*) from st) as n0, (select count(*) from d) as n2,
         (select count(*) from d where CompetitionName in (select * from one)) as n5)
-select * from (values ('duplicate_columns', 0, 0, 18, 17, 'ListingPrice'),
-                      ('duplicate_rows', 0, 1, 17, 17, ''),
-                      ('constant_columns', 1, 1, 17, 15, 'ShipsDomestically,ConditionNotes'),
-                      ('sparse_columns', 1, 1, 15, 14, 'SubCondition'),
-                      ('one_winner', 1, 2, 14, 14, '')) v(step, b, a, cols_before, cols_after, dropped)
-""".replace("select * from (values", "select step, cast(case b when 0 then n0 else n2 end as bigint) as rows_before, "
-            "cast(case a when 0 then n0 when 1 then n2 else n5 end as bigint) as rows_after, "
-            "cast(cols_before as int) as cols_before, cast(cols_after as int) as cols_after, dropped "
-            "from n, (values"))
+""" + "\nunion all\n".join(
+    f"select '{step}' as step, cast({b} as bigint) as rows_before, cast({a} as bigint) as rows_after, "
+    f"cast({_number(*cb)} as int) as cols_before, cast({_number(*ca)} as int) as cols_after, "
+    f"{_names(ca[-1]) if len(ca) > len(cb) else chr(39) * 2} as dropped from n"
+    for step, b, a, cb, ca in _F14_STEPS))
 def q_f14(offers):
     """rows / columns before and after each cleaning step."""
     return C.clean_report(standin(offers))

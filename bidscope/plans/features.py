@@ -27,18 +27,51 @@ PRE_DROP = ["ListingCurrency", "ShippingCurrency", MARKET, "ShipsDomestically"]
 POST_DROP = [LISTING, SHIPPING, MIN_HOURS]                                         # P12
 
 
+RAW_LANDED = "_raw_landed"
+
+
+def _auction_part(df: DataFrame, platform_dim: DataFrame) -> DataFrame:
+    """P11 -> P12 -> P8, W1 -> W2, W3 -> P9 -> W4, W6 by auction; the landed price
+    before W6 is kept as ``RAW_LANDED`` for the product difference."""
+    out = platform_seller(df, platform_dim)
+    out = drop_if_present(out, PRE_DROP)
+    out = landed_price(out).withColumn(MAX_HOURS, ship_hours_floor(MAX_HOURS))
+    out = auction_features(out).withColumn(RAW_LANDED, F.col(LANDED))
+    return minmax(out, AUCTION, [LISTING, SHIPPING, LANDED, IDEAL_POINT])
+
+
+def _product_part(out: DataFrame, source: DataFrame, minima: DataFrame | None) -> DataFrame:
+    """W5 (+J3) -> W6 by product -> P12.  The product statistics come from the
+    narrow input; the join is last, so rows leave the auction partitioning once."""
+    stats = landed_price(source.select(PRODUCT, LISTING, SHIPPING)).select(PRODUCT, LANDED)
+    out = diff_to_min_product(out, minima, normalise=True, price=RAW_LANDED, source=stats)
+    return drop_if_present(out, POST_DROP + [PLATFORM, RAW_LANDED])
+
+
 def add_features(df: DataFrame, platform_dim: DataFrame,
                  minima: DataFrame | None = None) -> DataFrame:
     """Shared part of FP1/FP2: P11 -> P12 -> P8, W1 -> W2, W3 -> P9 -> W4
     -> W5 (+J3 with ``minima``) -> W6 of listing, shipping, landed, ideal
     point by auction, product diff by product -> P12."""
-    out = platform_seller(df, platform_dim)
-    out = drop_if_present(out, PRE_DROP)
-    out = landed_price(out).withColumn(MAX_HOURS, ship_hours_floor(MAX_HOURS))
-    out = auction_features(out)                          # W1 W2 W3 W4, one window pass
-    out = diff_to_min_product(out, minima, normalise=True)
-    out = minmax(out, AUCTION, [LISTING, SHIPPING, LANDED, IDEAL_POINT])
-    return drop_if_present(out, POST_DROP + [PLATFORM])
+    return _product_part(_auction_part(df, platform_dim), df, minima)
+
+
+def candidate_features(frame: DataFrame, platform_dim: DataFrame,
+                       minima: DataFrame | None = None) -> DataFrame:
+    """FP2 columns on R2 rows (offers and candidates of an auction together).
+
+    The landed price is the row's own (a candidate's is its grid price); the
+    product difference is taken to the stored minimum, else to the history
+    minimum of R2, and scaled by auction, as one job per auction sees it.
+    """
+    out = platform_seller(frame, platform_dim).withColumn(MAX_HOURS, ship_hours_floor(MAX_HOURS))
+    out = auction_features(out)
+    if minima is not None:
+        known = minima.select(PRODUCT, F.col("min_landed").alias("_known"))
+        out = out.join(known, on=PRODUCT, how="left").withColumn(
+            DIFF_MIN_PRODUCT, F.col(LANDED) - F.coalesce("_known", "ProductMinPrice")).drop("_known")
+    out = minmax(out, AUCTION, [LISTING, SHIPPING, LANDED, IDEAL_POINT, DIFF_MIN_PRODUCT])
+    return out.drop(PLATFORM)
 
 
 def code_text(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
@@ -51,11 +84,13 @@ def code_text(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 def train_features(df: DataFrame, platform_dim: DataFrame,
                    minima: DataFrame | None = None) -> DataFrame:
     """FP1: add_features -> P10 -> W12 (every column but label, product
-    diff, auction, product min-max scaled by auction).  The auction id is
-    text-coded last, after it has served as the grouping key."""
-    f = code_text(add_features(df, platform_dim, minima), skip=[AUCTION])
-    f = normalise_all(f, AUCTION, exclude=(WINNER, DIFF_MIN_PRODUCT, AUCTION, PRODUCT))
-    return code_text(f)
+    diff, auction, product min-max scaled by auction).  W12 does not touch the
+    product difference, so it runs before the product join, while rows are
+    still partitioned by auction; the ids are text-coded last, after they
+    have served as keys."""
+    f = code_text(drop_if_present(_auction_part(df, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT])
+    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT))
+    return code_text(_product_part(f, df, minima))
 
 
 def serve_features(df: DataFrame, platform_dim: DataFrame, minima: DataFrame | None,

@@ -32,6 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BIDSCOPE_DRIVER_MEMORY", "16g"))
@@ -44,22 +45,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our
-    own (a fresh local folder) when it is unset, which happens in tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
+    leave it unset (a fresh local folder is used, as in tests); elsewhere a
+    machine-local folder would not be seen by the other executors, so this
+    raises.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="bidscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
-    Survives executor loss (unlike a local checkpoint); used inside
-    iterative loops (boosting rounds) so plans do not grow per round.
+    Survives executor loss (unlike a local checkpoint).  Spark removes the
+    files when the frame is no longer referenced
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

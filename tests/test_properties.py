@@ -40,8 +40,8 @@ def test_grid_sorted_within_bounds_and_recommendation_on_grid(offers):
     cand = frame.where("is_candidate")
     bad = cand.where((F.col("LandedPrice") < F.col("lo") - 0.0051) | (F.col("LandedPrice") > F.col("hi") + 0.0051))
     assert bad.count() == 0
-    sm = RP.smooth_curve(RP.score_candidates(frame, 0.5), ("CompetitionName",), 1)
-    _, rec = RP.recommend(sm, frame)
+    sm = RP.smooth_curve(RP.score_candidates(frame, 0.5), ("CompetitionName",), 1, RP.CONTEXT)
+    _, rec = RP.recommend(sm)
     on_grid = rec.join(cand.select("CompetitionName", F.round("LandedPrice", 2).alias("RecommendedPrice")),
                        on=["CompetitionName", "RecommendedPrice"], how="left_semi")
     assert on_grid.count() == rec.count() == offers.select("CompetitionName").distinct().count()
@@ -78,3 +78,38 @@ def test_knn_matches_brute_force(spark):
         nn = sorted(range(len(pts)), key=lambda j: (d[i, j], j))[:3]
         vals, counts = np.unique(labels[nn], return_counts=True)
         assert got[i] == int(vals[np.argmax(counts)])
+
+
+def test_previous_win_with_a_hot_key(spark):
+    """One seller with a third of all wins; ranges give the pairs of one window."""
+    from bidscope.operators.events import previous_win
+    from pyspark.sql import Window
+    rows = [(f"a{i}", "hot" if i % 3 == 0 else f"w{i % 17}", float(i * 7 % 1000), "m", "p", i % 2, float(i))
+            for i in range(3000)]
+    wins = spark.createDataFrame(rows, "File string, WinnerId string, Time double, MarketplaceId string, "
+                                       "ProductId string, IsCustomer int, LandedPrice double")
+    got = previous_win(wins, ["Time", "File"])
+    w = Window.partitionBy("MarketplaceId", "WinnerId", "ProductId").orderBy("Time", "File")
+    want = wins.select("MarketplaceId", "WinnerId", "ProductId", F.lag("File").over(w).alias("File"),
+                       F.lag("Time").over(w).alias("Time"), F.lag("IsCustomer").over(w).alias("IsCustomer"),
+                       F.lag("LandedPrice").over(w).alias("LandedPrice"), F.col("IsCustomer").alias("Next"),
+                       F.col("File").alias("NextId"), F.col("LandedPrice").alias("NextPrice")).dropna()
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_markets_table_and_local_dimension(spark, offers):
+    from bidscope.schema import PLATFORM_SELLERS, platform_dimension
+    dim = platform_dimension(spark)
+    assert W.local_table(dim).count() == len(PLATFORM_SELLERS) and W.local_table(dim, 3) is dim
+    row = spark.createDataFrame([("A1PA6795UKMFR9", "x"), ("??", "y")], "MarketplaceId string, SellerId string")
+    got = {r["MarketplaceId"]: r["PlatformSellerId"] for r in W.platform_seller(row, dim).collect()}
+    assert got == {"A1PA6795UKMFR9": "A3JWKAKR8XB7XF", "??": "nothing"}
+    assert W.known_markets(row, dim).count() == 1
+
+
+def test_half_cent_grid_end_is_the_same_on_every_host(spark):
+    """lo = mid and hi on a half cent: the snap decides, not the last bit of pow."""
+    from bidscope.functions.grid import grid_cents
+    xs = [1.005, 2.675, 10.125, 64.1250000000001, 64.1249999999999, 3.14159]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(grid_cents(F.col("x"))).collect()]
+    assert got == [1.0, 2.68, 10.12, 64.12, 64.12, 3.14]
