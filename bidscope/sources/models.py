@@ -1,40 +1,89 @@
 """Model store and registry.
 
-Layout: ``root/market=<m>/clf=<c>/ts=<t>/{model, minima, features}`` plus
+Layout: ``root/market=<m>/clf=<c>/ts=<t>/{model, minima, features, meta}`` plus
 an append-only ``root/_registry`` parquet table (one row per saved
-model).  The newest model per (market, classifier) is chosen with a
-window over the registry, which holds one row per saved model.
+model, written last).  The newest model per (market, classifier) is chosen
+with a window over the registry, which holds one row per saved model.
+
+Spark ML models are stored as a ``PipelineModel`` with their assembler;
+AdaBoost as a table of stumps; RBF-SVM as a table of its random features and
+two models; 3-NN as its training points.
 """
 
 from __future__ import annotations
 
 import time
 
+import numpy as np
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bidscope.operators.models import AdaBoostModel, NearestNeighboursModel, RbfSvmModel
 from bidscope.schema import ALL_CLASSIFIERS
 
+STUMP = "position int, feature int, threshold double, left double, right double, alpha double"
+
 
 def model_dir(root: str, market: str, clf: int, ts: int) -> str:
     return f"{root}/market={market}/clf={clf}/ts={ts}"
 
 
+def _write_model(spark: SparkSession, model, features: list[str], path: str) -> str:
+    """Write the model under ``path``; returns its kind."""
+    if isinstance(model, AdaBoostModel):
+        rows = [(i, *s) for i, s in enumerate(model.stumps)]
+        spark.createDataFrame(rows, STUMP).write.parquet(path)
+        return "adaboost"
+    if isinstance(model, RbfSvmModel):
+        rows = [(i, [float(x) for x in w], float(b)) for i, (w, b) in enumerate(zip(model.w, model.b))]
+        spark.createDataFrame(rows, "position int, w array<double>, b double").write.parquet(f"{path}/random")
+        model.svc.save(f"{path}/svc")
+        model.platt.save(f"{path}/platt")
+        return "rbf_svm"
+    if isinstance(model, NearestNeighboursModel):
+        model.points.withColumn("k", F.lit(model.k)).write.parquet(path)
+        return "nearest"
+    if isinstance(model, MLWritable):
+        assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+        PipelineModel([assembler, model]).save(path)
+        return "pipeline"
+    raise TypeError(f"no stored form for {type(model).__name__}")
+
+
+def _read_model(spark: SparkSession, kind: str, path: str):
+    if kind == "adaboost":
+        rows = spark.read.parquet(path).orderBy("position").collect()       # one row per round
+        return AdaBoostModel([tuple(r)[1:] for r in rows])
+    if kind == "rbf_svm":
+        rows = spark.read.parquet(f"{path}/random").orderBy("position").collect()   # one row per random feature
+        return RbfSvmModel(np.array([r["w"] for r in rows]), np.array([r["b"] for r in rows]),
+                           LinearSVCModel.load(f"{path}/svc"), LogisticRegressionModel.load(f"{path}/platt"))
+    if kind == "nearest":
+        points = spark.read.parquet(path)
+        return NearestNeighboursModel(points.drop("k"), points.first()["k"])
+    return PipelineModel.load(path).stages[-1]
+
+
 def save_model(spark: SparkSession, root: str, market: str, trained: dict,
                minima: DataFrame | None = None, ranking: DataFrame | None = None,
                ts: int | None = None) -> str:
-    """S9 + S11: model, product minima and feature list; registers it."""
+    """S9 + S11: model, product minima and ordered feature list; then its registry row.
+
+    Raises when the model has no stored form; nothing is registered then.
+    """
     ts = ts or int(time.time() * 1000)
     path = model_dir(root, market, trained["clf"], ts)
-    model = trained["model"]
-    if hasattr(model, "write"):
-        model.write().overwrite().save(f"{path}/model")
+    kind = _write_model(spark, trained["model"], trained["features"], f"{path}/model")
     if minima is not None:
-        minima.write.mode("overwrite").parquet(f"{path}/minima")
-    feats = ranking if ranking is not None else spark.createDataFrame(
-        [(f, None) for f in trained["features"]], "FeatureName string, FI double")
-    feats.write.mode("overwrite").parquet(f"{path}/features")
+        minima.write.parquet(f"{path}/minima")
+    score = {r["FeatureName"]: r["FI"] for r in ranking.collect()} if ranking is not None else {}
+    spark.createDataFrame([(i, f, score.get(f)) for i, f in enumerate(trained["features"])],
+                          "position int, FeatureName string, FI double").write.parquet(f"{path}/features")
+    spark.createDataFrame([(kind, minima is not None)], "kind string, has_minima boolean").write.parquet(f"{path}/meta")
     spark.createDataFrame([(market, int(trained["clf"]), int(ts), path)],
                           "market string, clf int, ts long, path string") \
         .write.mode("append").parquet(f"{root}/_registry")
@@ -53,14 +102,10 @@ def model_registry(spark: SparkSession, root: str, market: str | None = None,
     return reg.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def load_model(spark: SparkSession, path: str, model_cls=None) -> dict:
-    """Model + features (+ minima when saved)."""
-    from pyspark.ml.util import MLReadable  # noqa: F401
-    cls = model_cls or PipelineModel
-    model = cls.load(f"{path}/model")
-    feats = [r["FeatureName"] for r in spark.read.parquet(f"{path}/features").collect()]
-    try:
-        minima = spark.read.parquet(f"{path}/minima")
-    except Exception:  # noqa: BLE001
-        minima = None
-    return {"model": model, "features": feats, "minima": minima}
+def load_model(spark: SparkSession, path: str) -> dict:
+    """Model, features in order, and minima (None when none were saved)."""
+    meta = spark.read.parquet(f"{path}/meta").first()
+    feats = [r["FeatureName"] for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    clf = int(path.rstrip("/").split("/clf=")[1].split("/")[0])
+    return {"model": _read_model(spark, meta["kind"], f"{path}/model"), "features": feats, "clf": clf,
+            "minima": spark.read.parquet(f"{path}/minima") if meta["has_minima"] else None}

@@ -5,8 +5,8 @@ per file, recursive listing, ``*.xml`` only).  Sections may sit anywhere
 in the document, so each section is cut out by element name and parsed
 with ``from_xml`` against a fixed schema; offers are exploded into rows
 with the header values repeated.  A file whose document does not parse,
-or whose offers lack a required tag, goes to the quarantine table as a
-whole (quirks Q1, Q2).
+that has no header section, or whose offers lack a required tag, goes to
+the quarantine table as a whole (quirks Q1, Q2).
 """
 
 from __future__ import annotations
@@ -62,6 +62,8 @@ def parse_notifications(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc = files.select(
         "path", file_stem("path").alias("CompetitionName"),
         F.from_xml("xml", _CHECK_SCHEMA, _PERMISSIVE)["_corrupt"].isNotNull().alias("_broken"),
+        ((_section(F.col("xml"), "NotificationMetaData") == "")
+         | (_section(F.col("xml"), "OfferChangeTrigger") == "")).alias("_headless"),
         F.from_xml(_section(F.col("xml"), "NotificationMetaData"), HEADER_SCHEMA).alias("meta"),
         F.from_xml(_section(F.col("xml"), "OfferChangeTrigger"), TRIGGER_SCHEMA).alias("trig"),
         F.regexp_extract_all("xml", F.lit(r"(?s)(<Offer\b[^>]*>.*?</Offer>)"), 1).alias("frags"))
@@ -77,9 +79,9 @@ def parse_notifications(files: DataFrame) -> tuple[DataFrame, DataFrame]:
             m = m | p["o"][r].isNull()
         return m
 
-    # the whole file fails when its document, time or any offer is bad;
+    # the whole file fails when its document, a header, its time or any offer is bad;
     # decided on the file row itself (works on streams, no window)
-    doc = doc.withColumn("_file_bad", F.col("_broken") | F.col("Time").isNull()
+    doc = doc.withColumn("_file_bad", F.col("_broken") | F.col("_headless") | F.col("Time").isNull()
                          | F.exists("parsed", bad))
     quarantine = doc.where("_file_bad").select("path", "CompetitionName")
     rows = (doc.where(~F.col("_file_bad"))

@@ -4,7 +4,6 @@ format is CSV.  Writers never overwrite the path they were read from."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,25 +18,24 @@ def read_offers_csv(spark: SparkSession, path: str,
                     schema: T.StructType = OFFER_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """Header CSV with an explicit schema (never inferred).
 
-    PERMISSIVE with a corrupt-record column: lines with too many fields or
-    unparsable values come back flagged and are split off (the original
-    dropped them); short lines are null-padded as pandas pads them.
-    Returns (good rows, bad raw lines).
+    PERMISSIVE with a corrupt-record column.  A flagged line is parsed once
+    more as text fields: with a field too many, or a field that is there but
+    does not parse, it is bad; otherwise it was only short and stays with
+    nulls, as pandas pads it.  Returns (good rows, bad raw lines).
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    # parsed once and kept: Spark refuses queries that read only the
-    # corrupt-record column straight from the raw file
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path)
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    # flagged lines with fewer fields than the schema are kept null-padded
-    # (as pandas pads them); longer lines and unparsable values are bad
-    n_fields = F.size(F.split(F.col(CORRUPT), ","))
-    short_ok = n_fields < F.lit(len(schema.fields))
-    bad_flag = F.col(CORRUPT).isNotNull() & ~short_ok
-    good = df.where(~bad_flag).drop(CORRUPT)
-    bad = df.where(bad_flag).select(F.col(CORRUPT).alias("line"))
-    return good, bad
+    # without column pruning: a pruned parser does not see that a line is too long
+    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
+          .option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path))
+    names = [f"f{i}" for i in range(len(schema.fields) + 1)]
+    raw = F.from_csv(F.col(CORRUPT), ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    df = df.withColumn("_raw", raw)
+    broken = F.col("_raw")[names[-1]].isNotNull()
+    for n, f in zip(names, schema.fields):
+        if not isinstance(f.dataType, T.StringType):
+            broken = broken | (F.col("_raw")[n].isNotNull() & F.col(f.name).isNull())
+    flagged = F.col(CORRUPT).isNotNull() & broken
+    return (df.where(~flagged).drop(CORRUPT, "_raw"), df.where(flagged).select(F.col(CORRUPT).alias("line")))
 
 
 def _guard(df: DataFrame, path: str) -> None:
@@ -59,10 +57,16 @@ def write_offers(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
 
 
-def write_markets(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
-    """One partition directory per MarketplaceId; returns A3 sizes."""
+def write_markets(df: DataFrame, path: str, mode: str = "errorifexists", files: int = 8) -> DataFrame:
+    """One partition directory per MarketplaceId; returns A3 sizes.
+
+    Each market is dealt to ``files`` tasks by a hash of the row, so a large
+    market is neither one task nor one file.
+    """
     _guard(df, path)
-    df.repartition(MARKET).write.mode(mode).partitionBy(MARKET).parquet(path)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, F.col(MARKET), salt).write.mode(mode).partitionBy(MARKET).parquet(path)
     return market_sizes(df)
 
 

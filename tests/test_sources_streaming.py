@@ -72,9 +72,11 @@ def test_csv_permissive_and_markets(spark, offers):
     header = ",".join(f.name for f in OFFER_SCHEMA.fields)
     good = "1,M1,P1,S1,0,1,1,10.0,2.0,48,24,NOW,1,FR,,98,10,new,1,1.5,C1"
     with open(path, "w") as fh:
-        fh.write("\n".join([header, good, good + ",extra,fields", "1,M1,P1"]) + "\n")
+        fh.write("\n".join([header, good, good + ",extra,fields", "1,M1,P1", '1,"M,1,2,3","P,,,,,,,,,,,,,,,,,,,,1"',
+                            "1,M1,P1,S1,0,1,1,cheap"]) + "\n")
     ok, bad = read_offers_csv(spark, path)
-    assert ok.count() == 2 and bad.count() == 1
+    assert sorted(r["MarketplaceId"] for r in ok.collect()) == ["M,1,2,3", "M1", "M1"]
+    assert sorted(r["line"].rsplit(",", 1)[1] for r in bad.collect()) == ["cheap", "fields"]
     out = os.path.join(d, "markets")
     sizes = write_markets(offers.drop("l_shipdate", "auction_time"), out)
     back = read_markets(spark, out)

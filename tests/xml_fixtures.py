@@ -51,9 +51,11 @@ def write_tree(root: str) -> dict:
         "a/b/broken.xml": "<Notification><NotificationMetaData><SellerId>x</SellerId>",
         "a/b/missing.xml": notification("S5", "A13V1IB3VIYZZH", "P2", "2017-01-29T10:00:00.000Z",
                                         [offer("S5", winner=None)]),
+        "a/b/headless.xml": "<Notification>" + notification(
+            "", "A13V1IB3VIYZZH", "P3", "2017-01-29T11:00:00.000Z", [offer("")]).split("</NotificationMetaData>")[1],
         "a/notes.txt": "not xml",
     }
     for name, text in files.items():
         with open(os.path.join(root, name), "w") as fh:
             fh.write(text)
-    return {"good_rows": 5, "bad": {"broken", "missing"}}
+    return {"good_rows": 5, "bad": {"broken", "missing", "headless"}}
