@@ -11,10 +11,9 @@ from bidscope.operators import features as W
 from bidscope.operators import reprice as RP
 from bidscope.operators.clean import became_customer, winners
 from bidscope.operators.events import offers_of_events, previous_win, select_reprice_events
-from bidscope.operators.ranking import describe
 from bidscope.plans import features as FP
 from bidscope.plans.catalog import CONTEXT_SQL, KEY, KEY_SQL, query, sql_grid
-from bidscope.plans.reprice_jobs import reprice_many, reprice_models
+from bidscope.plans.reprice_jobs import backtest_summary, reprice_many, reprice_models
 from bidscope.schema import AUCTION, LANDED
 
 R = 6
@@ -282,7 +281,7 @@ select clf, count(gap) as count, round(avg(gap), {R}) as mean, round(stddev_samp
   round(max(gap), {R}) as max from gaps group by clf""")
 def q_r8(offers):
     """R8 + A8: recommendation minus next winning price, described per scorer."""
-    return describe(RP.backtest(_results(offers), ["Half", "Featured"]), "gap", ["clf"])
+    return backtest_summary(_results(offers), ["Half", "Featured"])
 
 
 @query("r9_split_by_gap", f"""

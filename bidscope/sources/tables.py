@@ -4,6 +4,8 @@ format is CSV.  Writers never overwrite the path they were read from."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,16 +40,17 @@ def read_offers_csv(spark: SparkSession, path: str,
     return (df.where(~flagged).drop(CORRUPT, "_raw"), df.where(flagged).select(F.col(CORRUPT).alias("line")))
 
 
+def _plain(path: str) -> str:
+    """Path without scheme and doubled slashes, to compare spellings."""
+    return re.sub(r"/+", "/", re.sub(r"^file:", "", path)).rstrip("/")
+
+
 def _guard(df: DataFrame, path: str) -> None:
-    src = set()
-    try:
-        src = {p.rstrip("/") for p in df.inputFiles()}
-    except Exception:  # noqa: BLE001 - streaming / non-file sources
-        pass
-    target = path.rstrip("/")
-    if any(p == target or p.startswith(target + "/") or p.endswith(":" + target)
-           or p.split(":", 1)[-1].startswith(target + "/") for p in src):
-        raise ValueError(f"refusing to overwrite the input {path}")
+    """Refuse to write where the frame is read from."""
+    target = _plain(path)
+    for p in map(_plain, [] if df.isStreaming else df.inputFiles()):
+        if p == target or p.startswith(target + "/"):
+            raise ValueError(f"refusing to overwrite the input {path}")
 
 
 def write_offers(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:

@@ -113,3 +113,39 @@ def test_half_cent_grid_end_is_the_same_on_every_host(spark):
     xs = [1.005, 2.675, 10.125, 64.1250000000001, 64.1249999999999, 3.14159]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(grid_cents(F.col("x"))).collect()]
     assert got == [1.0, 2.68, 10.12, 64.12, 64.12, 3.14]
+
+
+def test_matrix_forms_agree(spark, offers):
+    from bidscope.operators.metrics import auction_count, confusion_matrix, confusion_wide
+    s = scored_offers(offers)
+    long = {(r["actual"], r["predicted"]): r["n"] for r in confusion_matrix(s, "IsBuyBoxWinner", "NewDecision").collect()}
+    wide = {(r["actual"], p): r[str(p)] for r in confusion_wide(s, "IsBuyBoxWinner", "NewDecision").collect() for p in (-1, 1)}
+    assert long == wide
+    assert auction_count(offers).first()[0] == offers.select("CompetitionName").distinct().count()
+
+
+def test_quantiles_without_groups_and_with_ties(spark):
+    import numpy as np
+    vals = [1.0] * 50 + [2.0] * 3 + [7.5, None]
+    df = spark.createDataFrame([(v, "g") for v in vals], "v double, g string")
+    want = np.percentile([v for v in vals if v is not None], [25, 50, 95])
+    for by in ([], ["g"]):
+        r = quantiles(df, "v", [0.25, 0.5, 0.95], by).first()
+        assert [r["q25"], r["q50"], r["q95"]] == pytest.approx(list(want))
+
+
+def test_polynomials_of_a_batch_equal_numpy(spark):
+    """Groups of many sizes, fewer points than coefficients among them."""
+    import numpy as np
+    import warnings
+    rng = np.random.default_rng(4)
+    rows = [(g, float(x), float(rng.normal())) for g in range(30) for x in np.sort(rng.uniform(9, 12, 1 + g % 12))]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    got = {}
+    for r in RP.poly_smooth(df, ["g"], "x", "y", 5).orderBy("g", "x").collect():
+        got.setdefault(r["g"], []).append(r["Smoothed"])
+    for g in range(30):
+        x, y = (np.array([r[i] for r in rows if r[0] == g]) for i in (1, 2))
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            assert got[g] == pytest.approx(list(np.polyval(np.polyfit(x, y, 5), x)), abs=1e-5)

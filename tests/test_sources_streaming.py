@@ -103,3 +103,21 @@ def test_recommend_stream_foreach_batch(spark):
     got = spark.read.parquet(out)
     assert {r["File"] for r in got.collect()} == {"good1", "good2"}
     assert got.where(F.col("RecommendedPrice") <= 0).count() == 0
+
+
+def test_writers_round_trip_and_guard(spark, offers):
+    """S5, S8, S11-S13."""
+    import pytest
+    from bidscope.sources import tables as T
+    d = tempfile.mkdtemp(prefix="bidscope-out-")
+    small = offers.select("MarketplaceId", "CompetitionName", "ListingPrice").limit(200)
+    T.write_offers(small, f"{d}/offers")
+    T.write_offers(small, f"{d}/csv", fmt="csv")
+    back = T.read_table(spark, f"{d}/offers")
+    assert back.exceptAll(small).count() == 0 and back.count() == 200
+    assert spark.read.option("header", True).csv(f"{d}/csv").count() == 200
+    T.write_feature_frame(small, f"{d}/frame")
+    assert T.read_markets(spark, f"{d}/frame").count() == 200
+    T.write_table(small, f"{d}/table")
+    with pytest.raises(ValueError):
+        T.write_table(T.read_table(spark, f"{d}/table"), f"{d}/table")
