@@ -28,6 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         new = store.staged(step.join(jump, "mid", "left")
                            .select("node", "was", F.least("mid", F.coalesce("far", "mid")).alias("comp")), "labels")
         changed = not new.where("was <> comp").isEmpty()
+        store.drop_staged(label)
         label = new.select("node", "comp")
         if not changed:
+            store.drop_staged(both)
             return label

@@ -64,6 +64,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         read.select("id", "text_sha256", "row").join(ordered, "row", "left")
             .select("id", "text_sha256", F.coalesce("recipe", F.expr("cast(array() as array<struct<h: bigint, k: int>>)"))
                     .alias("recipe")), "recipes")
+    store.drop_staged(read)
     last = F.lit((1 << 63) - 1)
     groups = (rows.groupBy("recipe").agg(F.min(F.coalesce("id", last)).alias("low"), F.count(F.lit(1)).alias("group_size"))
               .select(F.xxhash64("recipe").alias("gk"), F.col("recipe").alias("gr"), "low", "group_size"))

@@ -166,6 +166,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, separator: int
         last = tasks == 1 or (before is not None and before[0] > 0.95 * before[1])
         packed = store.staged(rows.repartition(tasks, "unit").mapInArrow(
             _pack(capacity, slack, last), ROW + ", open boolean"), "round")
+        if not emitted:
+            store.drop_staged(pieces)
         emitted.append(packed.where("not open"))
         if last:
             break

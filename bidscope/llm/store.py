@@ -48,13 +48,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Remove the files of a staged table that no later step reads."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/bidscope-" in folder:
-            jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def drop_staged(*frames: DataFrame) -> None:
+    """Remove the files of staged tables that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/bidscope-" in folder:
+                jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
