@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from bidscope.llm import textkernels as K
 from bidscope.llm.near_dedup import bags, near_dedup, signatures
@@ -46,8 +47,11 @@ def near_copies(rng, base, n, share):
     return out
 
 
-def test_classes_equal_all_links(spark, corpus, rng):
+@pytest.mark.parametrize("block", [256, 8])
+def test_classes_equal_all_links(spark, corpus, rng, monkeypatch, block):
+    from bidscope.llm import near_dedup as module
     from llm_fixtures import prose
+    monkeypatch.setattr(module, "BLOCK", block)
     rows = list(corpus)
     for share, n in ((0.005, 30), (0.02, 25), (0.03, 25)):
         rows += [(10_000 + len(rows) + i, t) for i, t in enumerate(near_copies(rng, prose(rng, 200), n, share))]
