@@ -57,8 +57,11 @@ def _frequencies(passage: int, dims: int):
                 new = np.ones(len(h), bool)
                 new[1:] = (unit[1:] != unit[:-1]) | (row[1:] != row[:-1])
                 unit = np.cumsum(new) - 1
-                term = (h % U64(dims)).astype(np.int64)
-                df[:dims] += np.bincount(np.unique(unit * dims + term) % dims, minlength=dims)
+                pair = unit * dims + (h % U64(dims)).astype(np.int64)
+                pair = np.sort(pair.astype(np.int32) if len(h) * dims < 1 << 31 else pair)
+                once = np.ones(len(pair), bool)
+                once[1:] = pair[1:] != pair[:-1]
+                df[:dims] += np.bincount(pair[once] % dims, minlength=dims)
                 df[dims] += unit[-1] + 1 if len(unit) else 0
         yield sums.part_rows(df)
     return run
@@ -140,6 +143,19 @@ class Items:
         return folded(off, body)[0]
 
 
+def _block_sums(terms: np.ndarray, term: np.ndarray, start: np.ndarray, step: int) -> np.ndarray:
+    """Sum of the term vectors of each block of at most ``step`` words (one gather a place)."""
+    size = np.diff(np.append(start, len(term)))
+    out = terms[term[start]]
+    for j in range(1, step):
+        longer = np.flatnonzero(size > j)
+        if len(longer) == len(start):
+            out += terms[term[start + j]]
+        else:
+            out[longer] += terms[term[start[longer] + j]]
+    return out
+
+
 def _search(model, step: int, least_cosine: float, copied: float, paraphrased: float, min_words: int):
     def verdict(items, q, window):
         """(common, answer found) when the window holds the item, else None."""
@@ -178,7 +194,7 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
                     continue
                 first = K.first_places(row, b - a)
                 start = np.flatnonzero((np.arange(len(h)) - first[row]) % step == 0)
-                per = np.add.reduceat(terms[(h % U64(len(terms))).astype(np.int64)], start, axis=0)
+                per = _block_sums(terms, (h % U64(len(terms))).astype(np.int64), start, step)
                 total = np.zeros((len(start) + 1, terms.shape[1]))
                 np.cumsum(per, axis=0, out=total[1:])
                 brow = row[start]
