@@ -283,4 +283,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, passage: int = 64, dims:
 def clean_documents(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents without a hit (null ids compare as equal)."""
     found = store.staged(hits.select(F.col(id_col).alias("_hit")).distinct(), "hits")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+    return docs.join(found, docs[id_col].eqNullSafe(found["_hit"]), "left_anti")

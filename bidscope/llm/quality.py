@@ -14,7 +14,8 @@
 
 Cases: null or empty text has no terms and scores the labels' mean; without any
 usable label every score is 0.5; repeated rows score alike; labels of one id
-that differ are averaged; null ids are scored but never learned from.
+that differ are averaged; null ids are scored but never learned from; a column
+named ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.llm import sums, textkernels as K
+from bidscope.llm import store, sums, textkernels as K
 
 U64 = np.uint64
 _ROWS = 1 << 10
@@ -189,9 +190,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_labelle
     y = np.array([r["y"] for r in known])
     prior = float(y.mean()) if len(y) else 0.5
     k = max(1, min(k, int(np.minimum((y > 0.5).sum(), (y <= 0.5).sum())) or k))
-    rest = [c for c in docs.columns if c != text_col]
-    text = F.col(text_col).cast("string")
-    frame = docs.select(text.alias(text_col) if keep_text else _text(docs, text_col), *rest)
-    shape = T.StructType([f for f in frame.schema.fields if f.name != "_text"]).add("score", "double")
-    return frame.mapInArrow(_score(dims, k, pull, sc.broadcast((idf, basis, vectors, y, prior)),
-                                   0 if keep_text else 1), shape)
+    row, rest = store.packed(docs, [text_col, "score"])
+    frame = docs.select(F.col(text_col).cast("string").alias("text"), row)
+    shape = T.StructType([f for f in frame.schema.fields if keep_text or f.name == "row"]).add("score", "double")
+    out = frame.mapInArrow(_score(dims, k, pull, sc.broadcast((idf, basis, vectors, y, prior)),
+                                  0 if keep_text else 1), shape)
+    cols = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c)
+            for c in docs.columns if c in rest or (keep_text and c == text_col)]
+    return out.select(*cols, "score")

@@ -72,3 +72,10 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def unkeyed(col: str = "id"):
     """The id as given: null again where it was null."""
     return F.when(F.col(col) != F.lit(NULL_ID), F.col(col))
+
+
+def packed(docs: DataFrame, drop=(), name: str = "row"):
+    """All columns but ``drop`` as one struct, so that no name can clash with an
+    operator's own."""
+    rest = [c for c in docs.columns if c not in drop]
+    return (F.struct(*[docs[c] for c in rest]) if rest else F.struct(F.lit(None).alias("none"))).alias(name), rest

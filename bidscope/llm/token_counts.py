@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.llm import textkernels as K
+from bidscope.llm import store, textkernels as K
 from bidscope.llm.packing import byte_ranks
 
 U64 = np.uint64
@@ -147,9 +147,9 @@ def token_counts(docs: DataFrame, vocabulary: str, max_pretoken: int = 64, text_
     pieces, _ = byte_ranks(vocabulary)
     known = docs.sparkSession.sparkContext.broadcast(pieces)      # the vocabulary file, a fixed size
     new = ["n_pretokens", "n_tokens", "micro_score"]
-    rest = [c for c in docs.columns if c != text_col and c not in new]
-    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.struct(*rest).alias("row"))
+    row, rest = store.packed(docs, [text_col, *new])
+    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), row)
     shape = rows.select("row").schema
     for c in new:
         shape = shape.add(c, "long")
-    return rows.mapInArrow(_count(known, max_pretoken), shape).select("row.*", *new)
+    return rows.mapInArrow(_count(known, max_pretoken), shape).select(*[F.col("row")[c].alias(c) for c in rest], *new)

@@ -17,7 +17,8 @@ Broadcasts: candidates and weights, both bounded by ``max_features``.
 
 Cases: null or empty text has no features and scores by the bias alone; without
 confirmed texts every score is the prior; repeated rows score alike; null ids
-are scored but not learned from as positives.
+are scored but not learned from as positives; a column named ``score`` is
+replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.llm import sums, textkernels as K
+from bidscope.llm import store, sums, textkernels as K
 
 U64 = np.uint64
 _PREFIXES = (6, 8)
@@ -213,6 +214,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positi
             part = [unl[i] for i in np.sort(rng.permutation(len(unl))[:max(1, len(unl) * 4 // 5)])]
             fits.append(fit_nnpu(pos, _as_csr(part, len(known)), len(known), prior))
         w, b = np.mean([f[0] for f in fits], axis=0), float(np.mean([f[1] for f in fits]))
-    rest = [c for c in docs.columns if c != text_col]
-    return docs.select(text, *rest).mapInArrow(
-        _score(sc.broadcast((known, w, b))), docs.select(*rest).schema.add("score", "double"))
+    row, rest = store.packed(docs, [text_col, "score"])
+    frame = docs.select(text, row)
+    out = frame.mapInArrow(_score(sc.broadcast((known, w, b))), frame.select("row").schema.add("score", "double"))
+    return out.select(*[F.col("row")[c].alias(c) for c in rest], "score")

@@ -37,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near-duplicates."""
     stays = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["_kept"]), "left_semi").dropDuplicates(["doc_id"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

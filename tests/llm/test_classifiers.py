@@ -60,10 +60,14 @@ def test_empty_texts_no_labels_and_empty_table(spark):
 
 
 def test_extra_columns_stay(spark):
-    docs = spark.createDataFrame([(1, "a b", 5, "z")], "doc_id long, text string, quality int, _y string")
+    docs = spark.createDataFrame([(1, "a b", 5, "z", "t", "s", "r")],
+                                 "doc_id long, text string, quality int, _y string, _text string, score string, row string")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
-    row, = score_quality(docs, labels, F.lit(True)).collect()
-    assert (row["quality"], row["_y"]) == (5, "z") and row["score"] == pytest.approx(0.5)
+    for fn, more in ((score_quality, {}), (score_quality, {"keep_text": True}), (score_toxicity, {})):
+        row, = fn(docs, labels, F.lit(True), **more).collect()
+        assert (row["quality"], row["_y"], row["_text"], row["row"]) == (5, "z", "t", "r")
+        assert 0 <= row["score"] <= 1 and ("text" in row.asDict()) == bool(more)
+    assert score_quality(docs, labels, F.lit(True)).first()["score"] == pytest.approx(0.5)
 
 
 def test_vote_is_exact():
