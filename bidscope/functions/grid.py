@@ -47,7 +47,7 @@ def grid_cents(x) -> Column:
     depending on the host's log and pow; the snap takes that noise away, so
     every host and engine gives the same price.
     """
-    return F.rint(F.round(_lit(x) * 100.0, 6)) / 100.0
+    return F.rint(F.rint(_lit(x) * 1e8) / 1e6) / 100.0
 
 
 def unique_sorted(arr: Column) -> Column:

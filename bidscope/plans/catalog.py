@@ -61,7 +61,7 @@ def sql_logspace(a: str, b: str, n: int) -> str:
 def sql_grid_cents(lst: str) -> str:
     # cents half to even, after a snap to six places of a cent
     return (f"list_transform({lst}, lambda x: "
-            f"round_even(round(x*100.0::double, 6), 0)/100.0::double)")
+            f"round_even(round_even(x*1e8::double, 0)/1e6::double, 0)/100.0::double)")
 
 
 def sql_unique(lst: str) -> str:
