@@ -69,6 +69,13 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def document_key(id_col: str = "id", text_col: str = "text"):
+    """(id, sub): equal for rows that repeat an id and its text; ``sub`` is the text's
+    hash, so rows of one id, or without id, with different texts stay apart."""
+    return F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
+                    F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("sub"))
+
+
 def unkeyed(col: str = "id"):
     """The id as given: null again where it was null."""
     return F.when(F.col(col) != F.lit(NULL_ID), F.col(col))

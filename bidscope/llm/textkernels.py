@@ -143,6 +143,15 @@ def row_hashes(h: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
     return mix((sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]] + size)
 
 
+def run_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of the values of each run [start, end)."""
+    g = mix(h ^ U64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
+    up, down = _pairs(_WORD_BASE, len(g))
+    sums = np.zeros(len(g) + 1, U64)
+    np.cumsum(g * up[:len(g)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
+
+
 def inside(row: np.ndarray, k: int) -> np.ndarray:
     """Whether the k values from each place belong to one row."""
     n = len(row) - k + 1
