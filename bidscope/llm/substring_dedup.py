@@ -196,9 +196,8 @@ def _send_windows(k: int, gram: int, sketch):
         sel = np.flatnonzero(~gone)
         a, b = _runs(place[sel], r[sel], rep[sel])
         keys = rep[sel[a]].view(np.int64) if len(a) else np.zeros(0, np.int64)
-        # the rest of a window's hash besides its representative's 64 bits
-        low = (win[sel] >> U64(16)).astype(np.uint32)
-        blobs += [low[x:y].tobytes() for x, y in zip(a, b)]
+        whole = win[sel]
+        blobs += [whole[x:y].tobytes() for x, y in zip(a, b)]
         ent = [ids[r[sel[a]]], start[sel[a]], b - a, keys]
         cols = [np.concatenate([x, y]).astype(np.int64) for x, y in zip(out, ent)]
         return pa.RecordBatch.from_arrays(
@@ -215,7 +214,7 @@ def _settle(batches):
         return
     t = pa.Table.from_batches(parts).combine_chunks()
     ids, start, n, rep = (t.column(c).to_numpy() for c in ("id", "start", "n", "rep"))
-    blob = np.frombuffer(b"".join(t.column("wins").to_pylist()), np.uint32)
+    blob = np.frombuffer(b"".join(t.column("wins").to_pylist()), U64)
     ent = np.repeat(np.arange(len(n)), n)
     first = np.cumsum(n) - n
     s = start[ent] + (np.arange(len(ent)) - first[ent])
