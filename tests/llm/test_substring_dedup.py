@@ -41,3 +41,42 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark):
 
 def test_empty_table(docs):
     assert substring_dedup(docs.limit(0)).collect() == []
+
+
+def _entries(rows, hot=10 ** 9):
+    """Batches that the second pass sends for (id, text) rows, every window estimated repeated."""
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    from bidscope.llm import substring_dedup as S
+    maps = [np.full(1 << 15, 255, np.uint8)] * 2
+    often = [np.arange(1 << 18, dtype=np.uint64) if hot == 1 else np.zeros(0, np.uint64)] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()),
+                                        pa.array([t for _, t in rows])], names=["id", "sub", "text"])
+    return list(S._send_windows(20, 10, types.SimpleNamespace(value=(18, maps, often)))([batch]))
+
+
+def test_windows_are_told_apart_by_their_whole_hash():
+    import numpy as np
+    import pyarrow as pa
+
+    from bidscope.llm.substring_dedup import _settle
+    (sent,) = _entries([(1, " ".join(map(str, range(60))))])
+    assert all(len(r["wins"]) == 8 * r["n"] for r in sent.to_pylist())
+    wins = [np.array([x], np.uint64).tobytes() for x in (7 << 48 | 5, 9 << 48 | 5, 7 << 48 | 5)]    # alike in 48 bits
+    entries = pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in ([1, 2, 3], [0] * 3, [0] * 3, [1] * 3, [4] * 3)),
+                                          pa.array(wins, pa.binary())], names=["id", "sub", "start", "n", "rep", "wins"])
+    assert [r["id"] for out in _settle([entries]) for r in out.to_pylist()] == [3]
+
+
+def test_windows_around_a_hot_phrase_spread(spark, rng):
+    phrase = " ".join(f"p{i}" for i in range(10))
+    rows = [(i, " ".join(f"a{i}_{j}" for j in range(12)) + f" {phrase} " + " ".join(f"b{i % 7}_{j}" for j in range(12)))
+            for i in range(60)]
+    groups = [r["rep"] for b in _entries(rows, hot=1) for r in b.to_pylist() if r["wins"]]
+    assert len(groups) == len(set(groups))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for hot in (1, 8, 10 ** 9):
+        assert {r[0]: tuple(r)[1:] for r in substring_dedup(df, hot=hot).collect()} == brute(rows, 20)
