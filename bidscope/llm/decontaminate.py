@@ -2,10 +2,8 @@
 
 1. Words are lower-cased and lose their ASCII punctuation.  Passages are runs of
    ``passage`` words; their document frequencies are summed over all texts.
-2. Randomised SVD of the TF-IDF passages, distributed: tasks add X'(X W), the
-   driver takes the leading directions of the finished sum.  The basis is fit on
-   about ``fit_passages`` passages (documents chosen by a hash of their id); the
-   frequencies and the search cover everything.
+2. Randomised SVD of the TF-IDF passages, distributed: tasks add X'(X W) over all
+   passages, the driver takes the leading directions of the finished sum.
 3. Every benchmark item and every window of every text (step ``step`` words, the
    window length nearest to the item's) becomes a whitened latent vector; pairs
    with cosine of ``least_cosine`` or more are candidates.  Window vectors are
@@ -70,21 +68,26 @@ def _frequencies(passage: int, dims: int):
 def _products(passage: int, dims: int, idf, width: int, seed: int):
     def run(batches):
         w = random_matrix(dims, width, seed).astype(np.float32)
-        total = np.zeros((dims, width))
+        total = np.zeros((width, dims))
         for batch in batches:
             for a, b, off, body in K.slices(batch.column(0), 1 << 20):
                 h, row = folded(off, body)
+                if not len(h):
+                    continue
                 unit = (np.arange(len(h)) - K.first_places(row, b - a)[row]) // passage
-                _, unit = np.unique(row * (len(h) + 1) + unit, return_inverse=True)
-                term = (h % U64(dims)).astype(np.int64)
-                for u in range(0, int(unit[-1]) + 1 if len(unit) else 0, 512):
-                    part = (unit >= u) & (unit < u + 512)
-                    n = int(unit[part].max()) - u + 1
-                    x = np.bincount((unit[part] - u) * dims + term[part], minlength=n * dims).reshape(n, dims)
-                    x = x.astype(np.float32) * idf
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    total += x.T @ (x @ w)
-        yield sums.part_rows(total)
+                new = np.ones(len(h), bool)
+                new[1:] = (unit[1:] != unit[:-1]) | (row[1:] != row[:-1])
+                pair = (np.cumsum(new) - 1) * dims + (h % U64(dims)).astype(np.int64)
+                pair = np.sort(pair.astype(np.int32) if len(h) * dims < 1 << 31 else pair)
+                # a passage's terms, once each, in passage order
+                first = np.flatnonzero(np.diff(pair, prepend=-1))
+                unit, term = np.divmod(pair[first].astype(np.int64), dims)
+                x = np.diff(np.append(first, len(pair))).astype(np.float32) * idf[term]
+                x /= np.sqrt(np.bincount(unit, x * x)).astype(np.float32)[unit]
+                y = np.add.reduceat(w[term] * x[:, None], np.flatnonzero(np.diff(unit, prepend=-1)))
+                for j, column in enumerate(np.ascontiguousarray(y.T)):
+                    total[j] += np.bincount(term, column[unit] * x, dims)
+        yield sums.part_rows(total.T)
     return run
 
 
@@ -237,13 +240,11 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
     return run
 
 
-def latent_terms(texts: DataFrame, passage: int, dims: int, rank: int, width: int, fit_passages: int, seed: int):
+def latent_terms(texts: DataFrame, passage: int, dims: int, rank: int, width: int, seed: int):
     """(dims, rank) whitened, IDF-weighted latent vector of every term."""
     df = sums.summed(texts.select("text").mapInArrow(_frequencies(passage, dims), sums.PARTS), (dims + 1,))
     idf = (np.log((1 + df[dims]) / (1 + df[:dims]))).astype(np.float32) + np.float32(1e-3)
-    share = min(1.0, fit_passages / max(df[dims], 1))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    product = sums.summed(texts.where(drawn).select("text").mapInArrow(
+    product = sums.summed(texts.select("text").mapInArrow(
         _products(passage, dims, idf, width, seed), sums.PARTS), (dims, width))
     basis, spectrum = leading_directions(product, random_matrix(dims, width, seed), rank)
     use = spectrum > 1e-3 * max(spectrum.max(), 1e-300)      # below: noise of the products
@@ -251,7 +252,7 @@ def latent_terms(texts: DataFrame, passage: int, dims: int, rank: int, width: in
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, passage: int = 64, dims: int = 1 << 13, rank: int = 48,
-                 width: int = 60, fit_passages: int = 20_000, step: int = 8, least_cosine: float = 0.5,
+                 width: int = 60, step: int = 8, least_cosine: float = 0.5,
                  copied: float = 0.8, paraphrased: float = 0.6, min_words: int = 8, block_items: int = 4096,
                  seed: int = 2, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
@@ -260,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, passage: int = 64, dims:
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                         F.col(id_col).cast("long").alias("doc_id"))
-    terms = latent_terms(texts, passage, dims, rank, width, fit_passages, seed)
+    terms = latent_terms(texts, passage, dims, rank, width, seed)
     queries = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).cast("string").alias("t"))
     out, block = None, []
 

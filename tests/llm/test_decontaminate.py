@@ -92,3 +92,45 @@ def test_empty_tables_and_repeats(spark):
     assert contaminated(docs.limit(0), bench).collect() == []
     assert contaminated(docs, bench.limit(0)).collect() == []
     assert clean_documents(docs, contaminated(docs, bench)).collect() == []
+
+
+def test_basis_is_fit_on_all_passages():
+    import numpy as np
+    import pyarrow as pa
+
+    from bidscope.llm import decontaminate as D
+    from bidscope.llm import textkernels as K
+    from bidscope.llm.quality import random_matrix
+    rng, passage, dims, width = random.Random(5), 8, 64, 6
+    texts = [prose(rng, rng.randint(0, 60)) for _ in range(50)] + ["", "a a a"]
+    idf = np.random.default_rng(1).random(dims).astype(np.float32) + np.float32(.1)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (got,) = D._products(passage, dims, idf, width, 3)([batch])
+    got = np.frombuffer(b"".join(got.column(1).to_pylist())).reshape(dims, width)
+    rows = []
+    for t in texts:
+        h = D.Items._words(pa, t)
+        rows += [np.bincount((h[i:i + passage] % np.uint64(dims)).astype(int), minlength=dims) * idf for i in range(0, len(h), passage)]
+    x = np.array([r / np.linalg.norm(r) for r in rows])
+    np.testing.assert_allclose(got, x.T @ (x @ random_matrix(dims, width, 3)), rtol=1e-4, atol=1e-4)
+
+
+def test_basis_does_not_depend_on_a_sample(spark, monkeypatch):
+    from bidscope.llm import decontaminate as D
+    rng, seen = random.Random(6), []
+    docs = spark.createDataFrame([(i, prose(rng, 640)) for i in range(2200)], "doc_id long, text string")     # 22,000 passages
+    summed = D.sums.summed
+
+    def spy(parts, shape):
+        out = summed(parts, shape)
+        seen.append(out)
+        return out
+    monkeypatch.setattr(D.sums, "summed", spy)
+    D.latent_terms(docs, 64, 256, 4, 6, seed=2)
+    import numpy as np
+    df = seen[0]
+    idf = (np.log((1 + df[256]) / (1 + df[:256]))).astype(np.float32) + np.float32(1e-3)
+    texts = docs.select("text")
+    full = summed(texts.mapInArrow(D._products(64, 256, idf, 6, 2), D.sums.PARTS), (256, 6))
+    assert df[256] == 22_000
+    np.testing.assert_allclose(seen[1], full, rtol=1e-6, atol=1e-6)
