@@ -11,13 +11,17 @@
 4. A candidate is checked on its words: the longest common subsequence (LCS) of item and
    window must hold ``copied`` of the item's words, or, for a paraphrase,
    ``paraphrased`` of them while the item's answer (its last sentence, or the
-   last quarter of a single sentence) is found to ``copied``.
+   last quarter of a single sentence) is found to ``copied``.  Of neighbouring
+   candidates of one item they are checked by falling number of words the item has,
+   until one passes or none with enough of them is left.
+5. Items with fewer than ``min_words`` words are also looked for at every place, by
+   the hash of their words in a row, whatever their cosine.
 
 The benchmark is the stated query set: it is broadcast in blocks of at most
 ``block_items`` items, one scan of the texts per block.
 
 Cases: null or empty texts and items match nothing; items with fewer than
-``min_words`` words must be found whole; repeated rows report alike, once each;
+``min_words`` words must be found whole (cosine 1 where step 5 finds them); repeated rows report alike, once each;
 a null doc_id stays null; items that repeat report under each of their ids.
 """
 
@@ -140,6 +144,14 @@ class Items:
         for q, h in enumerate(self.words):
             self.bitmap[q, (h & U64((1 << _BITMAP) - 1)).astype(np.int64)] = True
 
+    def short(self, min_words: int):
+        """(words, sorted hashes, their items) of items below ``min_words``, by number of words."""
+        for n in np.unique(self.size[self.size < min_words]):
+            q = np.flatnonzero(self.size == n)
+            whole = np.array([K.window_hashes(self.words[i], int(n))[0] for i in q], U64)
+            order = np.argsort(whole)
+            yield int(n), whole[order], q[order]
+
     @staticmethod
     def _words(pa, text):
         (_, _, off, body), = K.slices(pa.array([text]))
@@ -185,12 +197,22 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
             if len(w):
                 yield w + a, q[c], sim[w, c] / norm[w]
 
+    def whole(short, h, row):
+        """(row, item, place) where all words of a short item follow each other."""
+        for n, known, q in short:
+            at = K.window_hashes(h, n)
+            lo, hi = np.searchsorted(known, at, "left"), np.searchsorted(known, at, "right")
+            for p in np.flatnonzero((hi > lo) & K.inside(row, n)):
+                for i in q[lo[p]:hi[p]]:
+                    yield int(row[p]), int(i), int(p)
+
     def run(batches):
         import pyarrow as pa
         terms, items = model.value
         kinds = np.unique(items.blocks)
+        short = list(items.short(min_words))
         for batch in batches:
-            ids, out = batch.column(1), []
+            ids, out, exact = batch.column(1), [], []
             for a, b, off, body in K.slices(batch.column(0), 1 << 20):
                 h, row = folded(off, body)
                 if not len(h) or not len(kinds):
@@ -213,7 +235,7 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
                         near = has.sum(1)
                         ok = np.flatnonzero(near >= paraphrased * items.size[q])
                         order = ok[np.lexsort((w[ok], brow[w[ok]], q[ok]))]
-                        # of overlapping windows of one item and text, the one with most of its words
+                        # of overlapping windows of one item and text, the first that passes, most of its words first
                         i = 0
                         while i < len(order):
                             j = i + 1
@@ -221,17 +243,21 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
                                    and w[order[j]] - w[order[j - 1]] <= 1):
                                 j += 1
                             run_ = order[i:j]
-                            x = run_[np.argmax(near[run_])]
-                            got = verdict(items, int(q[x]), h[lo[x]:hi[x]].tolist())
-                            if got:
-                                r = int(brow[w[x]])
-                                out.append((a + r, int(q[x]), int(start[w[x]] - first[r]), float(cos[x]), *got))
+                            for x in run_[np.argsort(-near[run_], kind="stable")]:
+                                got = verdict(items, int(q[x]), h[lo[x]:hi[x]].tolist())
+                                if got:
+                                    r = int(brow[w[x]])
+                                    out.append((a + r, int(q[x]), int(start[w[x]] - first[r]), float(cos[x]), *got))
+                                    break
                             i = j
+                for r, q, p in whole(short, h, row):
+                    exact.append((a + r, q, int(p - first[r]), 1.0, int(items.size[q]), True))
             best: dict = {}
             for r, q, place, cos, common, found in out:
                 old = best.get((r, q))
                 if old is None or (common, found, -place) > (old[2], old[3], -old[0]):
                     best[r, q] = (place, cos, common, found)
+            best |= {(r, q): v for r, q, *v in reversed(exact)}         # the first place of each
             rows = [(ids[r].as_py(), items.ids[q], v[0], v[1], v[2], int(items.size[q]), v[3]) for (r, q), v in best.items()]
             cols = list(zip(*rows)) or [()] * 7
             kinds_ = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]

@@ -134,3 +134,35 @@ def test_basis_does_not_depend_on_a_sample(spark, monkeypatch):
     full = summed(texts.mapInArrow(D._products(64, 256, idf, 6, 2), D.sums.PARTS), (256, 6))
     assert df[256] == 22_000
     np.testing.assert_allclose(seen[1], full, rtol=1e-6, atol=1e-6)
+
+
+def test_a_copy_beside_its_scrambled_words_is_found():
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    from bidscope.llm import decontaminate as D
+    rng = random.Random(8)
+    item = [f"q{i}" for i in range(32)]
+    mixed = item * 2
+    rng.shuffle(mixed)
+    other = [f"z{i}" for i in range(8)]
+    text = " ".join([*mixed, *item[:28], *other])         # 28 of 32 words copied, after a stretch of all of them
+    terms = np.random.default_rng(2).standard_normal((512, 24)).astype(np.float32)
+    items = D.Items([7], [" ".join(item)], terms, 8)
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([1])], names=["text", "doc_id"])
+    search = D._search(types.SimpleNamespace(value=(terms, items)), 8, 0.3, 0.8, 0.6, 8)
+    (hits,) = search([batch])
+    assert [(r["doc_id"], r["item_id"]) for r in hits.to_pylist()] == [(1, 7)] and hits.to_pylist()[0]["lcs"] == 28
+
+
+def test_short_items_are_found_at_any_cosine(spark):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 200)) for i in range(30)]
+    rows[4] = (4, rows[4][1] + " Zq, zr zs. " + rows[4][1])
+    rows[5] = (5, rows[5][1] + " zq zr between zs " + rows[5][1])
+    bench = spark.createDataFrame([(1, "zq zr zs"), (2, "zq ZR zs!"), (3, "zs zq")], "item_id long, text string")
+    hits = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in hits if r["cosine"] == 1.0} == {(4, 1), (4, 2)}
+    assert {r["place"] for r in hits if r["cosine"] == 1.0} == {200}
