@@ -50,3 +50,21 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
         if name != "best_fit_packing":
             assert out.columns == docs.columns
         assert out.collect() == []
+
+
+def test_rows_without_id_and_of_one_id_with_different_texts_stay(spark):
+    import random
+
+    from bidscope.llm.line_dedup import line_dedup
+    from bidscope.llm.substring_dedup import substring_dedup
+    from llm_fixtures import prose
+    rng = random.Random(4)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    docs = spark.createDataFrame([(None, a), (None, b), (7, c), (7, d), (8, c), (8, c)], "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in P.near(spark, docs, SF).collect()))
+    assert got == sorted([(0, a), (0, b), (7, c), (7, d)])
+    rows = spark.createDataFrame([(None, f"{a}\nx"), (None, f"y\n{b}"), (7, c), (7, d), (8, f"{c}\n{d}\nz")],
+                                 "doc_id long, text string")
+    assert sorted(r["text"] for r in line_dedup(rows).collect()) == sorted([f"{a}\nx", f"y\n{b}", c, d, "z"])
+    cut = sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substring_dedup(rows).collect())
+    assert cut == [(0, 61, 0), (0, 61, 0), (7, 60, 0), (7, 60, 0), (8, 121, 120)]
