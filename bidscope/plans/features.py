@@ -82,15 +82,15 @@ def code_text(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 
 
 def train_features(df: DataFrame, platform_dim: DataFrame,
-                   minima: DataFrame | None = None) -> DataFrame:
+                   minima: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """FP1: add_features -> P10 -> W12 (every column but label, product
     diff, auction, product min-max scaled by auction).  W12 does not touch the
     product difference, so it runs before the product join, while rows are
     still partitioned by auction; the ids are text-coded last, after they
-    have served as keys."""
-    f = code_text(drop_if_present(_auction_part(df, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT])
-    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT))
-    return code_text(_product_part(f, df, minima))
+    have served as keys.  Columns ``keep`` pass as they are."""
+    f = code_text(drop_if_present(_auction_part(df, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
+    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT, *keep))
+    return code_text(_product_part(f, df, minima), skip=keep)
 
 
 def serve_features(df: DataFrame, platform_dim: DataFrame, minima: DataFrame | None,

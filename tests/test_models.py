@@ -110,3 +110,11 @@ def test_retrain_and_check_features(frame):
                                              frame, 2, drop=["n2"])
     assert "n2" not in {r["FeatureName"] for r in ranking.collect()}
     assert conf.agg(F.sum("n")).first()[0] == frame.count() and winner_f1(scores) > 0.5
+
+
+def test_market_models_cover_every_market_of_the_data(offers):
+    from bidscope.plans.catalog_models import market_frame
+    markets, frame = market_frame(offers)
+    want = {r[0]: r[1] for r in offers.groupBy("MarketplaceId").count().collect()}
+    assert markets == sorted(want) and len(markets) > 3
+    assert {r[0]: r[1] for r in frame.groupBy("market").count().collect()} == want
