@@ -2,10 +2,10 @@
 
 1. Features of a text: its distinct words (lower case, ASCII punctuation off)
    and their first six and eight bytes, as 64-bit hashes.
-2. Candidates: features that at least ``min_df`` confirmed toxic texts share
-   (at most ``max_positive`` texts, ``max_features`` candidates).  Their document
-   frequency in unlabelled text is then counted over all learnable documents,
-   and those clearly more (or less) frequent among toxic texts stay.
+2. Candidates: all features that at least ``min_df`` confirmed toxic texts share
+   (at most ``max_positive`` texts).  Their document frequency in unlabelled text is
+   then counted over all learnable documents, and those clearly more (or less)
+   frequent among toxic texts stay, at most ``max_features``, the clearest first.
 3. Linear classifiers in NumPy minimise the non-negative PU risk
        p E+[l(f)] + max(0, Eu[l(-f)] - p E+[l(-f)])
    with logistic loss and class prior p; the confirmed texts give E+, a bounded
@@ -13,7 +13,8 @@
    term falls below zero the step climbs out of it instead of overfitting.
 4. Every document is scored with the mean of the ``members`` classifiers.
 
-Broadcasts: candidates and weights, both bounded by ``max_features``.
+Broadcasts: candidates, bounded by the words of ``max_positive`` texts, and weights,
+bounded by ``max_features``.
 
 Cases: null or empty text has no features and scores by the bias alone; without
 confirmed texts every score is the prior; repeated rows score alike; null ids
@@ -111,6 +112,13 @@ def _feature_lists(known):
     return run
 
 
+def clearest(z: np.ndarray, z_least: float, most: int) -> np.ndarray:
+    """Places of the at most ``most`` largest |z| of ``z_least`` or more, in order."""
+    size = np.abs(z)
+    order = np.argsort(-size, kind="stable")[:most]
+    return np.sort(order[size[order] >= z_least])
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
@@ -187,11 +195,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positi
     base = docs.where(learn | F.col(id_col).isNull()).select(text, F.col(id_col).cast("long").alias("_id"))
     positive = base.join(F.broadcast(confirmed), "_id").select("_text", "_id")      # max_positive rows
     found = (positive.select("_text").mapInArrow(_positive_counts, "h long, n long")
-             .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_df)
-             .orderBy(F.desc("n"), "h").limit(max_features).collect())
+             .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_df).toArrow())
     n_pos = positive.count()
-    known = np.array([r["h"] for r in found], np.int64).view(U64)
-    in_pos = np.array([r["n"] for r in found], float)
+    known = found.column("h").to_numpy().view(U64)
+    in_pos = found.column("n").to_numpy().astype(float)
     order = np.argsort(known)
     known, in_pos = known[order], in_pos[order]
     df = sums.summed(base.select("_text").mapInArrow(_unlabelled_counts(sc.broadcast(known)), sums.PARTS),
@@ -199,7 +206,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positi
     n_all = df[-1]
     p, u = (in_pos + .5) / (n_pos + 1), (df[:-1] + .5) / (n_all + 1)
     z = (p - u) / np.sqrt(u * (1 - u) / max(n_pos, 1) + 1e-12)
-    known = known[np.abs(z) >= z_least]
+    known = known[clearest(z, z_least, max_features)]
     share = min(1.0, max_unlabelled / max(n_all, 1))
     drawn = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
     sample = (base.where(drawn).select("_text", "_id", F.lit(False).alias("_p"))

@@ -105,3 +105,18 @@ def test_risk_stays_finite_without_overfitting_to_the_sample():
     unl = (np.arange(10), np.zeros(10, int), 200)
     w, b = fit_nnpu(pos, unl, 1, 0.1)
     assert np.isfinite(w).all() and w[0] + b > 0 > b
+
+
+def test_toxic_markers_are_chosen_by_z_not_by_frequency(spark):
+    import numpy as np
+
+    from bidscope.llm.toxicity import clearest, score_toxicity
+    assert clearest(np.array([1., -9, 5, 4, 7]), 4, 3).tolist() == [1, 2, 4]
+    common = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{common} u{i}" + (f" rare{i % 3}" if i < 30 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 if i < 24 else 0) for i in range(24)] + [(i, 0) for i in range(30, 60)],
+                                   "doc_id long, toxic int")
+    from pyspark.sql import functions as F
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels, F.lit(True), max_features=20).collect()}
+    assert min(got[i] for i in range(24, 30)) > max(got[i] for i in range(60, 300))
