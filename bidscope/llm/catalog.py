@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from bidscope.llm.decontaminate import contaminated
 from bidscope.llm.exact_dedup import exact_dedup
+from bidscope.llm.langid import identify_language
 from bidscope.llm.line_dedup import line_dedup
 from bidscope.llm.near_dedup import near_dedup
 from bidscope.llm.packing import pack
 from bidscope.llm.quality import score_quality
 from bidscope.llm.revisit import resolve_revisits
+from bidscope.llm.spelling import spelling_variants
 from bidscope.llm.substring_dedup import substring_dedup
 from bidscope.llm.token_counts import token_counts
 from bidscope.llm.toxicity import score_toxicity
@@ -166,3 +168,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
                             table(spark, sf_dir, "labels"), fold(3) != 1)
     return _scored(scores, fold(3) == 1, 0.7)
+
+
+@query("op11_spelling_variants", """
+with recursive
+tab as (select list(v order by i) as crc from (
+  select i, list_reduce(list_prepend(i, range(8)), lambda s, k: case when s & 1 = 1 then xor(s >> 1, 3988292384) else s >> 1 end) as v
+  from range(256) as r(i))),
+runs as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) as raw from documents),
+lower_ as (select doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w from runs),
+perdoc as (select doc_id, w, count(*) as c, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || w)) as x
+  from lower_ where length(w) >= 6 group by doc_id, w),
+hashed as (select w, c, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda p: cast('0x' || substr(x, p, 2) as bigint))),
+    lambda s, b: xor(s >> 8, crc[(xor(s, b) & 255) + 1]))) as h from perdoc, tab),
+thinned as (select c, case when h % 199 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word from hashed),
+voc as (select word, cast(sum(c) as bigint) as n from thinned where length(word) >= 6 group by word having sum(c) >= 5),
+places as (select word, n, unnest(range(1, length(word) + 1)) as i from voc),
+holes as (select word, n, i, substr(word, 1, i - 1) || '?' || substr(word, i + 1) as hole from places),
+cuts as (select distinct word, n, substr(word, 1, i - 1) || substr(word, i + 1) as cut from places),
+near as (
+  select a.word, a.n, b.word as other, b.n as m from holes a join holes b on a.hole = b.hole and a.word <> b.word
+  union all select c.word, c.n, v.word, v.n from cuts c join voc v on v.word = c.cut
+  union all select v.word, v.n, c.word, c.n from cuts c join voc v on v.word = c.cut),
+best as (select word, n, count(*) as n_near, max(m) as top, min(other) filter (where m = most) as other from (
+    select *, max(m) over (partition by word) as most from near) group by word, n),
+told as (select v.word, v.n, coalesce(b.n_near, 0) as n_near, case when b.top >= 5 * v.n then b.other end as form,
+    case when b.top >= 5 * v.n then b.top end as form_n from voc v left join best b on b.word = v.word),
+chain as (select word, form as last, 1 as d from told where form is not null
+  union all select c.word, t.form, c.d + 1 from chain c join told t on t.word = c.last where t.form is not null)
+select t.word, t.form, coalesce(r.root, t.word) as root, t.n, t.n_near, t.form_n
+from told t left join (select word, arg_max(last, d) as root from chain group by word) r on r.word = t.word""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart and the frequent form of each; one row per word."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_language_id")
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by cross-parsing; one row per document."""
+    out = identify_language(table(spark, sf_dir, "documents"), fold(5) != 0)
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
