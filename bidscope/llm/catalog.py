@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidscope.llm.alignment import align_tokenizers
 from bidscope.llm.decontaminate import contaminated
 from bidscope.llm.exact_dedup import exact_dedup
 from bidscope.llm.langid import identify_language
@@ -209,3 +210,9 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by cross-parsing; one row per document."""
     out = identify_language(table(spark, sf_dir, "documents"), fold(5) != 0)
     return out.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and sentencepiece tokens of every document aligned; one row per document."""
+    return align_tokenizers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))

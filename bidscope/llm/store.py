@@ -58,6 +58,15 @@ def drop_staged(*frames: DataFrame) -> None:
                 jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def size_of(staged: DataFrame) -> int:
+    """Bytes of the files of a staged table."""
+    spark, total = staged.sparkSession, 0
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        total += jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
+    return total
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

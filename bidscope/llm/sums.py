@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from bidscope.llm import store
 
@@ -54,3 +55,69 @@ def summed(parts: DataFrame, shape: tuple[int, ...], dtype: str = "float64") ->
         x = np.frombuffer(r["data"], dtype)
         out[r["block"] * _BLOCK:r["block"] * _BLOCK + len(x)] = x
     return out.reshape(shape)
+
+
+# ---- dense vectors of counts, added as a tree ------------------------------------------------
+
+DENSE = "block int, part int, data binary"
+_FAN_IN = 16
+
+
+def _dense_batch(rows: list):
+    import pyarrow as pa
+    block, part, data = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(part, pa.int32()), pa.array(data, pa.binary())],
+                                      names=["block", "part", "data"])
+
+
+def dense_rows(total: np.ndarray, part: int):
+    """Task ``part``'s vector in Arrow batches of blocks; blocks of zeros are left out."""
+    rows = []
+    for b, i in enumerate(range(0, len(total), _BLOCK)):
+        cut = total[i:i + _BLOCK]
+        if cut.any():
+            rows.append((b, part, cut.tobytes()))
+        if len(rows) == 64:
+            yield _dense_batch(rows)
+            rows = []
+    if rows:
+        yield _dense_batch(rows)
+
+
+def _add_parts(dtype: str):
+    """Rows sorted by (block, part) -> one row for each."""
+    def run(batches):
+        key, total = None, None
+        for batch in batches:
+            for block, part, data in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                x = np.frombuffer(data, dtype)
+                if (block, part) == key:
+                    total += x
+                    continue
+                if key is not None:
+                    yield _dense_batch([(*key, total.tobytes())])
+                key, total = (block, part), x.copy()
+        if key is not None:
+            yield _dense_batch([(*key, total.tobytes())])
+    return run
+
+
+def tree_summed(vectors: DataFrame, length: int, dtype: str = "int64") -> np.ndarray:
+    """The sum of all tasks' vectors (zeros where no task sent one).
+
+    Each round adds the blocks of ``_FAN_IN`` neighbouring parts, so that no task reads
+    more than that of one block, however many tasks there were.
+    """
+    spark = vectors.sparkSession
+    parts, tasks, rows = vectors.rdd.getNumPartitions(), store.shuffle_partitions(spark), vectors
+    while True:
+        parts = -(-parts // _FAN_IN)
+        rows = (rows.withColumn("part", F.expr(f"part div {_FAN_IN}").cast("int"))
+                    .repartition(tasks, "block", "part").sortWithinPartitions("block", "part").mapInArrow(_add_parts(dtype), DENSE))
+        if parts <= 1:
+            break
+    out = np.zeros(length, dtype)
+    for r in rows.collect():
+        x = np.frombuffer(r["data"], dtype)
+        out[r["block"] * _BLOCK:r["block"] * _BLOCK + len(x)] = x
+    return out
