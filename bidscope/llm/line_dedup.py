@@ -1,23 +1,25 @@
-"""Line dedup by fingerprints of line runs.
+"""Line dedup by winnowing over line hashes.
 
 1. A line is a text's part between line feeds that has words; its hash is that of
    its words, so spaces do not matter.  Texts become sequences of line hashes.
-2. A run is long enough with ``gram`` lines and ``min_words`` words.  The shortest
-   long enough run from each line on, and the shortest up to each line, get a
-   fingerprint (``window`` = 1: all of them are kept).  Their contents alone say
-   which runs these are, so a repeated run has them in both places, and each line of
-   a long enough repeated run lies in one that is inside that run.
-3. Every fingerprint joins its earliest place (smallest id, then earliest line) and
-   its lines go from all other places.  One row per place, never pairs of a group.
+2. A run is long enough with ``gram`` lines and ``min_words`` words.  The window of a
+   line is the shortest long enough run from it on; of every window the line with the
+   smallest hash is selected.  Every long enough run that repeats holds a whole window,
+   so both copies select the same line of it: that is the guarantee.
+3. Only selected lines are fingerprints and join their positions.  A position knows its
+   context, a long enough run before and one after it.  Where all positions of a
+   fingerprint have one context, every later position extends its match to both ends
+   of the context, and those lines go.
+4. Where contexts differ, a position is extended to each shortest run (from or up to a
+   line) whose window selected it; each such run joins its own earliest place and
+   goes from all others.  Fingerprints of one position, which are most, end in step 3.
 
 So a line goes exactly when it lies in a run of ``gram`` lines and ``min_words``
-words or more that also stands at an earlier place, be it one line or many (lines
-and runs count as equal when their 64-bit hashes are).
-
-``window`` above 1 is the cheaper, incomplete form: of every ``window`` neighbouring
-grams of ``gram`` lines the one with the smallest hash joins its earliest place, and
-each match is checked line by line and extended both ways.  It misses single
-lines, and longer runs whose fingerprint has an earlier place with a short match.
+words or more that also stands at an earlier place (smaller id, then earlier line), be
+it one line or many: each line of such a run lies in a shortest run inside it, from
+the line on or up to the run's end; the line selected for that run has it inside its
+context.  Lines and runs count as equal when their 64-bit hashes are.  There is one
+row per position or run, never a pair of a group.
 
 A removed line always equals a line at an earlier place, so the first copy of
 everything stays.
@@ -52,132 +54,118 @@ def line_hashes(off: np.ndarray, body: np.ndarray):
     return K.row_hashes(h, first, 3), row[first[:-1]], np.diff(first)
 
 
-def _lines(batches):
-    import pyarrow as pa
-    for batch in batches:
-        hashes, sizes = [], []
-        for a, b, off, body in K.slices(batch.column(1)):
-            h, row, n = line_hashes(off, body)
-            first = K.first_places(row, b - a)
-            hashes += [h[x:y].tobytes() for x, y in zip(first[:-1], first[1:])]
-            sizes += [n[x:y].astype(np.int32).tobytes() for x, y in zip(first[:-1], first[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.binary())],
-                                         names=["id", "lines", "sizes"])
-
-
-def shortest_runs(row: np.ndarray, n: np.ndarray, gram: int, min_words: int):
-    """(start, end) of the shortest runs of ``gram`` lines and ``min_words`` words from
-    each line on and up to each line, inside their rows, each once."""
-    count = len(row)
+def _reaches(n: np.ndarray, gram: int, min_words: int):
+    """(end of the shortest long enough run from each line, start of that up to each
+    line), by lines and words alone; they may leave the line's text."""
     total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-    at = np.arange(count)
+    at = np.arange(len(n))
     end = np.maximum(np.searchsorted(total, total[:-1] + min_words), at + gram)
     start = np.minimum(np.searchsorted(total, total[1:] - min_words, "right") - 1, at + 1 - gram)
-    a, b = np.concatenate([at, start]), np.concatenate([end, at + 1])
-    ok = np.flatnonzero((a >= 0) & (b <= count))
-    ok = ok[row[a[ok]] == row[b[ok] - 1]]
-    pair = np.unique(a[ok] * (count + 1) + b[ok])
-    return pair // (count + 1), pair % (count + 1)
-
-
-def _run_fingerprints(gram: int, min_words: int):
-    """Texts -> (fp, id, place, n) of the shortest runs."""
+    return end, start
+
+
+def range_argmin(v: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Place of the rightmost minimum of each range [start, end), by doubling."""
+    size = end - start
+    out = np.zeros(len(start), np.int64)
+    best, width = np.arange(len(v)), 1
+    while len(size) and width <= size.max():
+        use = np.flatnonzero((size >= width) & (size < 2 * width))
+        a, b = best[start[use]], best[end[use] - width]
+        out[use] = np.where(v[b] <= v[a], b, a)
+        a, b = best[:-width], best[width:]
+        best, width = np.where(v[b] <= v[a], b, a), 2 * width
+    return out
+
+
+def selected(h: np.ndarray, row: np.ndarray, n: np.ndarray, first: np.ndarray, gram: int, min_words: int):
+    """(place, context start, context end) of the selected lines, in order, and
+    (index of the selected line, start, end) of the shortest runs, each with the line
+    that the window of its first line selects."""
+    end, start = _reaches(n, gram, min_words)
+    at = np.arange(len(h))
+    lo, hi = first[row], first[row + 1]
+    window = np.flatnonzero(end <= hi)
+    choice = np.full(len(h), -1, np.int64)
+    choice[window] = range_argmin(h, window, end[window])
+    place = np.unique(choice[window])
+    after, before = np.minimum(place + 1, len(h) - 1), np.maximum(place - 1, 0)
+    right = np.where(place + 1 < hi[place], np.minimum(end[after], hi[place]), hi[place])
+    left = np.where(place > lo[place], np.maximum(start[before], lo[place]), lo[place])
+    up = np.flatnonzero(start >= lo)
+    pair = np.unique(np.concatenate([window * (len(h) + 1) + end[window], start[up] * (len(h) + 1) + at[up] + 1]))
+    a, b = pair // (len(h) + 1), pair % (len(h) + 1)
+    return place, left, right, np.searchsorted(place, choice[a]), a, b
+
+
+PLACE = f"fp long, context long, {KEY}, place long, start long, n long, runs binary"
+
+
+def _positions(gram: int, min_words: int):
+    """Texts -> the positions of their fingerprints, with context and shortest runs."""
     def run(batches):
         import pyarrow as pa
+        kind = np.dtype([("key", "<i8"), ("start", "<i8"), ("n", "<i8")])
         for batch in batches:
-            for a, b, off, body in K.slices(batch.column(1)):
+            for s, e, off, body in K.slices(batch.column(1)):
                 h, row, n = line_hashes(off, body)
-                start, end = shortest_runs(row, n, gram, min_words)
-                fp = K.run_hashes(h, start, end, 5)
-                place = start - K.first_places(row, b - a)[row[start]]
+                if not len(h):
+                    continue
+                first = K.first_places(row, e - s)
+                place, left, right, owner, a, b = selected(h, row, n, first, gram, min_words)
+                if not len(place):
+                    continue
+                base = first[row[place]]
+                context = K.mix(K.run_hashes(h, left, right, 7) + (place - left).astype(U64))
+                order = np.argsort(owner, kind="stable")
+                runs = np.empty(len(a), kind)
+                runs["key"] = K.run_hashes(h, a, b, 5)[order].view(np.int64)
+                runs["start"], runs["n"] = (a - first[row[a]])[order], (b - a)[order]
+                cut = np.searchsorted(owner[order], np.arange(len(place) + 1))
+                blobs = [runs[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.view(np.int64)), batch.column(0).take(pa.array(a + row[start])),
-                     pa.array(place), pa.array(end - start)], names=["fp", "id", "place", "n"])
+                    [pa.array(h[place].view(np.int64)), pa.array(context.view(np.int64)),
+                     batch.column(0).take(pa.array(s + row[place])), pa.array(place - base), pa.array(left - base),
+                     pa.array(right - left), pa.array(blobs, pa.binary())],
+                    names=["fp", "context", "id", "place", "start", "n", "runs"])
     return run
 
 
-def _fingerprints(gram: int, window: int):
-    """Line sequences -> (fp, id, place) of the chosen grams."""
-    def run(batches):
-        import pyarrow as pa
-        for batch in batches:
-            fp, doc, place = [], [], []
-            for i, blob in enumerate(batch.column(1).to_pylist()):
-                g = K.window_hashes(np.frombuffer(blob, U64), gram)
-                at = np.unique(K.window_argmin(g, min(window, len(g)))) if len(g) else np.zeros(0, np.int64)
-                fp.append(g[at].view(np.int64))
-                place.append(at)
-                doc.append(np.full(len(at), i, np.int64))
-            if fp:
-                fp, doc, place = (pa.array(np.concatenate(x).astype(np.int64)) for x in (fp, doc, place))
-                yield pa.RecordBatch.from_arrays([fp, batch.column(0).take(doc), place], names=["fp", "id", "place"])
-    return run
-
-
-def extend(own: np.ndarray, src: np.ndarray, places: list[int], shift: int, gram: int):
-    """Runs [a, b) of ``own`` that equal ``src`` at ``shift`` lines before, around ``places``."""
-    runs, done = [], -1
-    lo, hi = max(0, shift), min(len(own), len(src) + shift)
-    equal = own[lo:hi] == src[lo - shift:hi - shift]
-    cut = np.flatnonzero(~equal) + lo
-    for p in sorted(places):
-        if p < done or p < lo or p + gram > hi or not equal[p - lo:p - lo + gram].all():
-            continue
-        k = np.searchsorted(cut, p)
-        a = cut[k - 1] + 1 if k else lo
-        b = cut[k] if k < len(cut) else hi
-        runs.append((int(a), int(b)))
-        done = b
-    return runs
-
-
-def _extend_all(gram: int, min_words: int):
-    """(id, shift, places, lines, sizes, src_lines) -> (id, start, n)."""
-    def run(batches):
-        import pyarrow as pa
-        for batch in batches:
-            ids, starts, ns = [], [], []
-            for i, (shift, places, lines, sizes, src) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
-                n = np.frombuffer(sizes, np.int32)
-                for a, b in extend(np.frombuffer(lines, U64), np.frombuffer(src, U64), places, shift, gram):
-                    if n[a:b].sum() >= min_words:
-                        ids.append(i)
-                        starts.append(a)
-                        ns.append(b - a)
-            ids, starts, ns = (pa.array(x, pa.int64()) for x in (ids, starts, ns))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(ids), starts, ns], names=["id", "start", "n"])
-    return run
+def _runs(batches):
+    """Positions -> their shortest runs."""
+    import pyarrow as pa
+    kind = np.dtype([("key", "<i8"), ("start", "<i8"), ("n", "<i8")])
+    for batch in batches:
+        blobs = batch.column(1).to_pylist()
+        runs = np.frombuffer(b"".join(blobs), kind)
+        at = np.repeat(np.arange(len(blobs)), [len(x) // kind.itemsize for x in blobs])
+        yield pa.RecordBatch.from_arrays([*(pa.array(runs[c]) for c in ("key", "start", "n")), batch.column(0).take(pa.array(at))],
+                                         names=["fp", "place", "n", "id"])
 
 
-def _earliest(fps: DataFrame) -> DataFrame:
-    """(key, src, src_place): the earliest place of every fingerprint with several."""
-    return (fps.groupBy("fp").agg(F.min(F.struct("id", "place")).alias("one"), F.max(F.struct("id", "place")).alias("other"))
-            .where("one <> other").select(F.bitwise_not("fp").alias("key"), F.col("one.id").alias("src"),
-                                          F.col("one.place").alias("src_place")))
+def _later(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of groups with several places; the join key is a new column, so that a
+    frequent one can be split."""
+    return rows.withColumn("key", F.bitwise_not("fp")).join(
+        groups.where("one <> other").withColumn("key", F.bitwise_not("fp")).drop("fp", "other"), "key").drop("key")
 
 
-def repeated_runs(texts: DataFrame, gram: int, window: int, min_words: int) -> DataFrame:
+def repeated_runs(texts: DataFrame, gram: int, min_words: int) -> DataFrame:
     """(id, start, n): runs of lines that stand at an earlier place, too.
 
     ``texts`` is (id, text), the id a struct of the given id and the text's hash.
     """
-    if window == 1:
-        fps = texts.mapInArrow(_run_fingerprints(gram, min_words), f"fp long, {KEY}, place long, n long")
-        return (fps.withColumn("key", F.bitwise_not("fp")).join(_earliest(fps), "key")
-                .where((F.col("id") != F.col("src")) | (F.col("place") != F.col("src_place")))
-                .select("id", F.col("place").alias("start"), "n"))
-    lines = store.staged(texts.mapInArrow(_lines, f"{KEY}, lines binary, sizes binary")
-                         .where(F.octet_length("lines") >= 8 * gram).dropDuplicates(["id"]), "lines")
-    fps = lines.select("id", "lines").mapInArrow(_fingerprints(gram, window), f"fp long, {KEY}, place long")
-    found = (fps.withColumn("key", F.bitwise_not("fp")).join(_earliest(fps), "key")
-             .where((F.col("id") != F.col("src")) | (F.col("place") != F.col("src_place")))
-             .groupBy("id", "src", (F.col("place") - F.col("src_place")).alias("shift"))
-             .agg(F.collect_set("place").alias("places")))
-    own = lines.select("id", "lines", "sizes")
-    src = lines.select(F.col("id").alias("src"), F.col("lines").alias("src_lines"))
-    return (found.join(own, "id").join(src, "src")
-            .select("id", "shift", "places", "lines", "sizes", "src_lines")
-            .mapInArrow(_extend_all(gram, min_words), f"{KEY}, start long, n long"))
+    ends = [F.min(F.struct("id", "place")).alias("one"), F.max(F.struct("id", "place")).alias("other")]
+    later = (F.col("id") != F.col("one.id")) | (F.col("place") != F.col("one.place"))
+    rows = store.staged(texts.mapInArrow(_positions(gram, min_words), PLACE), "positions")
+    groups = rows.groupBy("fp").agg(*ends, F.min("context").alias("c0"), F.max("context").alias("c1"))
+    found = store.staged(_later(rows, groups).where((F.col("c0") != F.col("c1")) | later)
+                         .select("id", "start", "n", F.when(F.col("c0") != F.col("c1"), F.col("runs")).alias("runs")), "matches")
+    runs = store.staged(found.where("runs is not null").select("id", "runs")
+                        .mapInArrow(_runs, f"fp long, place long, n long, {KEY}"), "runs")
+    extended = _later(runs, runs.groupBy("fp").agg(*ends)).where(later).select("id", F.col("place").alias("start"), "n")
+    store.drop_staged(rows)
+    return found.where("runs is null").select("id", "start", "n").unionByName(extended)
 
 
 def _cut_lines(batches):
@@ -207,15 +195,14 @@ def _cut_lines(batches):
                                           pa.array(removed, pa.int64())], names=["row", "text", "n_lines", "n_removed"])
 
 
-def line_dedup(docs: DataFrame, gram: int = 1, window: int = 1, min_words: int = 10, id_col: str = "doc_id",
+def line_dedup(docs: DataFrame, gram: int = 1, min_words: int = 10, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated lines cut from its text, plus n_lines and n_removed.
 
-    Finds every repeated run of ``gram`` lines and ``min_words`` words; with ``window``
-    above 1 most of ``gram + window - 1`` lines (and some of ``gram``).
+    Finds every repeated run of ``gram`` lines and ``min_words`` words.
     """
     runs = (repeated_runs(store.keyed(docs, id_col, text_col).select(store.document_key().alias("id"), "text"),
-                          gram, window, min_words).distinct()
+                          gram, min_words).distinct()
             .groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("cut"))
             .select(F.col("id").alias("key"), "cut"))
     new = ["n_lines", "n_removed"]

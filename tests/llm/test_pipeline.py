@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from bidscope.llm.catalog import fold
 from bidscope.llm.quality import score_quality
 from test_decontaminate import words
-from test_line_dedup import brute as brute_lines
+from test_line_dedup import exact as exact_lines
 from test_near_dedup import brute as brute_near
 from test_packing import check
 
@@ -21,7 +21,7 @@ def test_run_equals_the_plain_version(spark):
     bad = {r["doc_id"] for r in labels.where("quality = 0").collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if score[r["doc_id"]] >= P.LEAST_QUALITY]
     assert len({i for i, _ in rows} & bad) <= 0.2 * len(bad) and len(rows) > 0.8 * (len(score) - len(bad))
-    cut = brute_lines(rows, 2, 2, 10)
+    cut = exact_lines(rows, 1, 10)
 
     def without(i, text):
         kept, out = list(cut[i][2]), []
