@@ -131,7 +131,7 @@ class Automata:
         self.roots = ends[:-1].astype(np.int32)
         symbols = np.unique(np.concatenate([k & 255 for k in keys])) if keys else np.zeros(0, np.int64)
         #: Class of each byte; the last class stands for bytes that no reference has.
-        self.symbol = np.full(256, len(symbols), np.uint8)
+        self.symbol = np.full(256, len(symbols), np.uint16)
         self.symbol[symbols] = np.arange(len(symbols))
         self.width = len(symbols) // 64 + 1
         state = np.concatenate([(k >> 8) + e for k, e in zip(keys, ends)])
@@ -225,14 +225,20 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", r
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("lang is not null and length(text) > 0").withColumn("h", F.xxhash64("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"),
+                                     F.approx_count_distinct("h").alias("texts"), F.min("h").alias("least")).collect()
     if not sizes:
         return None
     limit = max(512, min(reference_bytes, total_bytes // len(sizes)))
-    # A share of the texts by hash, several times what is needed, so that only those are ordered.
-    share = spark.createDataFrame([(r["lang"], min(1.0, 8 * limit / max(1, r["bytes"]))) for r in sizes], "l string, share double")
-    drawn = rows.join(F.broadcast(share), F.col("lang") == F.col("l")).where(
-        F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).drop("l", "share")
+
+    def share(r):
+        """Share of the texts by hash, several times what is needed, so that only those are ordered."""
+        different = max(1, r["texts"])
+        return min(1.0, max(8 * limit * r["n"] / (r["bytes"] * different), 64 / different))
+
+    shares = spark.createDataFrame([(r["lang"], share(r), r["least"]) for r in sizes], "l string, share double, least long")
+    drawn = rows.join(F.broadcast(shares), F.col("lang") == F.col("l")).where(     # one row a language
+        (F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)) | (F.col("h") == F.col("least"))).drop("l", "share", "least")
     one = drawn.dropDuplicates(["lang", "h"]).withColumn("text", F.substring("text", 1, limit))
     from pyspark.sql import Window
     before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)

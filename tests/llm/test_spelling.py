@@ -59,7 +59,7 @@ def variants(rng, n_docs=160):
         ws = rng.choices(words, weights=[3 ** (len(words) - k) % 97 + 1 for k in range(len(words))], k=rng.randint(0, 60))
         rows.append((i, rng.choice([" ", ", ", "1", "\n"]).join(ws)))
     # A chain of forms, each five times as frequent as the one before.
-    rows += [(1000 + k, " ".join(["chainaaa"] * 5 + ["chainaab"] * 30 + ["chainabb"] * 200 + ["chainbbb"] * 1200)) for k in range(2)]
+    rows += [(1000 + k, " ".join(["chainaaa"] * 5 + ["chainaab"] * 40 + ["chainabb"] * 400 + ["chainbbb"] * 4000)) for k in range(3)]
     return rows + [(5, None), (None, "letter letter leters"), (None, "lettex " * 7), (6, ""), (7, "letter " * 3000), (7, "letter " * 3000)]
 
 
