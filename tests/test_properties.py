@@ -61,23 +61,77 @@ def test_exact_quantiles_match_numpy(spark):
     assert tuple(r) == (0, 1000, 1001)
 
 
-def test_knn_matches_brute_force(spark):
-    """Band-join kNN equals the NumPy brute force, clustered data."""
+def brute_neighbours(pts, ids, queries, k, exclude_self=True):
+    """Query id -> [(squared distance, id)], differences squared and added in the order of the dimensions."""
     import numpy as np
-    from bidscope.operators.knn import knn_vote
+    out = {}
+    for qid, q in queries:
+        d = np.zeros(len(pts))
+        for j in range(pts.shape[1]):
+            d += (pts[:, j] - q[j]) * (pts[:, j] - q[j])
+        near = sorted((float(x), i) for x, i in zip(d, ids) if not (exclude_self and i == qid))
+        out[qid] = near[:k]
+    return out
+
+
+def points_frame(spark, pts, ids, labels):
+    return spark.createDataFrame([(i, [float(x) for x in p], int(c)) for i, p, c in zip(ids, pts, labels)],
+                                 "vec_id long, embedding array<double>, label int")
+
+
+@pytest.mark.parametrize("tree", [{}, {"fan_out": 4, "leaf_size": 16, "query_part": 20}])
+def test_knn_matches_brute_force(spark, tree):
+    """Neighbours of the metric tree equal the NumPy brute force: clusters, copies of one
+    vector, ties, rows without a vector."""
+    import numpy as np
+    from bidscope.operators.knn import knn_vote, knn_votes
     rng = np.random.default_rng(7)
     centers = rng.normal(size=(4, 8))
-    pts = np.vstack([c + 0.05 * rng.normal(size=(60, 8)) for c in centers])
-    labels = rng.integers(0, 3, size=len(pts))
-    df = spark.createDataFrame([(i, [float(x) for x in p], int(l)) for i, (p, l) in
-                                enumerate(zip(pts, labels))], "vec_id long, embedding array<double>, label int")
-    got = {r["vec_id"]: r["predicted"] for r in knn_vote(df, 3).collect()}
-    d = ((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1)
-    np.fill_diagonal(d, np.inf)
-    for i in range(len(pts)):
-        nn = sorted(range(len(pts)), key=lambda j: (d[i, j], j))[:3]
-        vals, counts = np.unique(labels[nn], return_counts=True)
-        assert got[i] == int(vals[np.argmax(counts)])
+    pts = np.vstack([c + 0.05 * rng.normal(size=(60, 8)) for c in centers] + [np.tile(centers[:1], (80, 1)), rng.integers(0, 2, (30, 8))])
+    labels, ids = rng.integers(0, 3, size=len(pts)), rng.permutation(len(pts)) * 3
+    df = points_frame(spark, pts, ids.tolist(), labels).unionByName(
+        spark.createDataFrame([(99_999, None, 1)], "vec_id long, embedding array<double>, label int"))
+    want = brute_neighbours(pts, ids.tolist(), list(zip(ids.tolist(), pts)), 3)
+    got = {}
+    for r in knn_votes(df, 3, **tree).collect():
+        got.setdefault(r["qid"], []).append((r["d"], r["pid"]))
+    assert {i: sorted(x) for i, x in got.items()} == want
+    label = dict(zip(ids.tolist(), labels.tolist()))
+    votes = {r["vec_id"]: r["predicted"] for r in knn_vote(df, 3, **tree).collect()}
+    for i, near in want.items():
+        vals, counts = np.unique([label[p] for _, p in near], return_counts=True)
+        assert votes[i] == int(vals[np.argmax(counts)])
+
+
+def test_knn_of_other_queries_and_small_tables(spark):
+    import numpy as np
+    from bidscope.operators.knn import knn_votes
+    rng = np.random.default_rng(3)
+    pts, asked = rng.normal(size=(300, 4)), rng.normal(size=(40, 4)) * 3
+    df = points_frame(spark, pts, range(300), np.zeros(300))
+    qs = points_frame(spark, asked, range(40), np.zeros(40))
+    want = brute_neighbours(pts, range(300), list(enumerate(asked)), 5, exclude_self=False)
+    got = {}
+    for r in knn_votes(df, 5, queries=qs, exclude_self=False, fan_out=4, leaf_size=16, query_part=7).collect():
+        got.setdefault(r["qid"], []).append((r["d"], r["pid"]))
+    assert {i: sorted(x) for i, x in got.items()} == want
+    two = knn_votes(df.limit(2), 5).collect()
+    assert sorted((r["qid"], r["pid"]) for r in two) == [(a, b) for a, b in ((0, 1), (1, 0))]
+    assert knn_votes(df.limit(0), 3).collect() == []
+
+
+def test_knn_compares_few_pairs_and_no_leaf_is_large(spark):
+    """On clustered data fewer than n**1.5 distances, and no leaf above its size."""
+    import numpy as np
+    from bidscope.operators.knn import build_tree, nearest_vectors
+    rng = np.random.default_rng(5)
+    n = 4000
+    pts = rng.normal(size=(80, 6))[rng.integers(0, 80, n)] * 10 + 0.1 * rng.normal(size=(n, 6))
+    vectors = points_frame(spark, pts, range(n), np.zeros(n)).select(F.col("vec_id").alias("vid"), F.col("embedding").alias("v"))
+    found = nearest_vectors(vectors, vectors.withColumnRenamed("vid", "qid"), 4, fan_out=8, leaf_size=64)
+    assert found.agg(F.sum("compared")).first()[0] < n ** 1.5
+    tree = build_tree(vectors, fan_out=8, leaf_size=64)
+    assert tree.leaves.count() == n and tree.leaves.groupBy("leaf").count().agg(F.max("count")).first()[0] <= 64
 
 
 def test_previous_win_with_a_hot_key(spark):
