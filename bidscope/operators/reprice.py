@@ -201,6 +201,46 @@ def poly_smooth(df: DataFrame, keys: Sequence[str], x: str, y: str,
     return src.mapInPandas(run, schema)
 
 
+def orthogonal_smooth(df: DataFrame, keys: Sequence[str], x: str, y: str, degree: int = POLY_DEGREE,
+                      out: str = "Smoothed", carry: Sequence[str] = ()) -> DataFrame:
+    """R4 core as JVM expressions: least squares by polynomials that are orthogonal over
+    each group's points.
+
+    With t = x scaled to [-1, 1]: p0 = 1, p(k+1) = (t - a(k)) p(k) - b(k) p(k-1), where
+    a(k) = sum(t p(k)^2) / sum(p(k)^2) and b(k) = sum(p(k)^2) / sum(p(k-1)^2); the fit is
+    the sum of p(k) sum(y p(k)) / sum(p(k)^2).  Each degree is one pass of windows over
+    the same key, so there is one exchange, and none where the rows come partitioned by
+    it.  A degree that vanishes at all points (fewer different x than coefficients)
+    adds nothing.
+
+    The system is well conditioned for every price range, where ``poly_smooth`` follows
+    NumPy's ``polyfit``: that one drops directions of the plain powers below its
+    tolerance, which happens where prices differ by about a hundredth of their size.
+    """
+    keys, cols = list(keys), [*keys, x, y, *carry]
+
+    def over(frame, aggs):
+        return with_group_stats(frame, keys, aggs, "window")
+
+    zero = F.lit(0.0)
+    fit = over(df.select(*cols), {"_lo": F.min(x), "_hi": F.max(x), "_pp": F.sum(F.lit(1.0)), "_fit": F.avg(y)})
+    t = (F.lit(2.0) * F.col(x) - F.col("_lo") - F.col("_hi")) / (F.col("_hi") - F.col("_lo"))
+    fit = fit.withColumn("_t", F.when(F.col("_hi") > F.col("_lo"), t).otherwise(zero)).withColumn("_least", F.lit(1e-20) * F.col("_pp"))
+    fit = over(fit.drop("_lo", "_hi"), {"_tp": F.sum("_t")}).withColumns({"_p": F.lit(1.0), "_q": zero, "_qq": F.lit(1.0)})
+    for k in range(degree):
+        some = F.col("_pp") > F.col("_least")
+        step = (F.col("_t") - F.col("_tp") / F.col("_pp")) * F.col("_p")
+        if k:
+            step = step - F.col("_pp") / F.col("_qq") * F.col("_q")
+        fit = fit.withColumn("_new", F.when(some, step).otherwise(zero))
+        fit = over(fit, {"_nn": F.sum(F.col("_new") * F.col("_new")), "_yn": F.sum(F.col(y) * F.col("_new")),
+                         "_tn": F.sum(F.col("_t") * F.col("_new") * F.col("_new"))})
+        add = F.when(F.col("_nn") > F.col("_least"), F.col("_new") * F.col("_yn") / F.col("_nn")).otherwise(zero)
+        fit = fit.select(*cols, "_t", "_least", (F.col("_fit") + add).alias("_fit"), F.col("_new").alias("_p"), F.col("_p").alias("_q"),
+                         F.col("_nn").alias("_pp"), F.col("_pp").alias("_qq"), F.col("_tn").alias("_tp"))
+    return fit.select(*cols, F.col("_fit").alias(out))
+
+
 def linear_smooth(df: DataFrame, keys: Sequence[str], x: str, y: str,
                   out: str = "Smoothed", carry: Sequence[str] = ()) -> DataFrame:
     """R4 with degree 1: regr_slope / regr_intercept per group (SQL-expressible)."""
@@ -217,14 +257,18 @@ CONTEXT = ("CustomerPrice", "WinnerPrice", "CustomerStatus")
 
 
 def smooth_curve(scored: DataFrame, keys: Sequence[str] = (AUCTION,),
-                 degree: int = POLY_DEGREE, carry: Sequence[str] = ()) -> DataFrame:
+                 degree: int = POLY_DEGREE, carry: Sequence[str] = (), orthogonal: bool = False) -> DataFrame:
     """Fit Score on price over the candidates, evaluate, clip to 0..100.
 
     Output: keys, Price (= candidate LandedPrice), Score, ``carry``, Smoothed.
+    ``orthogonal`` fits by orthogonal polynomials instead of NumPy's ``polyfit``.
     """
     cand = scored.where("is_candidate").select(*keys, F.col(LANDED).alias("Price"), "Score", *carry)
-    fit = (linear_smooth(cand, keys, "Price", "Score", carry=carry) if degree == 1
-           else poly_smooth(cand, keys, "Price", "Score", degree, carry=carry))
+    if orthogonal:
+        fit = orthogonal_smooth(cand, keys, "Price", "Score", degree, carry=carry)
+    else:
+        fit = (linear_smooth(cand, keys, "Price", "Score", carry=carry) if degree == 1
+               else poly_smooth(cand, keys, "Price", "Score", degree, carry=carry))
     return fit.withColumn("Smoothed", clip("Smoothed", 0.0, 100.0))
 
 

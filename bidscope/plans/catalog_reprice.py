@@ -209,6 +209,36 @@ def q_r4p(offers):
     return RP.smooth_curve(sc, (AUCTION,), 5)
 
 
+def orthogonal_sql(source: str, degree: int = RP.POLY_DEGREE) -> str:
+    """DuckDB CTEs of the degree-``degree`` curve over ``source`` (CompetitionName, Price, Score),
+    by polynomials that are orthogonal over each auction's prices; the last is ``o_sm``."""
+    w = "window w as (partition by CompetitionName)"
+    parts = [f"""
+o_x as (select *, min(Price) over w as lo, max(Price) over w as hi, cast(count(*) over w as double) as n,
+  avg(Score) over w as f from {source} {w}),
+o_t as (select *, case when hi > lo then (2.0::double*Price - lo - hi)/(hi - lo) else 0.0::double end as t from o_x),
+o_0 as (select CompetitionName, Price, Score, t, 1e-20::double*n as least_, f, 1.0::double as p, 0.0::double as q,
+  n as pp, 1.0::double as qq, sum(t) over w as tp from o_t {w})"""]
+    for k in range(degree):
+        parts.append(f"""
+o_{k}n as (select *, case when pp > least_ then (t - tp/pp)*p{" - pp/qq*q" if k else ""} else 0.0::double end as nw from o_{k}),
+o_{k}s as (select *, sum(nw*nw) over w as nn, sum(Score*nw) over w as yn, sum(t*nw*nw) over w as tn from o_{k}n {w}),
+o_{k + 1} as (select CompetitionName, Price, Score, t, least_, f + case when nn > least_ then nw*yn/nn else 0.0::double end as f,
+  nw as p, p as q, nn as pp, pp as qq, tn as tp from o_{k}s)""")
+    parts.append(f"""
+o_sm as (select CompetitionName, Price, Score, least(greatest(f, 0.0::double), 100.0::double) as Smoothed from o_{degree})""")
+    return ",".join(parts)
+
+
+@query("r4_smooth_curve_orthogonal", f"""
+with {CONTEXT_SQL},{reprice_sql('a_', HALF)},{orthogonal_sql('a_cand')}
+select CompetitionName, round(Price, {R}) as Price, round(Score, {R}) as Score, round(Smoothed, 4) as Smoothed from o_sm""")
+def q_r4o(offers):
+    """R4 with degree 5 as expressions: orthogonal polynomials over each auction's prices (compared at 1e-4)."""
+    sc = RP.score_candidates(_frame(offers), _half())
+    return RP.smooth_curve(sc, (AUCTION,), 5, orthogonal=True).withColumn("Smoothed", F.round("Smoothed", 4))
+
+
 @query("k1_top_candidates", f"""
 with {CONTEXT_SQL},{reprice_sql('a_', HALF)}
 select CompetitionName, round(Price, {R}) as Price, round(PredictedScore, {R}) as PredictedScore,

@@ -74,5 +74,5 @@ def reprice_models(offers: DataFrame, events: DataFrame, trained: Mapping[str, d
 
 def backtest_summary(results: DataFrame, classifiers: list[str]) -> DataFrame:
     """R8 + A8: describe the recommendation gap per classifier."""
-    gaps = backtest(results, classifiers)
+    gaps = cut_lineage(backtest(results, classifiers))      # read by every pass
     return describe(gaps, "gap", ["clf"])

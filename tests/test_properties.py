@@ -203,3 +203,63 @@ def test_polynomials_of_a_batch_equal_numpy(spark):
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
             assert got[g] == pytest.approx(list(np.polyval(np.polyfit(x, y, 5), x)), abs=1e-5)
+
+
+def test_orthogonal_curve_equals_numpy_where_that_keeps_full_rank(spark):
+    """R4 as expressions: groups of many sizes, repeated prices, one price, fewer prices than coefficients."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    rows = [(f"a{g}", float(x), float(rng.normal())) for g in range(30) for x in rng.uniform(9, 12, 1 + 2 * g)]
+    rows += [("two", x, y) for x, y in ((1.0, 3.0), (1.0, 5.0), (2.0, 7.0))] + [("one", 4.0, 8.0), ("same", 4.0, 1.0), ("same", 4.0, 2.0)]
+    df = spark.createDataFrame(rows, "CompetitionName string, x double, y double").repartition(4)
+    got = {}
+    for r in RP.orthogonal_smooth(df, ["CompetitionName"], "x", "y", 5).collect():
+        got.setdefault(r["CompetitionName"], []).append((r["x"], r["y"], r["Smoothed"]))
+    for g, found in got.items():
+        x, y, fit = (np.array(c) for c in zip(*found))
+        t = x - x.mean()
+        least = np.vander(t, 6) @ np.linalg.lstsq(np.vander(t, 6), y, rcond=None)[0]
+        assert fit == pytest.approx(least, abs=1e-6), g
+
+
+def test_orthogonal_curve_golden_and_plan(spark):
+    """The worked curve; seven windows of one key behind one exchange, no Python."""
+    xs = [10.0, 10.1, 10.2, 10.3, 10.4, 10.5, 10.6]
+    ys = [100.0, 90.0, 70.0, 40.0, 30.0, 10.0, 0.0]
+    df = spark.createDataFrame([("k", x, y) for x, y in zip(xs, ys)], "CompetitionName string, x double, y double")
+    out = RP.orthogonal_smooth(df, ["CompetitionName"], "x", "y", 5)
+    assert [r["Smoothed"] for r in out.orderBy("x").collect()] == pytest.approx(
+        [99.7836, 91.2987, 66.7533, 44.3290, 26.7533, 11.2987, -0.2164], abs=1e-3)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert executed.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("direct,buckets", [(None, None), (10, 32), (1, 256)])
+def test_quantiles_by_narrowing(spark, monkeypatch, direct, buckets):
+    """Histogram passes: hot groups, ties, infinities, subnormals, huge and equal values, NaN and null."""
+    import numpy as np
+    from bidscope.operators import ranking
+    if direct:
+        monkeypatch.setattr(ranking, "DIRECT", direct)
+        monkeypatch.setattr(ranking, "BUCKETS", buckets)
+    rng = np.random.default_rng(8)
+    groups = {"hot": rng.lognormal(0, 9, 3000), "ties": rng.integers(0, 5, 500) / 3, "one": [7.5], "same": [2.0] * 90,
+              "wide": [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324, 1.0, 2.0], "inf": [float("-inf"), float("inf"), 1.0, 2.0, 3.0, float("inf")],
+              "signs": rng.normal(0, 1, 401), None: rng.normal(5, 1, 33)}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("hot", None), ("hot", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r["g"]: r for r in ranking.quantiles(df, "v", [0.0, 0.25, 0.5, 0.9, 1.0], ["g"]).collect()}
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        with np.errstate(all="ignore"):
+            want = np.quantile(np.array(xs, float), [0, 0.25, 0.5, 0.9, 1])
+        for name, w in zip(("q0", "q25", "q50", "q90", "q100"), want):
+            if np.isfinite(w) and abs(w) < 1e300:
+                assert got[g][name] == pytest.approx(w, rel=1e-12, abs=1e-300), (g, name)
+    d = {r["g"]: r for r in ranking.describe(df, "v", ["g"]).collect()}
+    assert d["hot"]["count"] == 3000 and d["none"]["count"] == 0 and d["none"]["p50"] is None
+    alone = ranking.describe(df.where("g = 'signs'"), "v").first()
+    assert alone["p50"] == pytest.approx(np.median(groups["signs"])) and alone["count"] == 401
+    assert ranking.describe(df.where("false"), "v", ["g"]).collect() == []
