@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -41,8 +42,8 @@ from bidscope.llm.packing import Encoder, byte_ranks
 
 U64 = np.uint64
 _SHARD = 1 << 16
-_SLICE_TOKENS = 1 << 20
-_SHIFT = 32
+_SLICE_TOKENS = 1 << 18
+_SLICE_BYTES = 8 << 20
 SHAPE = "doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
 
 
@@ -82,22 +83,119 @@ class SentencePieces:
         return self.model.encode(text)
 
 
+_UNITS = 1 << 17
+
+
+class Units:
+    """Packed ids of both sides, by unit: a space and what follows up to the next space.
+
+    Where every space stands before a character that is no white space, neither side has a
+    token across the start of a unit: the byte-level pattern begins a pre-token there, and no
+    piece has a space after another character (checked).  So units are encoded once and
+    remembered; those not met among the last ``_UNITS`` or so are forgotten.  Other texts are
+    encoded whole.
+    """
+
+    def __init__(self, first: str, second: str):
+        self.sides = ByteLevel(first), SentencePieces(second)
+        self.kind = "I" if max(side.size for side in self.sides) > 1 << 16 else "H"
+        self.apart = not any(b" " in x.lstrip(b" ") for x in self.sides[1].spell.values())
+        self.odd = re.compile(r"(?:^| )(?:\s|$)")
+        self.sizes = [spelled_lengths(side.spell) for side in self.sides]
+        self.known: dict = {}
+        self.old: dict = {}
+
+    def packed(self, text: str) -> list[bytes | None]:
+        """Both sides' ids as bytes, or None twice if one side does not spell a space and the text."""
+        want, ids = b" " + text.encode(), [side(text) for side in self.sides]
+        if any(b"".join(map(side.spell.__getitem__, x)) != want for side, x in zip(self.sides, ids)):
+            return [None, None]
+        return [array(self.kind, x).tobytes() for x in ids]
+
+    def learn(self, units: list[str]) -> None:
+        """All units in a row, cut where they end; one by one if a side does not spell them so."""
+        text = " ".join(units)
+        size = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        blobs = []
+        for side, sizes in zip(self.sides, self.sizes):
+            ids = side(text)
+            if b"".join(map(side.spell.__getitem__, ids)) != b" " + text.encode():
+                break
+            flat = array(self.kind, ids)
+            ends = np.cumsum(sizes[np.frombuffer(flat, flat.typecode)])
+            cut = np.searchsorted(ends, np.cumsum(size)) + 1
+            if (ends[cut - 1] != np.cumsum(size)).any():
+                break
+            data, cut = flat.tobytes(), (np.concatenate([[0], cut]) * flat.itemsize).tolist()
+            blobs.append([data[x:y] for x, y in zip(cut[:-1], cut[1:])])
+        self.known.update(zip(units, zip(*blobs) if len(blobs) == 2 else map(self.packed, units)))
+
+    def of(self, units: list[str]) -> list:
+        """(first side's ids, second side's ids) of distinct units."""
+        if len(self.known) > _UNITS:
+            self.old, self.known = self.known, {}
+        known = self.known
+        new = []
+        for u in [u for u in units if u not in known]:
+            if u in self.old:
+                known[u] = self.old[u]
+            else:
+                new.append(u)
+        high, groups = self.sides[0].high, [new]
+        if high.search(" ".join(new)):       # these go to another library, so apart
+            groups = [[u for u in new if not high.search(u)], [u for u in new if high.search(u)]]
+        for some in groups:
+            for i in range(0, len(some), 1 << 14):
+                self.learn(some[i:i + (1 << 14)])
+        return [known[u] for u in units]
+
+    def encode(self, texts) -> tuple[list, list]:
+        """Both sides' (offsets in bytes, packed ids) of an Arrow array of texts."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        rows = texts.to_pylist()
+        by_unit = np.array([bool(t) and self.apart and not self.odd.search(t) for t in rows], bool)
+        lists = pc.split_pattern(pc.if_else(pa.array(by_unit), pc.fill_null(texts, ""), ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        pairs = self.of(coded.dictionary.to_pylist())
+        cut = lists.offsets.to_numpy().astype(np.int64)
+        cut -= cut[0]
+        codes = coded.indices.to_numpy()
+        unknown = np.array([p[0] is None for p in pairs], bool)[codes]
+        bad = np.add.reduceat(np.append(unknown, False).astype(np.int64), cut[:-1]) > 0 if len(cut) > 1 else np.zeros(0, bool)
+        use = np.repeat(by_unit & ~bad, np.diff(cut))
+        whole = {r: self.packed(rows[r]) for r in np.flatnonzero(~by_unit).tolist() if rows[r]}
+        out = []
+        width = array(self.kind).itemsize
+        for k in range(2):
+            blobs = [p[k] or b"" for p in pairs]
+            data = np.frombuffer(b"".join(blobs), f"<u{width}")
+            size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // width
+            first = np.cumsum(size) - size
+            n = size[codes] * use
+            total = np.concatenate([[0], np.cumsum(n)])
+            ids = data[np.repeat(first[codes] - total[:-1], n) + np.arange(total[-1])]
+            off = total[cut] * width
+            if any(x[k] for x in whole.values()):
+                body, parts = ids.tobytes(), []
+                for r in range(len(rows)):
+                    parts.append(whole[r][k] or b"" if r in whole else body[off[r]:off[r + 1]])
+                off = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+                ids = np.frombuffer(b"".join(parts), f"<u{width}")
+            out.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(ids.tobytes())]))
+        return out
+
+
 def _encode(first: str, second: str):
     """(id, text) -> (id, first side's ids, second side's ids), empty where a side differs from the text."""
     def run(batches):
         import pyarrow as pa
-        a, b = ByteLevel(first), SentencePieces(second)
+        units = Units(first, second)
         for batch in batches:
-            out = ([], [])
-            for text in batch.column(1).to_pylist():
-                ids = (a(text), b(text)) if text else ((), ())
-                if text:
-                    want = b" " + text.encode()
-                    if any(b"".join(map(side.spell.__getitem__, x)) != want for side, x in zip((a, b), ids)):
-                        ids = ((), ())
-                for o, x in zip(out, ids):
-                    o.append(np.array(x, "<u4" if max(a.size, b.size) > 1 << 16 else "<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(o, pa.binary()) for o in out)], names=["doc_id", "a", "b"])
+            for s, e, _, _ in K.slices(batch.column(1), _SLICE_BYTES):
+                part = batch.slice(s, e - s)
+                a, b = units.encode(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), a, b], names=["doc_id", "a", "b"])
     return run
 
 
@@ -127,11 +225,12 @@ class Aligned:
         ends_a[self.end_a] = True
         ends_b[self.end_b] = True
         stretch = np.flatnonzero(ends_a | ends_b)
-        self.at_a = np.searchsorted(self.end_a, stretch)
-        self.at_b = np.searchsorted(self.end_b, stretch)
+        self.at_a = (np.cumsum(ends_a, dtype=np.int32)[stretch] - ends_a[stretch]).astype(np.int64)
+        self.at_b = (np.cumsum(ends_b, dtype=np.int32)[stretch] - ends_b[stretch]).astype(np.int64)
         self.common = ends_a & ends_b
         self.doc = np.repeat(np.arange(self.n), np.diff(off_a))[self.at_a]
-        self.pair = (a[self.at_a].astype(np.int64) << _SHIFT) | b[self.at_b].astype(np.int64)
+        self.width = len(len_a).bit_length(), len(len_b).bit_length()
+        self.pair = (a[self.at_a].astype(np.int64) << self.width[1]) | b[self.at_b].astype(np.int64)
 
     def links(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n)
@@ -141,18 +240,19 @@ class Aligned:
 
     def per_document(self) -> tuple[np.ndarray, np.ndarray]:
         """(distinct pairs, in how many documents of the slice)."""
-        kinds, kind = np.unique(self.pair, return_inverse=True)
-        seen = np.unique(self.doc * np.int64(len(kinds)) + kind)
-        return kinds, np.bincount(seen % len(kinds), minlength=len(kinds)) if len(kinds) else np.zeros(0, np.int64)
+        bits = sum(self.width)
+        key = np.sort((self.doc << bits) | self.pair)
+        once = np.ones(len(key), bool)
+        once[1:] = key[1:] != key[:-1]
+        return np.unique(key[once] & ((1 << bits) - 1), return_counts=True)
 
     def groups(self, digits_a, digits_b) -> tuple[np.ndarray, list[str]]:
         """Groups of each document, and the sha256 of them as written text."""
         done = np.cumsum(self.common)
         last_a, last_b = self.common[self.end_a], self.common[self.end_b]
         group_a, group_b = done[self.end_a] - last_a, done[self.end_b] - last_b
-        n_groups = int(done[-1]) if len(done) else 0
-        before_a = np.searchsorted(group_a, np.arange(n_groups + 1))
-        before_b = np.searchsorted(group_b, np.arange(n_groups + 1))
+        before_a = np.concatenate([[0], np.flatnonzero(last_a) + 1])    # tokens before each group
+        before_b = np.concatenate([[0], np.flatnonzero(last_b) + 1])
         place_a = np.arange(len(self.a)) + before_b[group_a]
         place_b = np.arange(len(self.b)) + before_a[group_b + 1]
         size = np.empty(len(self.a) + len(self.b), np.int64)
@@ -172,9 +272,9 @@ class Aligned:
 
 
 def _unpacked(col, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all rows, offsets of the rows) of a binary column of packed ids."""
+    """(ids of all rows, offsets of the rows) of a binary column of packed ids, not copied."""
     off, body = K.buffers(col)
-    return np.frombuffer(body.tobytes(), dtype).astype(np.int64), off // np.dtype(dtype).itemsize
+    return body.view(dtype), off // np.dtype(dtype).itemsize
 
 
 def _slices(batch, dtype: str, len_a: np.ndarray, len_b: np.ndarray):
@@ -285,8 +385,8 @@ class Numbering:
         return out
 
 
-def _in_range(pairs: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    first = pairs >> _SHIFT
+def _in_range(pairs: np.ndarray, lo: int, hi: int, bits: int) -> np.ndarray:
+    first = pairs >> bits
     return (first >= lo) & (first < hi)
 
 
@@ -299,7 +399,7 @@ def _count(dtype: str, len_a, len_b, shared, lo: int, hi: int):
         for batch in batches:
             for _, _, links in _slices(batch, dtype, len_a, len_b):
                 kinds, docs = links.per_document()
-                use = _in_range(kinds, lo, hi)
+                use = _in_range(kinds, lo, hi, links.width[1])
                 total[number(kinds[use])] += docs[use]
         yield from sums.dense_rows(total, TaskContext.get().partitionId())
     return run
@@ -325,7 +425,7 @@ def _look_up(dtype: str, len_a, len_b, shared, table, lo: int, hi: int, whole: b
             found = []
             for s, e, links in _slices(batch, dtype, len_a, len_b):
                 kinds, kind = np.unique(links.pair, return_inverse=True)
-                use = _in_range(kinds, lo, hi)
+                use = _in_range(kinds, lo, hi, links.width[1])
                 place = number(kinds[use])
                 if (place < 0).any() or (keys[place] != kinds[use]).any():
                     raise ValueError("a pair was not numbered")
@@ -376,12 +476,13 @@ def align_tokenizers(docs: DataFrame, first: str, second: str, max_table_mb: flo
                           .withColumn("row", F.monotonically_increasing_id()), "tokens")
     ids = tokens.select("a", "b")
     pairs = store.staged(ids.mapInArrow(_pairs(dtype, len_a, len_b), "pair long").distinct(), "pairs")
-    per_id = np.zeros(len(len_a), np.int64)
-    for r in pairs.groupBy(F.shiftright("pair", _SHIFT).alias("id")).count().collect():   # bounded by the vocabulary
+    per_id, bits = np.zeros(len(len_a), np.int64), len(len_b).bit_length()
+    id_a = F.shiftright("pair", bits)
+    for r in pairs.groupBy(id_a.alias("id")).count().collect():   # bounded by the vocabulary
         per_id[r["id"]] = r["count"]
     out = None
     for k, (lo, hi) in enumerate(id_ranges(per_id, max(1, int(max_table_mb * (1 << 16))))):
-        part = pairs.where((F.shiftright("pair", _SHIFT) >= lo) & (F.shiftright("pair", _SHIFT) < hi))
+        part = pairs.where((id_a >= lo) & (id_a < hi))
         shards = max(1, -(-int(per_id[lo:hi].sum()) // _SHARD))
         dealt = part.mapInArrow(_sharded(shards), "pair long, shard int")
         built = dealt.groupBy("shard").applyInPandas(_shard_levels, "shard int, sizes binary, words binary").collect()
@@ -393,8 +494,8 @@ def align_tokenizers(docs: DataFrame, first: str, second: str, max_table_mb: flo
         got = part.mapInArrow(_numbered(shared), "pair long, place long").toArrow()
         keys[got["place"].to_numpy()] = got["pair"].to_numpy()
         most = np.zeros(len(len_a), np.int64)
-        np.maximum.at(most, keys >> _SHIFT, counts)
-        table = spark.sparkContext.broadcast((keys, counts, counts == most[keys >> _SHIFT]))
+        np.maximum.at(most, keys >> bits, counts)
+        table = spark.sparkContext.broadcast((keys, counts, counts == most[keys >> bits]))
         whole = k == 0
         shape = ("row long, " + (SHAPE.format(kind=kind) if whole else "") + "n_best long, count_sum long")
         read = tokens.select("row", "doc_id", "a", "b") if whole else tokens.select("row", "a", "b")
