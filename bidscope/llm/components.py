@@ -20,10 +20,10 @@ def components(links: DataFrame) -> DataFrame:
     label = store.staged(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("lo"))
                          .select("node", F.least("node", "lo").alias("comp")), "labels")
     while True:
-        near = (both.join(label.select(F.col("node").alias("v"), "comp"), "v")
-                .groupBy(F.col("u").alias("node")).agg(F.min("comp").alias("near")))
-        step = (label.join(near, "node")
-                .select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("mid")))
+        # a node's own label comes along as that of a neighbour, marked
+        told = (both.join(label.select(F.col("node").alias("v"), "comp"), "v").select(F.col("u").alias("node"), "comp", F.lit(None).alias("was"))
+                .unionByName(label.select("node", "comp", F.col("comp").alias("was"))))
+        step = told.groupBy("node").agg(F.min("comp").alias("mid"), F.max("was").alias("was"))
         jump = label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
         new = store.staged(step.join(jump, "mid", "left")
                            .select("node", "was", F.least("mid", F.coalesce("far", "mid")).alias("comp")), "labels")

@@ -14,20 +14,27 @@
 4. Each bucket compares all members with its hub, the member with most bucket
    mates (a star); verified links (exact weighted Jaccard of the two bags >=
    ``threshold``) merge components.
-5. What lies in different components of one bucket then is settled by a second,
-   longer signature of ``registers`` places, made of those texts only: a bucket's
-   members are dealt to blocks, pairs of blocks to tasks, and only pairs that
-   agree in nearly ``threshold`` of the places (``sigma`` standard errors below)
-   leave the task, once each, to be verified.  So a pair is never left out for the
-   size of its bucket, copies are never expanded, and no group is in one task.
+5. What lies in different components of one bucket then is compared in blocks.  The
+   members outside the bucket's largest component are dealt to blocks that meet each
+   other and the largest component's blocks, which need not meet among themselves.  A
+   pair is looked at in the first of its common buckets: a second, longer signature
+   of ``registers`` places passes what agrees in nearly ``threshold`` of them (``sigma``
+   standard errors below), the bags themselves decide.  Links merge components inside
+   the block at once and only merging links leave it, so copies are never expanded,
+   a group of near copies costs its members and not its pairs, and no group is in one
+   task.
 6. A class is a connected component, named by its least id.
 
 With 32 bands of 6 a pair of similarity 0.8 shares a bucket with probability
-0.99994; the test of step 5 passes it with 0.9987.
+0.99994; the test of step 5 passes it with 0.99997.
 
 Cases: null and empty texts have no words and form one class; a text with fewer
-words than a shingle has one shingle, all its words; repeated rows are in one
-class; null ids order before all others; other columns are ignored.
+words than a shingle has one shingle, all its words.  Rows that repeat an id and its
+text are one document: they are in one class and alike, and both kept or not.  Rows of
+one id, or without id, with different texts are different documents, ordered by their
+texts' hashes, and share a class only if their texts are near.  Null ids order before
+all others; other columns are ignored, whatever their names; an empty table gives an
+empty result; texts are taken whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -134,21 +141,25 @@ def _describe(k: int, bands: int, rows: int):
             cols = [np.concatenate(x) if x else np.zeros(0, t) for x, t in ((d1, U64), (d2, U64), (size, np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c.view(np.int64)) for c in cols), pa.array(keys, pa.binary())],
-                names=["id", "d1", "d2", "size", "bands"])
+                names=["key", "d1", "d2", "size", "bands"])
     return run
 
 
 def _marks(k: int, registers: int):
-    """Texts -> a second signature, independent of the bands, one byte a register."""
+    """Texts -> a second signature, independent of the bands, one byte a register, and the bag."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            out = []
+            marks, shingles, counts = [], [], []
             for a, b, off, body in K.slices(batch.column(1), max_rows=1024):
                 r, sh, count, _, _ = bags(off, body, k)
                 sig = signatures(r, K.mix(sh ^ _GOLD), count, b - a, registers)
-                out += [x.tobytes() for x in (sig & U64(255)).astype(np.uint8)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rep", "marks"])
+                marks += [x.tobytes() for x in (sig & U64(255)).astype(np.uint8)]
+                first = K.first_places(r, b - a)
+                shingles += [sh[x:y].tobytes() for x, y in zip(first[:-1], first[1:])]
+                counts += [count[x:y].astype(np.int32).tobytes() for x, y in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in (marks, shingles, counts))],
+                                             names=["rep", "marks", "shingles", "counts"])
     return run
 
 
@@ -193,10 +204,10 @@ def _similar(k: int, threshold: float):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
-    a = texts.select(F.col("id").alias("u"), F.col("text").alias("ta"))
-    b = texts.select(F.col("id").alias("v"), F.col("text").alias("tb"))
+    a = texts.select(F.col("key").alias("u"), F.col("text").alias("ta"))
+    b = texts.select(F.col("key").alias("v"), F.col("text").alias("tb"))
     return (pairs.join(a, "u").join(b, "v").select("u", "v", "ta", "tb")
-            .mapInArrow(_similar(k, threshold), "u long, v long"))
+            .mapInArrow(_similar(k, threshold), f"u {KEY}, v {KEY}"))
 
 
 def _in_reach(a: str, b: str, threshold: float):
@@ -205,34 +216,75 @@ def _in_reach(a: str, b: str, threshold: float):
 
 
 def _close(m: int, threshold: float, sigma: float):
-    """Rows sorted by (bucket, lo, hi) -> likely pairs across components, once each.
+    """Rows of pairs of blocks, ordered by (bucket, lo, hi) -> links that merge components.
 
     A pair of several common buckets is left to the first of their bands.
     """
     least = m * (threshold - sigma * (threshold * (1 - threshold) / m) ** 0.5)
 
-    def pairs(group):
-        import pyarrow as pa
-        band, blk, rep, size, comp, keys, marks = group
+    def similar(one, others, bags_, size):
+        """Which of the others' bags are similar enough to the one's."""
+        sh, ct = bags_[one]
+        lengths = [len(bags_[o][0]) for o in others]
+        all_sh, all_ct = (np.concatenate([bags_[o][i] for o in others]) for i in (0, 1))
+        at = np.minimum(np.searchsorted(sh, all_sh), len(sh) - 1)
+        both = np.where(sh[at] == all_sh, np.minimum(ct[at], all_ct), 0)
+        common = np.bincount(np.repeat(np.arange(len(others)), lengths), both, len(others))
+        return common >= threshold * (size[one] + size[others] - common)
+
+    def links(group):
+        band, blk, size, comp, keys, marks, bags_ = group
         lo, hi = blk.min(), blk.max()
         left, right = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
         u, v = [], []
         for i in left:
             other = right[right > i] if lo == hi else right
             other = other[comp[other] != comp[i]]
-            s1, s2 = size[i], size[other]
-            other = other[np.minimum(s1, s2) >= np.maximum(s1, s2) * threshold]
-            other = other[(marks[other] == marks[i]).sum(1) >= least]
+            other = other[np.minimum(size[i], size[other]) >= np.maximum(size[i], size[other]) * threshold]
+            if len(other):
+                other = other[(keys[other] == keys[i]).argmax(1) == band[i]]
             if len(other):
-                first = (keys[other] == keys[i]).argmax(1)
-                other = other[first == band[i]]
-                u.append(np.maximum(rep[i], rep[other]))
-                v.append(np.minimum(rep[i], rep[other]))
-        if u:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+                agree = (marks[other] == marks[i]).sum(1)
+                other, agree = other[agree >= least], agree[agree >= least]
+                other = other[np.argsort(-agree, kind="stable")]
+            tries = 1
+            while len(other):
+                # the likeliest of each component first; more of them as long as none is linked
+                rank = np.zeros(len(other), np.int64)
+                order = np.argsort(comp[other], kind="stable")
+                c = comp[other][order]
+                start = np.flatnonzero(np.diff(c, prepend=c[0] - 1))
+                rank[order] = np.arange(len(c)) - np.repeat(start, np.diff(np.append(start, len(c))))
+                now, other = other[rank < tries], other[rank >= tries]
+                for j in now[similar(i, now, bags_, size)]:
+                    if comp[j] != comp[i]:
+                        u.append(i)
+                        v.append(j)
+                        comp[comp == comp[j]] = comp[i]
+                other = other[comp[other] != comp[i]]
+                tries *= 4
+        return np.array(u, np.int64), np.array(v, np.int64)
 
     def run(batches):
         import pyarrow as pa
+
+        def arrays(t):
+            plain = [t.column(c).to_numpy() for c in ("band", "blk", "size")]
+            comp = t.column("comp").combine_chunks()
+            comp = np.unique(np.stack([comp.field(f).to_numpy() for f in ("id", "sub")], 1), axis=0, return_inverse=True)[1].ravel()
+            keys, marks = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(t), -1)
+                           for c, kind in (("bands", np.uint64), ("marks", np.uint8)))
+            bags_ = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.int32))
+                     for x, y in zip(t.column("shingles").to_pylist(), t.column("counts").to_pylist())]
+            return [*plain, comp, keys, marks, bags_]
+
+        def found(parts):
+            t = pa.concat_tables(parts).combine_chunks()
+            u, v = links(arrays(t))
+            if len(u):
+                rep = t.column("rep").combine_chunks()
+                return pa.RecordBatch.from_arrays([rep.take(pa.array(u)), rep.take(pa.array(v))], names=["u", "v"])
+
         left, key = [], None
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -240,49 +292,57 @@ def _close(m: int, threshold: float, sigma: float):
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1), len(ids)] if len(ids) else [0]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if key is not None and tuple(ids[a]) != key:
-                    if (out := pairs(_arrays(left))) is not None:
+                    if (out := found(left)) is not None:
                         yield out
                     left = []
                 key = tuple(ids[a])
                 left.append(t.slice(a, b - a))
-        if left and (out := pairs(_arrays(left))) is not None:
+        if left and (out := found(left)) is not None:
             yield out
-
-    def _arrays(parts):
-        import pyarrow as pa
-        t = pa.concat_tables(parts)
-        plain = [t.column(c).to_numpy() for c in ("band", "blk", "rep", "size", "comp")]
-        blobs = [np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(t), -1)
-                 for c, kind in (("bands", U64), ("marks", np.uint8))]
-        return [*plain, *blobs]
     return run
 
 
 BLOCK = 256
 
 
-def _close_pairs(state: DataFrame, read: DataFrame, held: DataFrame, shingle: int, registers: int,
+def block_rows(state: DataFrame) -> DataFrame:
+    """Rows of the undecided buckets with the blocks (lo, hi) in which they meet, ``blk`` their own.
+
+    Members outside the largest component stand in blocks from 0 on, the others in the
+    blocks after them; only pairs with one of the former are made.
+    """
+    per = state.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+    sizes = (per.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("comps"))
+             .where("comps > 1")
+             .select(F.bitwise_not("bucket").alias("key"), F.col("top.comp").alias("major"),
+                     F.ceil((F.col("n") - F.col("top.c")) / BLOCK).cast("int").alias("no"),
+                     F.ceil(F.col("top.c") / BLOCK).cast("int").alias("nm")))
+    rows = (state.withColumn("key", F.bitwise_not("bucket")).join(sizes, "key").drop("key")
+            .withColumn("big", F.col("comp") == F.col("major")))
+    place = F.xxhash64("rep")
+    rows = rows.withColumn("blk", F.when(F.col("big"), F.col("no") + F.pmod(place, F.col("nm")))
+                           .otherwise(F.pmod(place, F.col("no"))).cast("int"))
+    last = F.when(F.col("big"), F.col("no")).otherwise(F.col("no") + F.col("nm")) - 1
+    return (rows.withColumn("o", F.explode(F.sequence(F.lit(0), last)))
+            .select("bucket", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"), "band", "blk", "rep", "size", "comp"))
+
+
+def _close_links(state: DataFrame, reps: DataFrame, held: DataFrame, shingle: int, registers: int,
                  threshold: float, sigma: float) -> DataFrame:
-    """Pairs of undecided bucket mates whose second signatures nearly agree, by blocks of members."""
-    asked = state.select(F.col("rep").alias("id")).distinct()
-    marks = held.join(asked, "id", "left_semi").select("id", "text").mapInArrow(
-        _marks(shingle, registers), "rep long, marks binary")
-    keys = read.select(F.col("id").alias("rep"), "bands").dropDuplicates(["rep"])
-    nb = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (state.select("bucket", "band", "rep", "size", "comp", "n").join(store.staged(marks.join(keys, "rep"), "marks"), "rep")
-             .withColumn("blk", F.pmod(F.xxhash64("rep"), nb).cast("int"))
-             .withColumn("o", F.explode(F.sequence(F.lit(0), nb - 1)))
-             .select("bucket", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"),
-                     "band", "blk", "rep", "size", "comp", "bands", "marks"))
+    """Links (u, v) between different components of undecided buckets, by blocks of members."""
+    asked = state.select(F.col("rep").alias("key")).distinct()
+    marks = held.join(asked, "key", "left_semi").mapInArrow(_marks(shingle, registers), f"rep {KEY}, marks binary, shingles binary, counts binary")
+    own = store.staged(marks.join(reps.select("rep", "bands"), "rep"), "marks")
     n = store.shuffle_partitions(state.sparkSession)
-    return (dealt.repartition(n, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-            .mapInArrow(_close(registers, threshold, sigma), "u long, v long").distinct())
+    return (block_rows(state).join(own, "rep").repartition(n, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+            .select("bucket", "lo", "hi", "band", "blk", "rep", "size", "comp", "bands", "marks", "shingles", "counts")
+            .mapInArrow(_close(registers, threshold, sigma), f"u {KEY}, v {KEY}"))
 
 
 def _relabel(state: DataFrame, comps: DataFrame) -> DataFrame:
     """Bucket rows with their components merged by ``comps`` (node, comp)."""
-    return (state.join(comps.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
-            .select("bucket", "band", "rep", "size", "degree", F.coalesce("to", "comp").alias("comp")))
+    return (state.join(comps.select(F.col("node").alias("rep"), F.col("comp").alias("to")), "rep", "left")
+            .select("bucket", "band", "rep", "size", F.coalesce("to", "rep").alias("comp")))
 
 
 def _mated(spread: DataFrame) -> DataFrame:
@@ -294,51 +354,63 @@ def _mated(spread: DataFrame) -> DataFrame:
              .select(F.bitwise_not("bucket").alias("key"), "n"))
     rows = store.staged(spread.withColumn("key", F.bitwise_not("bucket")).join(sizes, "key").drop("key"), "buckets")
     degree = rows.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
-    return rows.drop("n").join(degree, "rep").select("bucket", "band", "rep", "size", "degree", F.col("rep").alias("comp"))
+    return rows.drop("n").join(degree, "rep").select("bucket", "band", "rep", "size", "degree")
+
 
+def _with_hubs(rows: DataFrame) -> DataFrame:
+    """Bucket rows with their bucket's hub."""
+    hub = F.min(F.struct((-F.col("degree")).alias("d"), "rep", "size"))
+    hubs = rows.groupBy("bucket").agg(hub.alias("hub")).select(F.bitwise_not("bucket").alias("key"), "hub")
+    return (rows.withColumn("key", F.bitwise_not("bucket")).join(hubs, "key")
+            .select("bucket", "band", "rep", "size", F.col("hub.rep").alias("hub"), F.col("hub.size").alias("hub_size")))
 
-def _undecided(state: DataFrame) -> DataFrame:
-    """Rows of the buckets that still hold two components, with their hub and size."""
-    hub = F.min(F.struct((-F.col("degree")).alias("d"), "rep", "size", "comp"))
-    hubs = (state.groupBy("bucket")
-            .agg(hub.alias("hub"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("n"))
-            .where("c0 <> c1").select(F.bitwise_not("bucket").alias("key"), "hub", "n"))
-    return (state.withColumn("key", F.bitwise_not("bucket")).join(hubs, "key")
-            .select("bucket", "band", "rep", "size", "degree", "comp", "n", F.col("hub.rep").alias("hub"),
-                    F.col("hub.size").alias("hub_size"), F.col("hub.comp").alias("hub_comp")))
 
+KEY = "struct<id:long,sub:long>"
 
-def near_dedup(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 6,
-               registers: int = 512, sigma: float = 3.0, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """One row per document: id, class_id, class_size, kept (the least id of its class)."""
-    texts = store.keyed(docs, id_col, text_col)
+
+def near_classes(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 6,
+                 registers: int = 512, sigma: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, class) of every row; both are ``store.document_key`` values, the class the least of its members."""
+    texts = docs.select(store.document_key(id_col, text_col).alias("key"),
+                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     read = store.staged(texts.mapInArrow(_describe(shingle, bands, rows),
-                                         "id long, d1 long, d2 long, size long, bands binary"), "bags")
-    reps = (read.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("size").alias("size"),
-                                         F.first("bands").alias("bands")))
+                                         f"key {KEY}, d1 long, d2 long, size long, bands binary"), "bags")
+    reps = read.groupBy("d1", "d2").agg(F.min("key").alias("rep"), F.max("size").alias("size"), F.first("bands").alias("bands"))
+    reps = store.staged(reps, "reps")
     spread = (reps.where("size > 0").select("rep", "size", "bands")
-              .mapInArrow(_explode_bands, "bucket long, band int, rep long, size long"))
-    state = before = store.staged(_undecided(_mated(spread)), "undecided")
-    wanted = state.select(F.col("rep").alias("id")).distinct().hint("merge")     # alike at every size
-    held = store.staged(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-    stars = (state.where((F.col("hub_comp") != F.col("comp")) & _in_reach("size", "hub_size", threshold))
+              .mapInArrow(_explode_bands, f"bucket long, band int, rep {KEY}, size long"))
+    state = store.staged(_with_hubs(_mated(spread)), "undecided")
+    wanted = state.select(F.col("rep").alias("key")).distinct().hint("merge")     # alike at every size
+    held = store.staged(texts.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
+    stars = (state.where((F.col("hub") != F.col("rep")) & _in_reach("size", "hub_size", threshold))
              .select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct())
     links = store.staged(_links(stars, held, shingle, threshold), "found")
     comps = components(links)
-    rest = state.where("rep <> hub").select("bucket", "band", "rep", "size", "degree", "comp")
-    state = store.staged(_undecided(_relabel(rest, comps)), "undecided")
-    close = store.staged(_close_pairs(state, read, held, shingle, registers, threshold, sigma), "close")
-    more = store.staged(_links(close, held, shingle, threshold), "found")
+    rest = store.staged(_relabel(state.where(F.col("rep") != F.col("hub")), comps), "undecided")
+    more = store.staged(_close_links(rest, reps, held, shingle, registers, threshold, sigma), "found")
     if not more.isEmpty():
-        comps = components(links.unionByName(more))
-    member = read.select("id", "d1", "d2").join(reps.select("rep", F.col("d1").alias("e1"), F.col("d2").alias("e2")),
-                                                (F.bitwise_not("d1") == F.bitwise_not("e1")) & (F.col("d2") == F.col("e2")))
-    named = store.staged(member.join(comps, member.rep == comps.node, "left")
-                         .select("id", F.coalesce("comp", "rep").alias("class")), "classes")
-    store.drop_staged(read, before, state, held, links, close, more, comps)
+        comps = components(comps.select(F.col("node").alias("u"), F.col("comp").alias("v")).unionByName(more))
+    member = read.select("key", "d1", "d2").join(reps.select("rep", F.col("d1").alias("e1"), F.col("d2").alias("e2")),
+                                                 (F.bitwise_not("d1") == F.bitwise_not("e1")) & (F.col("d2") == F.col("e2")))
+    named = store.staged(member.join(comps, member.rep == comps.node, "left").select("key", F.coalesce("comp", "rep").alias("class")), "classes")
+    store.drop_staged(read, reps, state, rest, held, links, more, comps)
+    return named
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+    """One row per row of ``docs``: id, class_id, class_size, kept (the least of its class)."""
+    named = near_classes(docs, id_col=id_col, **how)
     size = named.groupBy("class").agg(F.count(F.lit(1)).alias("class_size")).select(
-        F.bitwise_not("class").alias("key"), "class_size")
-    return (named.withColumn("key", F.bitwise_not("class")).join(size, "key")
-            .select(store.unkeyed().alias(id_col), store.unkeyed("class").alias("class_id"), "class_size",
-                    (F.col("id") == F.col("class")).alias("kept")))
+        F.xxhash64("class").alias("h"), F.col("class").alias("of"), "class_size")
+    return (named.withColumn("h", F.xxhash64("class")).join(size, "h").where(F.col("class") == F.col("of"))
+            .select(store.unkeyed("key.id").alias(id_col), store.unkeyed("class.id").alias("class_id"), "class_size",
+                    (F.col("key") == F.col("class")).alias("kept")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that stand for their class, each document once; all columns stay."""
+    kept = near_classes(docs, id_col=id_col, text_col=text_col, **how).where(F.col("key") == F.col("class")).select("key").distinct()
+    row, rest = store.packed(docs)
+    rows = docs.select(store.document_key(id_col, text_col).alias("key"), row)
+    out = rows.join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return out.select(*(F.col("row")[c].alias(c) for c in rest))
