@@ -14,7 +14,7 @@ from bidscope.llm import store
 from bidscope.llm.catalog import fold, table, vocabulary
 from bidscope.llm.decontaminate import clean_documents, contaminated
 from bidscope.llm.line_dedup import line_dedup
-from bidscope.llm.near_dedup import near_dedup
+from bidscope.llm.near_dedup import drop_near_duplicates
 from bidscope.llm.packing import pack
 from bidscope.llm.quality import score_quality
 
@@ -35,18 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near-duplicates.
-
-    Documents are told apart by id and text, so rows without id, or of one id, that
-    differ in their text stay different documents.
-    """
-    key = store.document_key("doc_id", "text")
-    rows = docs.withColumn("_doc", F.xxhash64(key))
-    classes = near_dedup(rows, id_col="_doc").select(F.col("_doc").alias("_d"), "class_id").distinct()
-    first = (rows.select("_doc", key["id"].alias("_id")).distinct().join(classes, F.col("_doc") == F.col("_d"))
-             .groupBy("class_id").agg(F.min(F.struct("_id", "_doc")).alias("_one")))
-    stays = first.select(F.col("_one._doc").alias("_kept"))
-    return rows.join(stays, F.col("_doc") == F.col("_kept"), "left_semi").dropDuplicates(["_doc"]).drop("_doc")
+    """The document with the least id of each class of near-duplicates."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
