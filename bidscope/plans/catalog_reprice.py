@@ -250,11 +250,14 @@ def q_k1(offers):
     return top.select(AUCTION, "Price", "PredictedScore", "Direction", "rank")
 
 
-@query("r5_recommend", f"""
+R5_SQL = f"""
 with {CONTEXT_SQL},{reprice_sql('a_', HALF)}
 select CompetitionName, File, round(CustomerPrice, {R}) as CustomerPrice, round(WinnerPrice, {R}) as WinnerPrice,
   CustomerStatus, round(RecommendedPrice, {R}) as RecommendedPrice,
-  round(PredictedScore, {R}) as PredictedScore, Direction from a_rec""")
+  round(PredictedScore, {R}) as PredictedScore, Direction from a_rec"""
+
+
+@query("r5_recommend", R5_SQL)
 def q_r5(offers):
     """R5 + K2: one recommended price per auction (first of K1)."""
     return RP.reprice(offers, prob=_half(), degree=1)
@@ -501,5 +504,5 @@ union all by name {_fp1_select('ra4', ", 'train' as side")}""")
 def q_fp3(offers):
     """FP3: W11 split; test features use product minima learned on train; both sides."""
     df = fp_input(offers, with_time=True)
-    train, test, _ = FP.train_test_features(df, W.derived_platform_dimension(df), 0.3, "Time")
-    return test.withColumn("side", F.lit("test")).unionByName(train.withColumn("side", F.lit("train")))
+    both = FP.train_test_frame(df, W.derived_platform_dimension(df), 0.3, "Time")
+    return both.withColumn("side", F.when(F.col(FP.IS_TEST), "test").otherwise("train")).drop(FP.IS_TEST)

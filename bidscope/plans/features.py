@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 
 from bidscope.functions.scalars import (drop_if_present, landed_price, ship_hours_floor,
                                         text_code)
-from bidscope.operators.features import (PLATFORM, auction_features, auction_split_flags,
+from bidscope.operators.features import (PLATFORM, auction_features, auction_order_split, auction_split_flags,
                                          diff_to_min_product, minmax, normalise_all,
                                          platform_seller, product_minima)
+from bidscope.operators.groups import minmax_expr
 from bidscope.schema import (AUCTION, DIFF_MIN_PRODUCT, IDEAL_POINT, LANDED, LISTING, MARKET,
                              MAX_HOURS, MIN_HOURS, PRODUCT, SHIPPING, WINNER)
+from bidscope.session import cut_lineage
 
 PRE_DROP = ["ListingCurrency", "ShippingCurrency", MARKET, "ShipsDomestically"]   # P12
 POST_DROP = [LISTING, SHIPPING, MIN_HOURS]                                         # P12
@@ -102,14 +104,38 @@ def serve_features(df: DataFrame, platform_dim: DataFrame, minima: DataFrame | N
     return code_text(f.select(*cols), skip=keep)
 
 
+IS_TEST = "is_test"
+
+
+def train_test_frame(df: DataFrame, platform_dim: DataFrame, ratio: float = 0.3, time_col: str = "Time",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """FP3 as one frame with the side of each row in ``is_test``.
+
+    Auctions are whole on either side (W11), so everything by auction is built once
+    for both.  Product statistics are one aggregate with a minimum and a maximum per side;
+    test rows are compared with the minimum learned on train (J3), else with their own.
+    """
+    flags = auction_split_flags(df, ratio, time_col)
+    tagged = df.join(flags, on=AUCTION, how="inner").drop(time_col)
+    keep = [IS_TEST, *keep]
+    f = code_text(drop_if_present(_auction_part(tagged, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
+    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT, *keep))
+    landed, test = F.col(LISTING) + F.col(SHIPPING), F.col(IS_TEST)
+    ends = tagged.groupBy(PRODUCT).agg(F.min(F.when(~test, landed)).alias("_l0"), F.max(F.when(~test, landed)).alias("_h0"),
+                                       F.min(F.when(test, landed)).alias("_l1"), F.max(F.when(test, landed)).alias("_h1"))
+    lo, hi = F.when(test, F.col("_l1")).otherwise(F.col("_l0")), F.when(test, F.col("_h1")).otherwise(F.col("_h0"))
+    learned = F.coalesce(F.col("_l0"), F.col("_l1"))
+    out = f.join(ends, on=PRODUCT, how="left").withColumn(
+        DIFF_MIN_PRODUCT, minmax_expr(F.col(RAW_LANDED) - learned, lo - learned, hi - learned))
+    return code_text(out.drop("_l0", "_h0", "_l1", "_h1", RAW_LANDED), skip=keep)
+
+
 def train_test_features(df: DataFrame, platform_dim: DataFrame, ratio: float = 0.3,
-                        time_col: str = "Time") -> tuple[DataFrame, DataFrame, DataFrame]:
+                        time_col: str = "Time", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """FP3: W11 split by auction order; product minima learned on train (A1)
-    and applied to test (J3).  Returns (train, test, minima)."""
-    flags = auction_split_flags(df, ratio, time_col)
-    tagged = df.join(flags, on=AUCTION, how="inner")
-    train = tagged.where(~F.col("is_test")).drop("is_test", time_col)
-    test = tagged.where(F.col("is_test")).drop("is_test", time_col)
-    minima = product_minima(landed_price(train))
-    return (train_features(train, platform_dim),
-            train_features(test, platform_dim, minima), minima)
+    and applied to test (J3).  Returns (train, test, minima); the frame of both sides is
+    computed once and cut off from its lineage."""
+    both = cut_lineage(train_test_frame(df, platform_dim, ratio, time_col, keep))
+    train, _ = auction_order_split(df, ratio, time_col)
+    return (both.where(~F.col(IS_TEST)).drop(IS_TEST), both.where(IS_TEST).drop(IS_TEST),
+            product_minima(landed_price(train)))

@@ -1,9 +1,11 @@
 """Model store and registry.
 
-Layout: ``root/market=<m>/clf=<c>/ts=<t>/{model, minima, features, meta}`` plus
-an append-only ``root/_registry`` parquet table (one row per saved
-model, written last).  The newest model per (market, classifier) is chosen
-with a window over the registry, which holds one row per saved model.
+Layout: ``root/market=<m>/clf=<c>/ts=<t>/<id>/{model, minima, features, meta}`` plus
+the registry, a log of manifests in ``root/_registry`` (``sources.manifests``): each
+lists every saved model, one line each, and is committed after the model's files are
+complete.  Writers may run at once: one whose commit comes second starts again from the
+other's, so both are registered, and a reader never sees half a model.  The newest
+model per (market, classifier) is chosen with a window over the registry.
 
 Spark ML models are stored as a ``PipelineModel`` with their assembler;
 AdaBoost as a table of stumps; RBF-SVM as a table of its random features and
@@ -12,7 +14,9 @@ two models; 3-NN as its training points.
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -22,14 +26,16 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bidscope.operators.models import AdaBoostModel, NearestNeighboursModel, RbfSvmModel
+from bidscope.operators.models import AdaBoostModel, NearestNeighboursModel, RbfSvmModel, retrain
 from bidscope.schema import ALL_CLASSIFIERS
+from bidscope.sources.manifests import ManifestLog
 
 STUMP = "position int, feature int, threshold double, left double, right double, alpha double"
 
 
 def model_dir(root: str, market: str, clf: int, ts: int) -> str:
-    return f"{root}/market={market}/clf={clf}/ts={ts}"
+    """A new folder for a model; writers of one millisecond do not share it."""
+    return f"{root}/market={market}/clf={clf}/ts={ts}/{uuid.uuid4().hex[:12]}"
 
 
 def _write_model(spark: SparkSession, model, features: list[str], path: str) -> str:
@@ -84,24 +90,33 @@ def save_model(spark: SparkSession, root: str, market: str, trained: dict,
     spark.createDataFrame([(i, f, score.get(f)) for i, f in enumerate(trained["features"])],
                           "position int, FeatureName string, FI double").write.parquet(f"{path}/features")
     spark.createDataFrame([(kind, minima is not None)], "kind string, has_minima boolean").write.parquet(f"{path}/meta")
-    spark.createDataFrame([(market, int(trained["clf"]), int(ts), path)],
-                          "market string, clf int, ts long, path string") \
-        .write.mode("append").parquet(f"{root}/_registry")
+    row = json.dumps([market, int(trained["clf"]), int(ts), path])
+    ManifestLog(spark, f"{root}/_registry").update(lambda rows: [*rows, row])
     return path
 
 
 def model_registry(spark: SparkSession, root: str, market: str | None = None,
                    clf: int = ALL_CLASSIFIERS) -> DataFrame:
     """Newest saved model per (market, classifier); 7 = all."""
-    reg = spark.read.parquet(f"{root}/_registry")
+    rows = [tuple(json.loads(x)) for x in ManifestLog(spark, f"{root}/_registry").read()]     # one per saved model
+    reg = spark.createDataFrame(rows, "market string, clf int, ts long, path string")
     if market is not None:
         reg = reg.where(F.col("market") == market)
     if clf != ALL_CLASSIFIERS:
         reg = reg.where(F.col("clf") == clf)
-    w = Window.partitionBy("market", "clf").orderBy(F.desc("ts"))
+    w = Window.partitionBy("market", "clf").orderBy(F.desc("ts"), F.desc("path"))
     return reg.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def retrain_and_save(spark: SparkSession, root: str, market: str, old: DataFrame, new: DataFrame, clf: int = 1,
+                     features: list[str] | None = None, minima: DataFrame | None = None,
+                     ranking: DataFrame | None = None) -> tuple[dict, str]:
+    """Old and new training data unioned (U3), one fit (M1), saved and registered.
+    Returns the model and its folder; it is the market's newest from then on."""
+    trained = retrain(old, new, clf, features)
+    return trained, save_model(spark, root, market, trained, minima, ranking)
+
+
 def load_model(spark: SparkSession, path: str) -> dict:
     """Model, features in order, and minima (None when none were saved)."""
     meta = spark.read.parquet(f"{path}/meta").first()

@@ -2,19 +2,20 @@
 
 T1 parses each new XML file with the batch parser (same code path);
 T2 drops repeated offers within a watermark; T3 keeps the product
-minimum current in update mode; T4 reprices each micro-batch with the
-batch operators.  A whole auction is one file, so no auction spans
-micro-batches and T4 needs no cross-batch state.
+minimum current in update mode and in a table of keys; T4 reprices each
+micro-batch with the batch operators.  A whole auction is one file, so no
+auction spans micro-batches and T4 needs no cross-batch state.  Tables are
+written exactly once per epoch (``streaming.tables``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidscope.operators.reprice import POLY_DEGREE, reprice
 from bidscope.sources.notifications import parse_notifications
+from bidscope.streaming.tables import EpochTable
 
 DEDUP_KEYS = ("CompetitionName", "SellerId", "ListingPrice", "ShippingPrice",
               "IsBuyBoxWinner", "IsCustomer")
@@ -58,11 +59,27 @@ def running_product_min(offers: DataFrame, key: str = "ProductId") -> DataFrame:
                                    F.count(F.lit(1)).alias("n_offers"))
 
 
-def recommend_stream(offers: DataFrame, sink: Callable[[DataFrame, int], None],
-                     checkpoint: str, trigger: dict | None = None):
-    """T4: ``foreachBatch`` over new offers; ``sink(batch_df, epoch)``
-    runs the batch repricing and writes its result (idempotent per
-    epoch: overwrite the epoch's partition)."""
+def upsert_stream(changes: DataFrame, table: EpochTable, checkpoint: str, trigger: dict | None = None):
+    """T3 to a table: each micro-batch of an update-mode stream carries the changed keys only,
+    which are written and committed once per epoch."""
+    w = (changes.writeStream.outputMode("update").foreachBatch(lambda batch, epoch: table.write(batch, epoch))
+         .option("checkpointLocation", checkpoint))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def recommend_stream(offers: DataFrame, table: EpochTable, checkpoint: str, history: DataFrame | None = None,
+                     prob: Column | str | float = 0.5, degree: int = POLY_DEGREE, trigger: dict | None = None):
+    """T4: every micro-batch of new offers is repriced by the batch operators (R2 -> R3 -> R4 -> R5) and
+    its recommendations are written and committed once per epoch.
+
+    An auction is one notification, so none spans micro-batches; ``history`` gives the
+    product minima of R2 (the offers of the batch by default; the table of T3 may
+    serve).  The ledger of epochs is the table's own manifest, so a batch that is
+    replayed after a crash, before or after its commit, is in the table once.
+    """
+    def sink(batch: DataFrame, epoch: int) -> None:
+        if epoch > table.last_epoch():
+            table.write(reprice(batch, history, prob, degree), epoch)
+
     w = offers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return w.trigger(**(trigger or {"availableNow": True})).start()

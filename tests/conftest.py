@@ -26,7 +26,11 @@ def spark():
     s.stop()
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def offers(spark):
+    """The offers of the smallest tables; kept in memory for one module, as Spark puts a kept
+    frame into every plan that holds it."""
     from bidscope.plans.auction_view import auction_offers
-    return auction_offers(spark, SF).cache()
+    kept = auction_offers(spark, SF).cache()
+    yield kept
+    kept.unpersist()

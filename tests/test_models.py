@@ -118,3 +118,31 @@ def test_market_models_cover_every_market_of_the_data(offers):
     want = {r[0]: r[1] for r in offers.groupBy("MarketplaceId").count().collect()}
     assert markets == sorted(want) and len(markets) > 3
     assert {r[0]: r[1] for r in frame.groupBy("market").count().collect()} == want
+    sides = frame.groupBy("CompetitionName").agg(F.count_distinct("is_test").alias("n"))
+    assert sides.where("n > 1").count() == 0 and frame.where("is_test").count() > 0      # scored on auctions not seen
+
+
+def test_retrain_and_save_registers_the_newest(spark, frame):
+    """One call trains on old and new data, stores the model and makes it the market's newest."""
+    root = tempfile.mkdtemp(prefix="bidscope-retrain-")
+    cols = ["IsBuyBoxWinner", "ProductId", "SellerId", "CompetitionName", *FEATURES]
+    old, new = (frame.where(F.col("MarketplaceId") == m).select(*cols) for m in "XY")
+    store.save_model(spark, root, "X", M.train(old, 2, FEATURES), ts=1)
+    trained, path = store.retrain_and_save(spark, root, "X", old, new, 2, FEATURES)
+    assert [r["path"] for r in store.model_registry(spark, root, "X", 2).collect()] == [path]
+    back = store.load_model(spark, path)
+    assert back["features"] == list(FEATURES) and back["clf"] == 2
+    a, b = (M.predict(t, frame).select("prob").toPandas()["prob"].to_numpy() for t in (trained, back))
+    assert np.allclose(a, b)
+
+
+def test_writers_at_once_are_both_registered(spark, frame):
+    from concurrent.futures import ThreadPoolExecutor
+    root = tempfile.mkdtemp(prefix="bidscope-writers-")
+    trained = M.train(frame, 2, FEATURES)
+    with ThreadPoolExecutor(3) as pool:
+        paths = list(pool.map(lambda m: store.save_model(spark, root, m, trained, ts=5), "XXYZ"))
+    assert len(set(paths)) == 4
+    found = {r["market"]: r["path"] for r in store.model_registry(spark, root).collect()}
+    assert set(found) == set("XYZ") and set(found.values()) <= set(paths)
+    assert all(store.load_model(spark, p)["features"] == list(FEATURES) for p in found.values())

@@ -86,23 +86,86 @@ def test_csv_permissive_and_markets(spark, offers):
     assert read_markets(spark, out, [one]).select("MarketplaceId").distinct().count() == 1
 
 
-def test_recommend_stream_foreach_batch(spark):
-    """T4: each micro-batch of new notifications is repriced with the batch
-    operators (a whole auction arrives in one file, so in one batch)."""
+def test_recommend_stream_writes_each_batch_once(spark):
+    """T4: each micro-batch of new notifications is repriced with the batch operators and committed
+    once, also when it is replayed after a crash before or after the commit."""
     from bidscope.operators import reprice as RP
+    from bidscope.streaming.tables import EpochTable
     root, _ = _tree()
     out = tempfile.mkdtemp(prefix="bidscope-rec-")
-    offers, _ = S.stream_notifications(spark, root)
-
-    def sink(batch, epoch):
-        rec = RP.reprice(batch, degree=1)
-        rec.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    q = S.recommend_stream(offers, sink, tempfile.mkdtemp(prefix="bidscope-ck-"))
-    q.awaitTermination(180)
-    got = spark.read.parquet(out)
-    assert {r["File"] for r in got.collect()} == {"good1", "good2"}
-    assert got.where(F.col("RecommendedPrice") <= 0).count() == 0
+    offers, _ = S.stream_notifications(spark, root, 1)
+    batch, _ = read_notifications(spark, root)
+    want = RP.reprice(batch, batch, degree=1)
+    table = EpochTable(spark, out, want.schema)
+    run = lambda state: S.recommend_stream(offers, table, state, history=batch, degree=1).awaitTermination(180)
+    state = tempfile.mkdtemp(prefix="bidscope-ck-")
+    run(state)
+    assert {r["File"] for r in table.read().collect()} == {"good1", "good2"}
+    assert table.read().exceptAll(want).count() == 0 and table.read().count() == want.count()
+    assert table.last_epoch() >= 1
+    run(state)                                              # nothing new
+    run(tempfile.mkdtemp(prefix="bidscope-ck-"))            # all epochs again, the stream's own state lost
+    assert table.read().count() == want.count()
+
+
+def test_epoch_table_survives_crashes_and_replays(spark, monkeypatch):
+    import pytest
+    from bidscope.streaming import tables
+    root = tempfile.mkdtemp(prefix="bidscope-epochs-")
+    rows = lambda *x: spark.createDataFrame(x, "k string, v long")
+    table = lambda: tables.EpochTable(spark, root, rows(("a", 1)).schema, ["k"], compact_every=3)
+    state = lambda: {r["k"]: r["v"] for r in table().read().collect()}
+    assert state() == {}
+    assert table().write(rows(("a", 5), ("b", 6)), 0)
+    assert not table().write(rows(("a", 99)), 0)            # replayed after its commit
+    with monkeypatch.context() as m:                        # crash between the files and the commit
+        m.setattr(tables.ManifestLog, "update", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            table().write(rows(("a", 4)), 1)
+    assert state() == {"a": 5, "b": 6}
+    assert table().write(rows(("a", 4), ("c", 1)), 1)       # the same epoch again, in a new process
+    assert state() == {"a": 4, "b": 6, "c": 1}
+    for e in range(2, 9):
+        assert table().write(rows(("c", 1 - e)), e)
+    assert state() == {"a": 4, "b": 6, "c": -7}
+    folders = [f for f in os.listdir(root) if f.startswith(("epoch=", "to="))]
+    table().sweep()
+    left = [f for f in os.listdir(root) if f.startswith(("epoch=", "to="))]
+    assert len(left) <= 4 < len(folders) and state() == {"a": 4, "b": 6, "c": -7}
+
+
+def test_running_minimum_writes_changed_keys_only(spark):
+    """T3 to a table: the second run of the stream writes the keys of the new file only."""
+    from bidscope.streaming.tables import EpochTable
+    landing, root, ck = (tempfile.mkdtemp(prefix="bidscope-t3-") for _ in range(3))
+    rows = lambda *x: spark.createDataFrame(x, "ProductId string, ListingPrice double, ShippingPrice double")
+    stream = S.running_product_min(spark.readStream.schema(rows(("a", 1.0, 0.0)).schema).parquet(landing))
+    table = EpochTable(spark, root, stream.schema, ["ProductId"])
+    rows(("a", 9.0, 1.0), ("b", 5.0, 0.5), ("a", 8.0, 1.0)).coalesce(1).write.mode("append").parquet(landing)
+    S.upsert_stream(stream, table, ck).awaitTermination(120)
+    assert {tuple(r) for r in table.read().collect()} == {("a", 9.0, 2), ("b", 5.5, 1)}
+    rows(("b", 7.0, 0.0), ("c", 2.0, 2.0)).coalesce(1).write.mode("append").parquet(landing)
+    S.upsert_stream(stream, table, ck).awaitTermination(120)
+    assert {tuple(r) for r in table.read().collect()} == {("a", 9.0, 2), ("b", 5.5, 2), ("c", 4.0, 1)}
+    newest = max((f for f in os.listdir(root) if f.startswith("epoch=")), key=lambda f: int(f.split("=")[1].split("-")[0]))
+    assert {r["ProductId"] for r in spark.read.parquet(f"{root}/{newest}").collect()} == {"b", "c"}
+
+
+def test_of_two_writers_one_starts_again(spark):
+    """Two writers who read one state: the second is refused, none is lost, readers see whole states."""
+    import pytest
+    from concurrent.futures import ThreadPoolExecutor
+    from bidscope.sources.manifests import Conflict, ManifestLog
+    log = ManifestLog(spark, tempfile.mkdtemp(prefix="bidscope-log-"))
+    assert log.latest() == 0 and log.read() == []
+    log.commit(1, ["a", "é b"])
+    with pytest.raises(Conflict):
+        log.commit(1, ["other"])
+    assert log.read() == ["a", "é b"]
+    assert not log.update(lambda rows: None)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: log.update(lambda rows: [*rows, f"w{i}"]), range(20)))
+    assert sorted(log.read()) == sorted(["a", "é b", *(f"w{i}" for i in range(20))]) and log.latest() == 21
 
 
 def test_writers_round_trip_and_guard(spark, offers):
