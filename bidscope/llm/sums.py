@@ -1,7 +1,8 @@
-"""Sums of arrays over all tasks, added up by Spark in blocks.
+"""Sums of arrays over all tasks, added up by Spark in blocks, as a tree.
 
-Each task sends its array once, cut into blocks; blocks of one number meet in
-one task, so the driver receives only the finished sum.
+Each task sends its array once, cut into blocks.  A round adds the blocks of
+neighbouring tasks, and rounds follow until one block of each number is left; the
+driver receives only the finished sum.
 """
 
 from __future__ import annotations
@@ -25,36 +26,10 @@ def part_rows(total: np.ndarray):
                                       names=["block", "data"])
 
 
-def _add(dtype: str):
-    def run(batches):
-        import pyarrow as pa
-        now, total = None, None
-        for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(data, dtype)
-                if block == now:
-                    total = total + x
-                    continue
-                if now is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                                     names=["block", "data"])
-                now, total = block, x
-        if now is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                             names=["block", "data"])
-    return run
-
-
 def summed(parts: DataFrame, shape: tuple[int, ...], dtype: str = "float64") -> np.ndarray:
-    """The sum of all tasks' arrays (zeros when no task sent one)."""
-    n = min(store.shuffle_partitions(parts.sparkSession), -(-int(np.prod(shape)) // _BLOCK))
-    rows = (parts.repartition(n, "block").sortWithinPartitions("block")
-                 .mapInArrow(_add(dtype), PARTS).collect())
-    out = np.zeros(int(np.prod(shape)), dtype)
-    for r in rows:
-        x = np.frombuffer(r["data"], dtype)
-        out[r["block"] * _BLOCK:r["block"] * _BLOCK + len(x)] = x
-    return out.reshape(shape)
+    """The sum of all tasks' arrays (zeros when no task sent one), added as a tree."""
+    rows = parts.withColumn("part", F.spark_partition_id()).select("block", "part", "data")
+    return tree_summed(rows, int(np.prod(shape)), dtype).reshape(shape)
 
 
 # ---- dense vectors of counts, added as a tree ------------------------------------------------
@@ -112,8 +87,10 @@ def tree_summed(vectors: DataFrame, length: int, dtype: str = "int64") -> np.nda
     parts, tasks, rows = vectors.rdd.getNumPartitions(), store.shuffle_partitions(spark), vectors
     while True:
         parts = -(-parts // _FAN_IN)
-        rows = (rows.withColumn("part", F.expr(f"part div {_FAN_IN}").cast("int"))
-                    .repartition(tasks, "block", "part").sortWithinPartitions("block", "part").mapInArrow(_add_parts(dtype), DENSE))
+        # neighbours are added in the order of their parts, so sums are the same in every run
+        rows = (rows.withColumn("sub", F.col("part")).withColumn("part", F.expr(f"part div {_FAN_IN}").cast("int"))
+                    .repartition(tasks, "block", "part").sortWithinPartitions("block", "part", "sub")
+                    .select("block", "part", "data").mapInArrow(_add_parts(dtype), DENSE))
         if parts <= 1:
             break
     out = np.zeros(length, dtype)
