@@ -40,6 +40,7 @@ U64 = np.uint64
 HITS = "doc_id long, item_id long, place long, cosine double, lcs long, item_words long, answer_found boolean"
 _LENGTHS = (16, 24, 32, 48, 64, 96, 128, 192, 256)
 _BITMAP = 12
+_ANY = 20
 
 
 def folded(off: np.ndarray, body: np.ndarray):
@@ -88,7 +89,12 @@ def _products(passage: int, dims: int, idf, width: int, seed: int):
                 unit, term = np.divmod(pair[first].astype(np.int64), dims)
                 x = np.diff(np.append(first, len(pair))).astype(np.float32) * idf[term]
                 x /= np.sqrt(np.bincount(unit, x * x)).astype(np.float32)[unit]
-                y = np.add.reduceat(w[term] * x[:, None], np.flatnonzero(np.diff(unit, prepend=-1)))
+                # passages as rows of up to ``passage`` terms, the rest zeros
+                begin = np.flatnonzero(np.diff(unit, prepend=-1))
+                place = np.arange(len(unit)) - begin[unit]
+                terms, weight = np.zeros((len(begin), passage), np.int64), np.zeros((len(begin), 1, passage), np.float32)
+                terms[unit, place], weight[unit, 0, place] = term, x
+                y = np.matmul(weight, w[terms])[:, 0]
                 for j, column in enumerate(np.ascontiguousarray(y.T)):
                     total[j] += np.bincount(term, column[unit] * x, dims)
         yield sums.part_rows(total.T)
@@ -140,9 +146,11 @@ class Items:
             if len(self.size) else np.zeros(0, np.int64)
         over = self.size > _LENGTHS[-1]             # longer items: windows of their own length
         self.blocks[over] = -(-self.size[over] // step)
+        self.any = np.zeros(1 << _ANY, np.int32)          # words of any item
         self.bitmap = np.zeros((len(self.words), 1 << _BITMAP), bool)
         for q, h in enumerate(self.words):
             self.bitmap[q, (h & U64((1 << _BITMAP) - 1)).astype(np.int64)] = True
+            self.any[(h & U64((1 << _ANY) - 1)).astype(np.int64)] = 1
 
     def short(self, min_words: int):
         """(words, sorted hashes, their items) of items below ``min_words``, by number of words."""
@@ -185,17 +193,22 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
         found = lcs(tail, window) >= copied * len(tail)
         return (common, found) if found or common >= copied * n else None
 
-    def candidates(items, sums_, end, kind):
-        """(window, item, cosine) above the bound for items of one window length."""
+    def candidates(items, sums_, end, kind, often):
+        """(window, item, cosine) above the bound for items of one window length.
+
+        ``often`` tells how many words of each window, and a step around it, any item has:
+        windows with too few for the smallest item cannot pass the check and are left out.
+        """
         q = np.flatnonzero(items.blocks == kind)
-        for a in range(0, len(end), 1 << 14):
-            i = np.arange(a, min(a + (1 << 14), len(end)))
+        some = np.flatnonzero(often >= paraphrased * items.size[q].min())
+        for a in range(0, len(some), 1 << 14):
+            i = some[a:a + (1 << 14)]
             z = (sums_[np.minimum(i + kind, end[i])] - sums_[i]).astype(np.float32)
             norm = np.sqrt(np.einsum("ij,ij->i", z, z))
             sim = z @ items.vectors[q].T
             w, c = np.nonzero(sim >= least_cosine * np.maximum(norm, 1e-9)[:, None])
             if len(w):
-                yield w + a, q[c], sim[w, c] / norm[w]
+                yield i[w], q[c], sim[w, c] / norm[w]
 
     def whole(short, h, row):
         """(row, item, place) where all words of a short item follow each other."""
@@ -225,8 +238,12 @@ def _search(model, step: int, least_cosine: float, copied: float, paraphrased: f
                 brow = row[start]
                 end = K.first_places(brow, b - a)[brow + 1]
                 small = (h & U64((1 << _BITMAP) - 1)).astype(np.int64)
+                known = np.zeros(len(h) + 1, np.int32)
+                np.cumsum(items.any[(h & U64((1 << _ANY) - 1)).astype(np.int64)], out=known[1:])
+                before, last = np.maximum(start - step, first[brow]), first[brow + 1]
                 for kind in kinds:
-                    for w, q, cos in candidates(items, total, end, int(kind)):
+                    often = known[np.minimum(start + (kind + 1) * step, last)] - known[before]
+                    for w, q, cos in candidates(items, total, end, int(kind), often):
                         # words of the window and one step around it that the item has too
                         lo = np.maximum(start[w] - step, first[brow[w]])
                         hi = np.minimum(start[w] + (kind + 1) * step, first[brow[w] + 1])
