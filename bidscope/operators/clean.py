@@ -28,41 +28,100 @@ def _type_family(dt: T.DataType) -> str:
     return dt.simpleString()
 
 
+def _numeric(dt: T.DataType) -> bool:
+    return isinstance(dt, (T.FloatType, T.DoubleType, T.IntegralType, T.DecimalType))
+
+
 def _equal_everywhere(a: str, b: str, dt: T.DataType) -> Column:
     ca, cb = F.col(a), F.col(b)
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         # a NaN / null on either side makes the columns unequal
         same = F.coalesce((ca == cb) & ~F.isnan(ca) & ~F.isnan(cb), F.lit(False))
-    elif isinstance(dt, (T.IntegralType, T.DecimalType)):
+    elif _numeric(dt):
         same = F.coalesce(ca == cb, F.lit(False))
     else:
         same = ca.eqNullSafe(cb)
     return F.coalesce(F.bool_and(same), F.lit(True))
 
 
+def _canonical(f: T.StructField) -> Column:
+    """Equal for equal values of a family: longs, doubles without a negative zero."""
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.IntegralType):
+        return c.cast("long")
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        return c.cast("double") + F.lit(0.0)
+    return c
+
+
+def _unequal_to_all(f: T.StructField) -> Column:
+    """A number that is null or NaN equals nothing, so its column has no copy."""
+    c = F.col(f.name)
+    if not _numeric(f.dataType):
+        return F.lit(False)
+    missing = c.isNull() | F.isnan(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c.isNull()
+    return F.coalesce(F.bool_or(missing), F.lit(False))
+
+
+ROW = "_row_of_column_prints"
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Every row with a number of its own; the same for all columns of one pass is all that is asked."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _fingerprints(fields: Sequence[T.StructField]) -> list[Column]:
+    """Per column an order-free sum (xor) of the hashes of (row, value), and whether it can have a copy.
+    The frame carries ``ROW`` (``_numbered``)."""
+    row = F.col(ROW)
+    out = []
+    for i, f in enumerate(fields):
+        out += [F.bit_xor(F.xxhash64(row, _canonical(f))).alias(f"_f{i}"), (~_unequal_to_all(f)).alias(f"_u{i}")]
+    return out
+
+
+def _duplicates(df: DataFrame, fields: Sequence[T.StructField], prints) -> list[str]:
+    """Columns that equal a later one: those of equal fingerprints are compared, each with
+    the next, in one more aggregate; a group that a chance hit has joined pair by pair."""
+    groups: dict = {}
+    for i, f in enumerate(fields):
+        if prints[f"_u{i}"]:
+            groups.setdefault((_type_family(f.dataType), prints[f"_f{i}"]), []).append(f)
+    groups = [g for g in groups.values() if len(g) > 1]
+
+    def equal(pairs):
+        if not pairs:
+            return []
+        return list(df.agg(*[_equal_everywhere(a.name, b.name, a.dataType).alias(f"_e{i}") for i, (a, b) in enumerate(pairs)]).first())
+
+    chain = [[(a, b) for a, b in zip(g, g[1:])] for g in groups]
+    said = iter(equal([p for c in chain for p in c]))
+    out, open_ = [], []
+    for g, c in zip(groups, chain):
+        if all([next(said) for _ in c]):
+            out += [f.name for f in g[:-1]]
+        else:
+            open_.append(g)
+    pairs = [(a, b) for g in open_ for i, a in enumerate(g) for b in g[i + 1:]]
+    out += [a.name for (a, _), same in zip(pairs, equal(pairs)) if same]
+    return [f.name for f in fields if f.name in set(out)]
+
+
 def duplicate_column_report(df: DataFrame, protect: Sequence[str] = ID_COLUMNS) -> DataFrame:
     """F1 as a table: (column, duplicate) for every candidate column.
 
     Among same-typed columns other than the ids, a column is a duplicate
     when it equals some LATER column on every row (so the last copy
-    survives).  One aggregate of ``bool_and`` over all same-type pairs.
+    survives).  One aggregate of a fingerprint per column; only columns of equal
+    fingerprints are compared value by value.
     """
     fields = [f for f in df.schema.fields if f.name not in protect]
-    fam: dict[str, list[T.StructField]] = {}
-    for f in fields:
-        fam.setdefault(_type_family(f.dataType), []).append(f)
-    flags = []
-    for group in fam.values():
-        for i, f in enumerate(group):
-            later = [_equal_everywhere(f.name, g.name, f.dataType) for g in group[i + 1:]]
-            dup = F.greatest(*later, F.lit(False)) if later else F.lit(False)
-            flags.append((f.name, dup))
-    if not flags:
-        return df.sparkSession.createDataFrame([], "column string, duplicate boolean")
-    row = df.agg(*[e.alias(f"_d{i}") for i, (_, e) in enumerate(flags)])
-    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"_d{i}").alias("duplicate"))
-                                  for i, (n, _) in enumerate(flags)]))
-    return row.select(stacked.alias("r")).select("r.column", "r.duplicate")
+    shape = "column string, duplicate boolean"
+    if not fields:
+        return df.sparkSession.createDataFrame([], shape)
+    gone = set(_duplicates(df, fields, _numbered(df).agg(*_fingerprints(fields)).first()))
+    return df.sparkSession.createDataFrame([(f.name, f.name in gone) for f in fields], shape)
 
 
 def duplicate_columns(df: DataFrame, protect: Sequence[str] = ID_COLUMNS) -> list[str]:
@@ -80,18 +139,22 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """One aggregate: row count and, per column, non-null count, min, max.
-
-    Feeds F3 (constant) and F4 (sparse) without a distinct count per column.
-    """
+def _profile_exprs(df: DataFrame) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(df.schema.fields):
         c = F.col(f.name)
         aggs += [F.count(c).alias(f"_c{i}")]
         if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
             aggs += [F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}")]
-    return df.agg(*aggs)
+    return aggs
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """One aggregate: row count and, per column, non-null count, min, max.
+
+    Feeds F3 (constant) and F4 (sparse) without a distinct count per column.
+    """
+    return df.agg(*_profile_exprs(df))
 
 
 def _profile_rows(df: DataFrame, profile: DataFrame, body) -> DataFrame:
@@ -109,6 +172,10 @@ def constant_column_report(df: DataFrame, protect: Sequence[str] = ID_COLUMNS,
     counted as a value: all null, or no null and min = max.  Ids and the
     label are never reported (the label is protected, quirk Q4).
     """
+    return _constant_report(df, column_profile(df), protect, label)
+
+
+def _constant_report(df: DataFrame, profile: DataFrame, protect: Sequence[str], label: str | None) -> DataFrame:
     keep = set(protect) | ({label} if label else set())
 
     def body(i, f):
@@ -122,7 +189,7 @@ def constant_column_report(df: DataFrame, protect: Sequence[str] = ID_COLUMNS,
             const = F.lit(False)
         return [F.coalesce(const, F.lit(False)).alias("constant")]
 
-    return _profile_rows(df, column_profile(df), body)
+    return _profile_rows(df, profile, body)
 
 
 def drop_constant_columns(df: DataFrame, protect: Sequence[str] = ID_COLUMNS,
@@ -230,23 +297,45 @@ def required_fields(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(ok), df.where(~ok)
 
 
+def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[int]]:
+    """Distinct rows, and the non-null values of ``cols`` in them.
+
+    Rows are told apart by 128 bits of hash, so an exchange moves two hashes and a bit a
+    column instead of the rows.
+    """
+    values = [_canonical(f) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else F.col(f.name) for f in df.schema.fields]
+    nulls = [c.isNull() for c in values]          # a hash passes over nulls, so their places go in as well
+    keys = [F.xxhash64(F.lit(k), *values, *nulls).alias(f"_h{k}") for k in (1, 2)]
+    rows = df.select(*keys, F.array(*[F.col(c).isNotNull() for c in cols]).alias("_there"))
+    one = rows.groupBy("_h1", "_h2").agg(F.first("_there").alias("_there"))
+    found = one.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.col("_there")[i].cast("long")), F.lit(0)).alias(f"c{i}")
+                                                    for i in range(len(cols))]).first()
+    return found["n"], [found[f"c{i}"] for i in range(len(cols))]
+
+
 def clean(df: DataFrame, min_fraction: float = 0.9, protect: Sequence[str] = ID_COLUMNS,
           label: str = WINNER) -> DataFrame:
     """F1 -> F2 -> F3 -> F4 -> F5, with the result of that order.
 
-    Duplicate-column and constant-column verdicts do not change when
-    duplicate rows are removed, so both are taken from the input in one
-    job (F1 + F3 aggregates, one verdict row per column to the driver).  The sparse-column threshold (F4) counts rows after
-    de-duplication, so the de-duplicated frame is checkpointed for that pass
-    and the final winner filter (F5); Spark removes it with its last user.
+    Duplicate-column and constant-column verdicts do not change when duplicate rows are
+    removed, so both come from one aggregate over the input (fingerprints, counts,
+    ends), one row to the driver, and one more where fingerprints are equal.  The
+    sparse-column threshold (F4) counts rows after de-duplication; only columns with a null
+    are counted, over hashes of the rows.  De-duplication and the winner filter (F5) are
+    the lazy rest.
     """
-    dup = duplicate_column_report(df, protect)
-    const = constant_column_report(df, protect, label)
-    verdicts = dup.select("column", F.col("duplicate").alias("drop")).unionByName(
-        const.select("column", F.col("constant").alias("drop")))
-    gone = {r["column"] for r in verdicts.collect() if r["drop"]}   # one row per column
-    kept = cut_lineage(drop_duplicate_rows(df.drop(*gone)))
-    return exactly_one_winner(drop_sparse_columns(kept, min_fraction))
+    fields = [f for f in df.schema.fields if f.name not in protect]
+    profiled = _numbered(df).agg(*_profile_exprs(df), *_fingerprints(fields))
+    both = profiled.first()
+    gone = set(_duplicates(df, fields, both)) if fields else set()
+    profile = df.sparkSession.createDataFrame([both], profiled.schema)
+    gone |= {r["column"] for r in _constant_report(df, profile, protect, label).collect() if r["constant"]}
+    kept = df.drop(*gone)
+    holes, sparse = [f.name for i, f in enumerate(df.schema.fields) if f.name not in gone and both[f"_c{i}"] < both["_n"]], []
+    if holes:
+        n, counts = _distinct_counts(kept, holes)
+        sparse = [c for c, k in zip(holes, counts) if k < int(min_fraction * n)]
+    return exactly_one_winner(drop_duplicate_rows(kept).drop(*sparse))
 
 
 def clean_report(df: DataFrame, min_fraction: float = 0.9, protect: Sequence[str] = ID_COLUMNS,

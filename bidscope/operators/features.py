@@ -118,35 +118,38 @@ def product_minima(df: DataFrame) -> DataFrame:
     return df.groupBy(PRODUCT).agg(F.min(LANDED).alias("min_landed"))
 
 
-def diff_to_min_product(df: DataFrame, minima: DataFrame | None = None,
-                        normalise: bool = False, price: str = LANDED,
-                        source: DataFrame | None = None) -> DataFrame:
-    """W5 + J3: LandedPrice - product minimum.
-
-    The minimum comes from ``minima`` (ProductId, min_landed) when given,
-    else from this data; products missing from ``minima`` fall back to
-    their own minimum here.  With ``normalise`` the difference is also
-    min-max scaled per product (W6, constant -> 1).  One product
-    aggregate serves both: x - m is monotone in x, so the group min/max of
-    the difference are min/max of LandedPrice minus m.  ``source`` may name
-    a narrower frame with the same (ProductId, LandedPrice) rows, and
-    ``price`` the column of ``df`` that holds the landed price.
+PRICE_STATS = ("_m", "_dlo", "_dhi")
+
+
+def product_price_stats(source: DataFrame, minima: DataFrame | None = None) -> DataFrame:
+    """(ProductId, _m, _dlo, _dhi): the minimum that W5 subtracts, and the least and greatest
+    difference to it, from one product aggregate of (ProductId, LandedPrice).
+
+    The minimum comes from ``minima`` (ProductId, min_landed) when given, else from
+    this data; products missing from ``minima`` fall back to their own minimum here.
+    x - m is monotone in x, so the ends of the difference are those of LandedPrice minus m.
     """
-    stats = group_stats(source if source is not None else df.withColumn(LANDED, F.col(price)), PRODUCT,
-                        {"_own": F.min(LANDED), "_max": F.max(LANDED)})
+    stats = group_stats(source, PRODUCT, {"_own": F.min(LANDED), "_max": F.max(LANDED)})
     if minima is not None:
-        stats = stats.join(minima.select(PRODUCT, F.col("min_landed").alias("_given")),
-                           on=PRODUCT, how="left")
+        stats = stats.join(minima.select(PRODUCT, F.col("min_landed").alias("_given")), on=PRODUCT, how="left")
         m = F.coalesce(F.col("_given"), F.col("_own"))
     else:
         m = F.col("_own")
-    stats = stats.select(PRODUCT, m.alias("_m"), (F.col("_own") - m).alias("_dlo"),
-                         (F.col("_max") - m).alias("_dhi"))
-    out = df.drop(DIFF_MIN_PRODUCT).join(stats, on=PRODUCT, how="left")
+    return stats.select(PRODUCT, m.alias("_m"), (F.col("_own") - m).alias("_dlo"), (F.col("_max") - m).alias("_dhi"))
+
+
+def diff_from_stats(df: DataFrame, normalise: bool = False, price: str = LANDED) -> DataFrame:
+    """W5 (and W6 by product with ``normalise``, constant -> 1) of rows that carry ``PRICE_STATS``."""
     diff = F.col(price) - F.col("_m")
     if normalise:
         diff = minmax_expr(diff, F.col("_dlo"), F.col("_dhi"))
-    return out.withColumn(DIFF_MIN_PRODUCT, diff).drop("_m", "_dlo", "_dhi")
+    return df.withColumn(DIFF_MIN_PRODUCT, diff).drop(*PRICE_STATS)
+
+
+def diff_to_min_product(df: DataFrame, minima: DataFrame | None = None, normalise: bool = False) -> DataFrame:
+    """W5 + J3: LandedPrice - product minimum (see ``product_price_stats``)."""
+    rows = df.drop(DIFF_MIN_PRODUCT).join(product_price_stats(df, minima), on=PRODUCT, how="left")
+    return diff_from_stats(rows, normalise)
 
 
 def minmax(df: DataFrame, group: str | Sequence[str], cols: str | Sequence[str],

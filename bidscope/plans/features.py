@@ -1,10 +1,10 @@
 """Feature pipelines (FP1-FP3): one lazy plan per frame.
 
-Shuffle plan: the per-auction statistics (W1-W4, W6, W12) are windows
-over the auction key and share one exchange; the per-product statistics
-(W5 with its W6) are one product aggregate joined back (hot products are
-combined map-side); the platform dimension (one row per market) is
-joined on its measured size.
+Shuffle plan: the per-product statistics (W5 with its W6) are one product
+aggregate (hot products are combined map-side), joined to the narrow offers;
+the per-auction statistics (W1-W4, W6, W12) are windows over the auction key
+and share one exchange after that; the platform dimension (one row per
+market) is joined on its measured size.
 """
 
 from __future__ import annotations
@@ -17,10 +17,9 @@ from pyspark.sql import types as T
 
 from bidscope.functions.scalars import (drop_if_present, landed_price, ship_hours_floor,
                                         text_code)
-from bidscope.operators.features import (PLATFORM, auction_features, auction_order_split, auction_split_flags,
-                                         diff_to_min_product, minmax, normalise_all,
-                                         platform_seller, product_minima)
-from bidscope.operators.groups import minmax_expr
+from bidscope.operators.features import (PLATFORM, PRICE_STATS, auction_features, auction_order_split, auction_split_flags,
+                                         diff_from_stats, minmax, normalise_all,
+                                         platform_seller, product_minima, product_price_stats)
 from bidscope.schema import (AUCTION, DIFF_MIN_PRODUCT, IDEAL_POINT, LANDED, LISTING, MARKET,
                              MAX_HOURS, MIN_HOURS, PRODUCT, SHIPPING, WINNER)
 from bidscope.session import cut_lineage
@@ -42,12 +41,11 @@ def _auction_part(df: DataFrame, platform_dim: DataFrame) -> DataFrame:
     return minmax(out, AUCTION, [LISTING, SHIPPING, LANDED, IDEAL_POINT])
 
 
-def _product_part(out: DataFrame, source: DataFrame, minima: DataFrame | None) -> DataFrame:
-    """W5 (+J3) -> W6 by product -> P12.  The product statistics come from the
-    narrow input; the join is last, so rows leave the auction partitioning once."""
-    stats = landed_price(source.select(PRODUCT, LISTING, SHIPPING)).select(PRODUCT, LANDED)
-    out = diff_to_min_product(out, minima, normalise=True, price=RAW_LANDED, source=stats)
-    return drop_if_present(out, POST_DROP + [PLATFORM, RAW_LANDED])
+def _with_product(df: DataFrame, minima: DataFrame | None) -> DataFrame:
+    """Rows with their product's price statistics.  They are joined while rows are narrow;
+    the exchange to the auctions, which all windows share, comes after."""
+    landed = landed_price(df.select(PRODUCT, LISTING, SHIPPING)).select(PRODUCT, LANDED)
+    return df.drop(DIFF_MIN_PRODUCT).join(product_price_stats(landed, minima), on=PRODUCT, how="left")
 
 
 def add_features(df: DataFrame, platform_dim: DataFrame,
@@ -55,7 +53,8 @@ def add_features(df: DataFrame, platform_dim: DataFrame,
     """Shared part of FP1/FP2: P11 -> P12 -> P8, W1 -> W2, W3 -> P9 -> W4
     -> W5 (+J3 with ``minima``) -> W6 of listing, shipping, landed, ideal
     point by auction, product diff by product -> P12."""
-    return _product_part(_auction_part(df, platform_dim), df, minima)
+    out = diff_from_stats(_auction_part(_with_product(df, minima), platform_dim), normalise=True, price=RAW_LANDED)
+    return drop_if_present(out, POST_DROP + [PLATFORM, RAW_LANDED])
 
 
 def candidate_features(frame: DataFrame, platform_dim: DataFrame,
@@ -86,13 +85,13 @@ def code_text(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 def train_features(df: DataFrame, platform_dim: DataFrame,
                    minima: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """FP1: add_features -> P10 -> W12 (every column but label, product
-    diff, auction, product min-max scaled by auction).  W12 does not touch the
-    product difference, so it runs before the product join, while rows are
-    still partitioned by auction; the ids are text-coded last, after they
-    have served as keys.  Columns ``keep`` pass as they are."""
-    f = code_text(drop_if_present(_auction_part(df, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
+    diff, auction, product min-max scaled by auction).  The ids are text-coded last, after
+    they have served as keys.  Columns ``keep`` pass as they are."""
+    keep = [*keep, *PRICE_STATS]
+    f = _auction_part(_with_product(df, minima), platform_dim)
+    f = code_text(drop_if_present(f, POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
     f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT, *keep))
-    return code_text(_product_part(f, df, minima), skip=keep)
+    return code_text(diff_from_stats(f, normalise=True, price=RAW_LANDED).drop(RAW_LANDED), skip=keep)
 
 
 def serve_features(df: DataFrame, platform_dim: DataFrame, minima: DataFrame | None,
@@ -117,17 +116,17 @@ def train_test_frame(df: DataFrame, platform_dim: DataFrame, ratio: float = 0.3,
     """
     flags = auction_split_flags(df, ratio, time_col)
     tagged = df.join(flags, on=AUCTION, how="inner").drop(time_col)
-    keep = [IS_TEST, *keep]
-    f = code_text(drop_if_present(_auction_part(tagged, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
-    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT, *keep))
     landed, test = F.col(LISTING) + F.col(SHIPPING), F.col(IS_TEST)
     ends = tagged.groupBy(PRODUCT).agg(F.min(F.when(~test, landed)).alias("_l0"), F.max(F.when(~test, landed)).alias("_h0"),
                                        F.min(F.when(test, landed)).alias("_l1"), F.max(F.when(test, landed)).alias("_h1"))
-    lo, hi = F.when(test, F.col("_l1")).otherwise(F.col("_l0")), F.when(test, F.col("_h1")).otherwise(F.col("_h0"))
     learned = F.coalesce(F.col("_l0"), F.col("_l1"))
-    out = f.join(ends, on=PRODUCT, how="left").withColumn(
-        DIFF_MIN_PRODUCT, minmax_expr(F.col(RAW_LANDED) - learned, lo - learned, hi - learned))
-    return code_text(out.drop("_l0", "_h0", "_l1", "_h1", RAW_LANDED), skip=keep)
+    lo, hi = F.when(test, F.col("_l1")).otherwise(F.col("_l0")), F.when(test, F.col("_h1")).otherwise(F.col("_h0"))
+    rows = tagged.join(ends, on=PRODUCT, how="left").withColumns({"_m": learned, "_dlo": lo - learned, "_dhi": hi - learned}).drop(
+        "_l0", "_h0", "_l1", "_h1")
+    keep = [IS_TEST, *keep, *PRICE_STATS]
+    f = code_text(drop_if_present(_auction_part(rows, platform_dim), POST_DROP + [PLATFORM]), skip=[AUCTION, PRODUCT, *keep])
+    f = normalise_all(f, AUCTION, exclude=(WINNER, RAW_LANDED, AUCTION, PRODUCT, *keep))
+    return code_text(diff_from_stats(f, normalise=True, price=RAW_LANDED).drop(RAW_LANDED), skip=keep)
 
 
 def train_test_features(df: DataFrame, platform_dim: DataFrame, ratio: float = 0.3,

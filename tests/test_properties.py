@@ -263,3 +263,36 @@ def test_quantiles_by_narrowing(spark, monkeypatch, direct, buckets):
     alone = ranking.describe(df.where("g = 'signs'"), "v").first()
     assert alone["p50"] == pytest.approx(np.median(groups["signs"])) and alone["count"] == 401
     assert ranking.describe(df.where("false"), "v", ["g"]).collect() == []
+
+
+def test_duplicate_columns_of_a_wide_table(spark):
+    """F1 by fingerprints: 300 columns in one aggregate; copies, numbers with holes, texts with holes,
+    families, signs of zero, columns of equal values in another order."""
+    from bidscope.operators.clean import drop_duplicate_columns
+    n = 60
+    cols = {f"x{i}": [(i * 7 + r * r) % 97 for r in range(n)] for i in range(280)}
+    cols |= {"x_copy": cols["x5"], "x_turned": cols["x5"][::-1], "zero": [0.0, -0.0] * 30, "minus": [-0.0, 0.0] * 30,
+             "hole": [None, *range(n - 1)], "hole_copy": [None, *range(n - 1)], "nan": [float("nan"), *map(float, range(n - 1))],
+             "nan_copy": [float("nan"), *map(float, range(n - 1))], "text": [None, *"ab"] * 20, "text_copy": [None, *"ab"] * 20}
+    rows = list(zip(*cols.values()))
+    kind = lambda c: "string" if c.startswith("text") else "double" if c[:3] in ("zer", "min", "nan") else "long"
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {kind(c)}" for c in cols)).withColumn("x_int", F.col("x9").cast("int")).repartition(3)
+    kept = set(drop_duplicate_columns(df, protect=()).columns)
+    cols["x_int"] = cols["x9"]
+    names = list(cols)
+    copy = lambda a, b: kind(a) == kind(b) and cols[a] == cols[b] and (kind(a) == "string" or all(v == v and v is not None for v in cols[a]))
+    want = {a for i, a in enumerate(names) if any(copy(a, b) for b in names[i + 1:])}
+    assert {"x5", "x9", "zero", "text"} < want and set(df.columns) - kept == want
+    last = {"x_int", "nan_copy", "text_copy"}          # no rows: every column but the last of its family
+    assert set(drop_duplicate_columns(df.where("false"), protect=()).columns) == last
+
+
+def test_previous_win_by_windows_and_by_ranges_agree(spark):
+    from bidscope.operators.events import previous_win
+    rows = [(f"a{i}", "hot" if i % 3 == 0 else f"w{i % 17}", float(i * 7 % 1000), None if i % 4 else "m", "p", i % 2, float(i))
+            for i in range(3000)]
+    wins = spark.createDataFrame(rows, "File string, WinnerId string, Time double, MarketplaceId string, "
+                                       "ProductId string, IsCustomer int, LandedPrice double")
+    plain, mixed, ranged = (previous_win(wins, ["Time", "File"], hot_key_rows=n) for n in (10_000, 300, 1))
+    assert plain.count() == mixed.count() == ranged.count()
+    assert plain.exceptAll(mixed).count() == 0 and plain.exceptAll(ranged).count() == 0
