@@ -77,14 +77,14 @@ def _add_parts(dtype: str):
     return run
 
 
-def tree_summed(vectors: DataFrame, length: int, dtype: str = "int64") -> np.ndarray:
-    """The sum of all tasks' vectors (zeros where no task sent one).
+def tree_summed(vectors: DataFrame, length: int, dtype: str = "int64", parts: int | None = None) -> np.ndarray:
+    """The sum of all vectors (zeros where none was sent), of ``parts`` parts (one a task by default).
 
     Each round adds the blocks of ``_FAN_IN`` neighbouring parts, so that no task reads
     more than that of one block, however many tasks there were.
     """
     spark = vectors.sparkSession
-    parts, tasks, rows = vectors.rdd.getNumPartitions(), store.shuffle_partitions(spark), vectors
+    parts, tasks, rows = parts or vectors.rdd.getNumPartitions(), store.shuffle_partitions(spark), vectors
     while True:
         parts = -(-parts // _FAN_IN)
         # neighbours are added in the order of their parts, so sums are the same in every run

@@ -8,13 +8,15 @@
    frequent among toxic texts stay, at most ``max_features``, the clearest first.
 3. Linear classifiers in NumPy minimise the non-negative PU risk
        p E+[l(f)] + max(0, Eu[l(-f)] - p E+[l(-f)])
-   with logistic loss and class prior p; the confirmed texts give E+, a bounded
-   sample of all other text (labels unused) gives Eu.  When the second
-   term falls below zero the step climbs out of it instead of overfitting.
-4. Every document is scored with the mean of the ``members`` classifiers.
+   with logistic loss and class prior p.  The confirmed texts give E+; all learnable
+   text (labels unused) gives Eu: it is dealt by hash to slices of about ``slice_rows``
+   texts, at least ``members`` of them, and every slice fits a classifier.  When the
+   second term falls below zero the step climbs out of it instead of overfitting.
+   Texts of a slice with the same features are one row with a weight.
+4. Every document is scored with the mean of the slices' classifiers, added up as a tree.
 
-Broadcasts: candidates, bounded by the words of ``max_positive`` texts, and weights,
-bounded by ``max_features``.
+Broadcasts: candidates, bounded by the words of ``max_positive`` texts, weights, and the
+confirmed texts' kept features, at most ``max_features`` of each.
 
 Cases: null or empty text has no features and scores by the bias alone; without
 confirmed texts every score is the prior; repeated rows score alike; null ids
@@ -124,11 +126,13 @@ def _sigmoid(x):
 
 
 def fit_nnpu(pos, unl, n_features: int, prior: float, steps: int = 400, rate: float = 0.05,
-             decay: float = 1e-4, gamma: float = 1.0):
+             decay: float = 1e-4, gamma: float = 1.0, weight: np.ndarray | None = None):
     """(weights, bias) of the non-negative PU risk; ``pos`` and ``unl`` are
-    (row, column, number of rows) of 0/1 features.  Adam on full batches."""
+    (row, column, number of rows) of 0/1 features, ``weight`` tells how often each
+    unlabelled row occurs.  Adam on full batches."""
     w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
+    share = np.full(unl[2], 1 / max(unl[2], 1)) if weight is None else weight / weight.sum()
 
     def scores(part):
         return np.bincount(part[0], w[part[1]], part[2]) + b
@@ -140,8 +144,8 @@ def fit_nnpu(pos, unl, n_features: int, prior: float, steps: int = 400, rate: fl
         fp, fu = scores(pos), scores(unl)
         # logistic loss: l(f) = log(1 + exp(-f)), slopes of l(f) and of l(-f)
         up = back(pos, -_sigmoid(-fp) * prior / pos[2])
-        neg = (np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
-        down = back(unl, _sigmoid(fu) / unl[2]) - back(pos, _sigmoid(fp) * prior / pos[2])
+        neg = (np.logaddexp(0, fu) @ share - prior * np.logaddexp(0, fp).mean())
+        down = back(unl, _sigmoid(fu) * share) - back(pos, _sigmoid(fp) * prior / pos[2])
         grad = up + down if neg >= 0 else -gamma * down
         grad[:-1] += decay * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
@@ -150,6 +154,18 @@ def fit_nnpu(pos, unl, n_features: int, prior: float, steps: int = 400, rate: fl
     return w, b
 
 
+def _fit_slice(shared, n_features: int, prior: float):
+    """A slice's distinct feature lists -> its classifier (weights, bias, 1) in blocks."""
+    def run(key, rows):
+        import pandas as pd
+        rows = rows.sort_values("at")
+        w, b = fit_nnpu(shared.value, _as_csr([{"at": x} for x in rows["at"]], n_features), n_features, prior,
+                        weight=rows["n"].to_numpy(dtype=float))
+        out = sums.part_rows(np.concatenate([w, [b, 1.0]]))
+        return pd.DataFrame({"block": out.column(0).to_pylist(), "part": int(key[0]), "data": out.column(1).to_pylist()})
+    return run
+
+
 def _score(model):
     def run(batches):
         import pyarrow as pa
@@ -173,14 +189,14 @@ def _as_csr(rows, known_n):
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 4096,
-                   max_unlabelled: int = 16384, max_features: int = 8192, min_df: int = 3, z_least: float = 4.0,
-                   members: int = 3, class_prior: float | None = None, seed: int = 10, id_col: str = "doc_id",
+                   slice_rows: int = 16384, max_features: int = 8192, min_df: int = 3, z_least: float = 4.0,
+                   members: int = 3, class_prior: float | None = None, id_col: str = "doc_id",
                    text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """``docs`` without its text, plus ``score`` (probability of label 1).
 
-    ``learn`` says (of an id column) which rows may be learned from.  Bounds:
-    ``max_positive`` confirmed and about ``max_unlabelled`` unlabelled texts,
-    both chosen by a hash of their id.  ``class_prior`` defaults to the share of
+    ``learn`` says (of an id column) which rows may be learned from.  At most
+    ``max_positive`` confirmed texts are used, chosen by a hash of their id; all
+    learnable texts are unlabelled ones.  ``class_prior`` defaults to the share of
     toxic rows among the learnable labels.
     """
     spark = docs.sparkSession
@@ -207,20 +223,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positi
     p, u = (in_pos + .5) / (n_pos + 1), (df[:-1] + .5) / (n_all + 1)
     z = (p - u) / np.sqrt(u * (1 - u) / max(n_pos, 1) + 1e-12)
     known = known[clearest(z, z_least, max_features)]
-    share = min(1.0, max_unlabelled / max(n_all, 1))
-    drawn = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    sample = (base.where(drawn).select("_text", "_id", F.lit(False).alias("_p"))
-              .unionByName(positive.select("_text", "_id", F.lit(True).alias("_p"))))
-    rows = sample.mapInArrow(_feature_lists(sc.broadcast(known)), "id long, positive boolean, at binary").collect()
-    pos = _as_csr([r for r in rows if r["positive"]], len(known))
-    unl = sorted((r for r in rows if not r["positive"]), key=lambda r: (r["id"] is None, r["id"] or 0, r["at"]))
+    held = sc.broadcast(known)
+    positives = (positive.select("_text", "_id", F.lit(True).alias("_p"))
+                 .mapInArrow(_feature_lists(held), "id long, positive boolean, at binary").orderBy("id", "at").collect())   # max_positive rows
+    pos = _as_csr(positives, len(known))
     w, b = np.zeros(len(known)), float(np.log(prior / (1 - prior)))
-    if pos[2] and unl:
-        rng, fits = np.random.default_rng(seed), []
-        for _ in range(members):
-            part = [unl[i] for i in np.sort(rng.permutation(len(unl))[:max(1, len(unl) * 4 // 5)])]
-            fits.append(fit_nnpu(pos, _as_csr(part, len(known)), len(known), prior))
-        w, b = np.mean([f[0] for f in fits], axis=0), float(np.mean([f[1] for f in fits]))
+    if pos[2] and n_all:
+        slices = max(members, -(-int(n_all) // slice_rows))
+        dealt = F.pmod(F.xxhash64(F.coalesce("_id", F.xxhash64("_text"))), F.lit(slices)).cast("int")
+        lists = (base.select("_text", dealt.cast("long").alias("_id"), F.lit(False).alias("_p"))
+                 .mapInArrow(_feature_lists(held), "id long, positive boolean, at binary")
+                 .groupBy("id", "at").agg(F.count(F.lit(1)).alias("n")))
+        fits = (lists.repartition(min(slices, store.shuffle_partitions(spark) * 8), "id").groupBy("id")
+                .applyInPandas(_fit_slice(sc.broadcast(pos), len(known), prior), sums.DENSE))
+        total = sums.tree_summed(fits, len(known) + 2, "float64", parts=slices)
+        w, b = total[:-2] / total[-1], total[-2] / total[-1]
     row, rest = store.packed(docs, [text_col, "score"])
     frame = docs.select(text, row)
     out = frame.mapInArrow(_score(sc.broadcast((known, w, b))), frame.select("row").schema.add("score", "double"))

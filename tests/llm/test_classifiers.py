@@ -120,3 +120,96 @@ def test_toxic_markers_are_chosen_by_z_not_by_frequency(spark):
     from pyspark.sql import functions as F
     got = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels, F.lit(True), max_features=20).collect()}
     assert min(got[i] for i in range(24, 30)) > max(got[i] for i in range(60, 300))
+
+
+# ---- dense versions of both classifiers ------------------------------------------------------
+
+def plain_terms(text, dims):
+    """Counts of op9's terms of one text, word by word."""
+    from bidscope.llm.quality import _KIND, _SHAPES
+    out, before = np.zeros(dims), None
+    one = lambda x: int(K.span_hashes(K.byte_sums(np.frombuffer(x, np.uint8)), np.array([0]), np.array([len(x)]))[0])
+    for w in (text or "").encode().split():
+        kinds = [int(_KIND[w[i]]) for i in (0, len(w) // 2, -1)]
+        out[((kinds[0] * 5 + kinds[1]) * 5 + kinds[2]) * 4 + min(len(w) // 5, 3)] += 1
+        out[_SHAPES + (w == before)] += 1
+        out[_SHAPES + 2 + one(w[-3:]) % (dims - _SHAPES - 2)] += 1
+        before = w
+    return out
+
+
+def test_quality_equals_a_dense_version(spark):
+    """op9 step by step with whole matrices: counts, IDF, one random product, eigenvectors, cosines, vote."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(9001, None), (9002, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dims, rank, width, k = 2048, 32, 40, 25
+    got = {r["doc_id"]: r["score"] for r in score_quality(docs, labels, fold(5) != 0).collect()}
+    counts = np.array([plain_terms(t, dims) for _, t in rows])
+    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1
+    x = np.sqrt(counts) * idf
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    basis, _ = leading_directions(x.T @ (x @ random_matrix(dims, width, 9)), random_matrix(dims, width, 9), rank)
+    z = x @ basis
+    size = np.linalg.norm(z, axis=1, keepdims=True)
+    z = z / np.where(size > 1e-6, size, np.inf)
+    of = {r["doc_id"]: float(r["quality"]) for r in labels.where(fold(5) != 0).where("quality is not null").collect()}
+    at = [i for i, (d, _) in enumerate(rows) if d in of]
+    y = np.array([of[rows[i][0]] for i in at])
+    k = max(1, min(k, int(min((y > 0.5).sum(), (y <= 0.5).sum()))))
+    half = np.where(y > 0.5, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    far = 0
+    for i, (d, _) in enumerate(rows):
+        sim = z[at] @ z[i]
+        near = np.argsort(-sim, kind="stable")[:k]
+        weight = np.maximum(sim[near], 0) * half[near]
+        want = (weight @ y[near] + y.mean()) / (weight.sum() + 1)
+        far += abs(want - got[d]) > 0.02       # float32 cosines may swap the last of equal neighbours
+    assert far <= 0.02 * len(rows)
+
+
+def test_toxicity_equals_a_dense_version(spark):
+    """op10 with sets of words and whole matrices: candidates, z, slices, risk, mean."""
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(400)])
+    rows, y = [], {}
+    for i in range(500):
+        ws = list(rng.choice(words, rng.integers(3, 40)))
+        if i % 6 == 0:
+            ws += list(rng.choice(["vilest-thing", "Scummy", "rottenness"], 2))
+        rows.append((i, " ".join(ws)))
+        if i % 2 == 0:
+            y[i] = int(i % 6 == 0)
+    rows += [(900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(list(y.items()), "doc_id long, toxic int")
+    learn = F.col("doc_id") % 5 != 0
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels, learn, slice_rows=120).collect()}
+
+    def bag(text):
+        out = set()
+        for w in "".join(c.lower() if c.isalnum() or ord(c) > 126 or c.isspace() else " " for c in text or "").split():
+            out |= {(0, w)} | {(n, w[:n]) for n in (6, 8) if len(w) >= n}
+        return out
+
+    bags = {i: bag(t) for i, t in rows}
+    base = [i for i, _ in rows if i % 5]
+    pos = [i for i in base if y.get(i) == 1]
+    prior = np.mean([v for i, v in y.items() if i % 5])
+    count = lambda of: {f: sum(f in bags[i] for i in of) for f in set().union(*(bags[i] for i in pos))}
+    in_pos, in_all = count(pos), count(base)
+    z = {}
+    for f, n in in_pos.items():
+        if n >= 3:
+            p, u = (n + .5) / (len(pos) + 1), (in_all[f] + .5) / (len(base) + 1)
+            z[f] = (p - u) / np.sqrt(u * (1 - u) / len(pos))
+    kept = sorted(f for f in z if abs(z[f]) >= 4)
+    assert 3 <= len(kept) < 100
+    x = {i: np.array([f in bags[i] for f in kept], float) for i, _ in rows}
+    slices = max(3, -(-len(base) // 120))
+    of = {r["doc_id"]: r["s"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(slices)).alias("s")).collect()}
+    csr = lambda ids: (*np.nonzero(np.array([x[i] for i in ids])), len(ids))
+    fits = [fit_nnpu(csr(pos), csr([i for i in base if of[i] == s]), len(kept), prior) for s in range(slices)]
+    w, b = np.mean([f[0] for f in fits], axis=0), np.mean([f[1] for f in fits])
+    for i, _ in rows:
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(x[i] @ w + b))), abs=1e-6)
