@@ -29,10 +29,22 @@ from bidscope.llm import store
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: (first code point, end, step, width): of every ``step`` code points ``width`` are in the quarter.
+#: Scripts of small blocks alternate closely, those of large ones by ranges.
+_QUARTERS = ((0x20, 0x250, 4, 1), (0x250, 0x600, 4, 1), (0x600, 0x2000, 16, 4), (0x2000, 0x10000, 256, 64))
+
+
 def chunk_pattern(min_chunk: int = 512, max_chunk: int = 4096) -> str:
-    """Java pattern of one chunk: content-defined cut, else a forced one or the rest."""
-    quarter = "".join(f"\\x{{{c:x}}}" for c in range(0x20, 0x250) if c % 4 == 1)
-    return f"(?s).{{{min_chunk},{max_chunk}}}?(?<=[{quarter}]{{3}})|.{{1,{max_chunk}}}"
+    """Java pattern of one chunk: content-defined cut, else a forced one or the rest.
+
+    Each script's part of the quarter stands behind a test of its range, so a character is only
+    compared with its own.
+    """
+    parts = []
+    for first, end, step, width in _QUARTERS:
+        own = "".join(f"\\x{{{c:x}}}" + (f"-\\x{{{c + width - 1:x}}}" if width > 1 else "") for c in range(first + 1, end, step))
+        parts.append(own if first == 0x20 else f"[\\x{{{first:x}}}-\\x{{{end - 1:x}}}&&[{own}]]")
+    return f"(?s).{{{min_chunk},{max_chunk}}}?(?<=[{''.join(parts)}]{{3}})|.{{1,{max_chunk}}}"
 
 
 def recipes(docs: DataFrame, id_col: str, text_col: str, min_chunk: int, max_chunk: int) -> DataFrame:
