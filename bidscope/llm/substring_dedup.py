@@ -23,9 +23,10 @@ not make a group: its windows are grouped one by one, by hash of window and
 representative, so they spread over all tasks.
 
 The merged sketch is the only broadcast: its bitmaps follow the text but never
-pass ``max_sketch_mb``, and of its cells that reach ``hot`` there is a list.  Past
-that bound estimates get looser and step 3 sends more windows, more of them one
-by one; the result stays the same and the cost linear.
+pass ``max_sketch_mb``, and of its cells that reach ``hot``, and well above the mean
+of all, there is a list.  Past that bound estimates get looser and step 3 sends more
+windows, in the end all of them (8 bytes a word); the result stays the same and
+the cost linear.
 
 Cases: null or empty text has no words; a text with under ``k`` words loses
 none; rows that repeat an id and its text are one document and share their
@@ -62,6 +63,8 @@ def _cells(rep: np.ndarray, depth_bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _BLOCK_BITS = 18
+#: How far a cell must stand above the mean count to be called often; at most one in so many does.
+_ABOVE_MEAN = 256
 
 
 def _sketch_parts(k: int, gram: int, bits: int):
@@ -136,6 +139,8 @@ def repeat_sketch(texts: DataFrame, k: int, gram: int, max_sketch_mb: int, hot:
     want = max(1, n_bytes * 4 // 36)        # about four cells a representative
     most = int(max_sketch_mb * 8 * 2 ** 20 // 2).bit_length() - 1
     bits = max(_BLOCK_BITS, min(max(20, int(want).bit_length()), most))
+    # a cell is often only well above the mean of all, so the list of such cells is a small share of the sketch
+    hot = max(hot, _ABOVE_MEAN * (n_bytes // 36) >> bits)
     parts = texts.select("text").mapInArrow(
         _sketch_parts(k, gram, bits), "block long, once binary, twice binary, times binary")
     n = store.shuffle_partitions(spark)

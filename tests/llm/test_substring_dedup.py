@@ -80,3 +80,18 @@ def test_windows_around_a_hot_phrase_spread(spark, rng):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     for hot in (1, 8, 10 ** 9):
         assert {r[0]: tuple(r)[1:] for r in substring_dedup(df, hot=hot).collect()} == brute(rows, 20)
+
+
+def test_a_full_sketch_changes_nothing_but_the_route(spark, corpus, docs, monkeypatch):
+    """So few cells that nearly all count as repeated: the same result, and a bounded list of often seen cells."""
+    from bidscope.llm import store, substring_dedup as module
+    want = {r[0]: tuple(r)[1:] for r in substring_dedup(docs).collect()}
+    monkeypatch.setattr(module, "_BLOCK_BITS", 8)
+    assert {r[0]: tuple(r)[1:] for r in substring_dedup(docs, max_sketch_mb=0).collect()} == want == brute(corpus, 20)
+    texts = store.keyed(docs)
+    n_bytes = sum(len((t or "").encode()) for _, t in corpus)
+    bits, maps, often = module.repeat_sketch(texts, 20, 10, 0, 1, n_bytes)
+    assert bits == 8 and sum(bin(int(x)).count("1") for x in maps[0]) > 200
+    assert all(len(x) <= 256 for x in often)
+    monkeypatch.setattr(module, "_ABOVE_MEAN", 4)
+    assert all(len(x) <= 64 for x in module.repeat_sketch(texts, 20, 10, 0, 1, n_bytes)[2])
