@@ -31,6 +31,26 @@ def distinct_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  .na.fill(0)
 
 
+#: Fixed value: relative standard error of a HyperLogLog sketch of 2**k registers is about this over 2**(k/2).
+HLL_ERROR = 1.04
+
+
+def distinct_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), lg_k: int = 12) -> DataFrame:
+    """A4, approximate: (group, column, sketch) of a HyperLogLog sketch of each column's values.
+
+    Sketches are a few kilobytes whatever the data, are built in the tasks and can be kept
+    with each part of a table and merged later (``union_distinct``).
+    """
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols])
+    values = df.select(*by, F.explode(each).alias("e")).select(*by, "e.column", "e.v").where("v is not null")
+    return values.groupBy(*by, "column").agg(F.hll_sketch_agg("v", F.lit(lg_k)).alias("sketch"))
+
+
+def union_distinct(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(group, column, n_distinct) estimated from the union of kept sketches."""
+    return sketches.groupBy(*by, "column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: Sequence[int] = LABELS) -> DataFrame:
     """A5: long form (actual, predicted, n) over all label pairs, zeros

@@ -406,6 +406,21 @@ def q_a4(offers):
     return A.distinct_count(offers, ["CompetitionName", "ProductId", "MarketplaceId", "SellerId"])
 
 
+_SKETCHED = ["CompetitionName", "ProductId", "MarketplaceId", "SellerId"]
+
+
+@query("a4_sketched_distinct", "\nunion all\n".join(
+    f"select '{c}' as \"column\", count(distinct {c}) as n_values, true as within_four_errors from offers" for c in _SKETCHED))
+def q_a4_sketched(offers):
+    """A4 approximate: sketches kept per market, merged on read, within four standard errors of the count."""
+    kept = A.distinct_sketches(offers, _SKETCHED, ["MarketplaceId"])
+    exact = A.distinct_count(offers, _SKETCHED)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"distinct_{c}").alias("n_values")) for c in _SKETCHED]))
+    bound = 4 * A.HLL_ERROR / 2 ** 6
+    return (exact.select(each.alias("e")).select("e.*").join(A.union_distinct(kept), "column")
+            .select("column", "n_values", (F.abs(F.col("n_distinct") - F.col("n_values")) <= F.lit(bound) * F.col("n_values")).alias("within_four_errors")))
+
+
 @query("a8_describe", f"""
 with {LANDED_SQL}
 select MarketplaceId, count(LandedPrice) as count, round(avg(LandedPrice), {R}) as mean,

@@ -99,6 +99,8 @@ def model_registry(spark: SparkSession, root: str, market: str | None = None,
                    clf: int = ALL_CLASSIFIERS) -> DataFrame:
     """Newest saved model per (market, classifier); 7 = all."""
     rows = [tuple(json.loads(x)) for x in ManifestLog(spark, f"{root}/_registry").read()]     # one per saved model
+    if not rows:
+        raise FileNotFoundError(f"no model is registered in {root}")
     reg = spark.createDataFrame(rows, "market string, clf int, ts long, path string")
     if market is not None:
         reg = reg.where(F.col("market") == market)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.functions.scalars import file_stem, flag, is_customer, seconds_since_2016
+from bidscope.session import cut_lineage
 
 HEADER_SCHEMA = "SellerId string"
 TRIGGER_SCHEMA = "MarketplaceId string, ASIN string, TimeOfOfferChange string"
@@ -47,8 +48,12 @@ def _section(text: Column, tag: str) -> Column:
     return F.regexp_extract(text, rf"(?s)(<{tag}\b[^>]*>.*?</{tag}>)", 1)
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """S3: every ``*.xml`` under ``path`` (recursively), one row per file."""
+def read_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S3: every ``*.xml`` under ``path`` (recursively), one row per file.
+
+    Spark packs files to tasks by size (``spark.sql.files.maxPartitionBytes``), so very
+    many small ones make few tasks.
+    """
     return (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.xml").text(path)
             .select(F.col("value").alias("xml"), F.col("_metadata.file_path").alias("path")))
@@ -119,3 +124,43 @@ def parse_notifications(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_notifications(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Folder of notification XML -> (offers, quarantined files)."""
     return parse_notifications(read_files(spark, path))
+
+
+LEDGER = "path string, length long, modified timestamp"
+
+
+class NotificationLedger:
+    """S1 again and again over one growing folder: files that were read are not read again.
+
+    The ledger is an ``EpochTable`` of (path, length, modification time) in ``root``.
+    ``new_files`` lists the folder and leaves out what the ledger has; ``commit`` adds files
+    once their offers are written.  A file that was written anew is read again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, root: str):
+        from bidscope.streaming.tables import EpochTable
+        self.spark, self.folder = spark, folder
+        self.table = EpochTable(spark, root, T._parse_datatype_string(LEDGER), ["path"])
+
+    def listed(self) -> DataFrame:
+        """All ``*.xml`` of the folder; file contents are not opened."""
+        return (self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml")
+                .load(self.folder).select("path", "length", F.col("modificationTime").alias("modified")))
+
+    def new_files(self) -> DataFrame:
+        return self.listed().join(self.table.read(), ["path", "length", "modified"], "left_anti")
+
+    def read_new(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(offers, quarantine, files) of the files that are new; pass ``files`` to ``commit``."""
+        files = cut_lineage(self.new_files())
+        paths = [r["path"] for r in files.select("path").toLocalIterator()]      # file names, as Spark's own listing
+        if not paths:
+            empty = self.spark.createDataFrame([], "xml string, path string")
+            return (*parse_notifications(empty), files)
+        return (*parse_notifications(read_files(self.spark, paths)), files)
+
+    def commit(self, files: DataFrame) -> bool:
+        """Note ``files`` as read; False when there are none."""
+        if files.isEmpty():
+            return False
+        return self.table.write(files, self.table.last_epoch() + 1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.operators.metrics import market_sizes
-from bidscope.schema import MARKET, OFFER_SCHEMA
+from bidscope.schema import AUCTION, MARKET, OFFER_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
@@ -81,10 +81,29 @@ def read_markets(spark: SparkSession, path: str, markets: list[str] | None = Non
 
 
 def write_feature_frame(df: DataFrame, path: str, market_col: str = MARKET,
-                        mode: str = "overwrite") -> None:
-    """Per-market training frame, partitioned by market."""
+                        mode: str = "errorifexists", files: int = 8) -> None:
+    """Per-market training frame, partitioned by market.
+
+    Each market is dealt to ``files`` tasks by auction, so its files are neither one nor
+    one per task, and an auction is in one file.
+    """
     _guard(df, path)
-    df.write.mode(mode).partitionBy(market_col).parquet(path)
+    key = F.xxhash64(AUCTION) if AUCTION in df.columns else F.xxhash64(*df.columns)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, F.col(market_col), F.pmod(key, F.lit(files))).write.mode(mode).partitionBy(market_col).parquet(path)
+
+
+def write_by_auction(df: DataFrame, table: str, buckets: int, path: str | None = None, mode: str = "errorifexists") -> None:
+    """S8 by auction: a table of ``buckets`` buckets of auctions, sorted by auction, one file each.
+
+    Read with ``spark.table``, its windows and aggregates by auction (W*, R2) need no
+    exchange and no sort.  ``path`` names the folder of the files, else the warehouse.
+    """
+    if path is not None:
+        _guard(df, path)
+    w = (df.repartition(buckets, AUCTION).sortWithinPartitions(AUCTION).write.mode(mode)
+         .bucketBy(buckets, AUCTION).sortBy(AUCTION).format("parquet"))
+    (w if path is None else w.option("path", path)).saveAsTable(table)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

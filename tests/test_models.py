@@ -146,3 +146,28 @@ def test_writers_at_once_are_both_registered(spark, frame):
     found = {r["market"]: r["path"] for r in store.model_registry(spark, root).collect()}
     assert set(found) == set("XYZ") and set(found.values()) <= set(paths)
     assert all(store.load_model(spark, p)["features"] == list(FEATURES) for p in found.values())
+
+
+def test_models_of_shared_passes_equal_single_fits(spark, frame, monkeypatch):
+    """Coefficients and class scores are those of one fit each; scans do not grow with the models."""
+    from bidscope.operators import many
+    from bidscope.operators.many import Spec, fit_many, scores_many
+    fold = F.pmod(F.xxhash64("CompetitionName"), F.lit(3))
+    specs = [Spec(fold != 0), Spec(fold != 1), Spec(F.lit(True), [0, 2]), Spec(F.lit(True))]
+    passes, plain = [], many._pass
+    monkeypatch.setattr(many, "_pass", lambda *a: passes.append(1) or plain(*a))
+    fits = fit_many(frame, FEATURES, specs)
+    assert len(passes) == fits[0].iterations + 1 <= 20
+    chosen = [frame.where(fold != 0), frame.where(fold != 1), frame, frame]
+    for spec, fit, rows in zip(specs, fits, chosen):
+        feats = [FEATURES[i] for i in (spec.columns or range(len(FEATURES)))]
+        model = M.train(rows, 2, feats)["model"]
+        own = [fit.coef[FEATURES.index(c)] for c in feats]
+        assert np.allclose(own, model.coefficients.toArray(), rtol=2e-3, atol=2e-3) and abs(fit.intercept - model.intercept) < 5e-3
+        assert all(fit.coef[i] == 0 for i in range(len(FEATURES)) if FEATURES[i] not in feats)
+    got = {(r["model"], r["label"]): r["f1"] for r in scores_many(frame, "abcd", [f.probability(FEATURES) for f in fits]).collect()}
+    for name, spec, rows in zip("abcd", specs, chosen):
+        feats = [FEATURES[i] for i in (spec.columns or range(len(FEATURES)))]
+        _, scores = M.evaluate(M.train(rows, 2, feats), frame)
+        for r in scores.collect():
+            assert got[name, r["label"]] == pytest.approx(r["f1"], abs=0.02)

@@ -184,3 +184,59 @@ def test_writers_round_trip_and_guard(spark, offers):
     T.write_table(small, f"{d}/table")
     with pytest.raises(ValueError):
         T.write_table(T.read_table(spark, f"{d}/table"), f"{d}/table")
+
+
+def test_files_that_were_read_are_not_read_again(spark):
+    """S1 with a ledger: the second run reads the new files only, the third none."""
+    from bidscope.sources.notifications import NotificationLedger
+    import shutil
+    root, _ = _tree()
+    ledger = NotificationLedger(spark, root, tempfile.mkdtemp(prefix="bidscope-ledger-"))
+    offers, bad, files = ledger.read_new()
+    want, want_bad = read_notifications(spark, root)
+    assert offers.exceptAll(want).count() == 0 and offers.count() == want.count() and bad.count() == want_bad.count()
+    n = files.count()
+    assert n > 2 and ledger.commit(files)
+    offers, _, files = ledger.read_new()
+    assert files.count() == 0 and offers.count() == 0 and not ledger.commit(files)
+    one = next(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f == "good1.xml")
+    shutil.copy(one, one.replace("good1", "good9"))
+    offers, _, files = ledger.read_new()
+    assert [r["path"].rsplit("/", 1)[1] for r in files.collect()] == ["good9.xml"]
+    assert {r[0] for r in offers.select("CompetitionName").distinct().collect()} == {"good9"}
+    assert {f.rsplit("/", 1)[1] for f in offers.inputFiles()} == {"good9.xml"}
+    assert ledger.commit(files) and ledger.new_files().count() == 0
+
+
+def test_table_by_auction_needs_no_exchange(spark, offers):
+    """S8 by auction: windows of the auction read the stored frame without a shuffle."""
+    from bidscope.operators import features as W
+    from bidscope.operators.reprice import auction_context
+    from bidscope.functions.scalars import landed_price
+    from bidscope.sources import tables as T
+    name, path = "offers_by_auction", tempfile.mkdtemp(prefix="bidscope-buckets-")
+    T.write_by_auction(offers, name, 6, f"{path}/t")
+    try:
+        stored = spark.table(name)
+        assert stored.count() == offers.count() and len([f for f in os.listdir(f"{path}/t") if f.endswith(".parquet")]) <= 6
+        for df in (W.auction_features(landed_price(stored), with_platform=False), auction_context(stored),
+                   stored.groupBy("CompetitionName").count()):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        a, b = (auction_context(x).select("l_orderkey", "l_linenumber", "lo", "hi", "mid") for x in (stored, offers))
+        assert a.exceptAll(b).count() == 0
+    finally:
+        spark.sql(f"drop table if exists {name}")
+
+
+def test_sketches_of_parts_add_up(spark, offers):
+    from bidscope.operators import metrics as A
+    cols = ["CompetitionName", "SellerId"]
+    kept = A.distinct_sketches(offers, cols, ["MarketplaceId"])
+    got = {r["column"]: r["n_distinct"] for r in A.union_distinct(kept).collect()}
+    whole = {r["column"]: r["n_distinct"] for r in A.union_distinct(A.distinct_sketches(offers, cols)).collect()}
+    exact = A.distinct_count(offers, cols).first()
+    for c in cols:
+        n = exact[f"distinct_{c}"]
+        assert abs(got[c] - n) <= 4 * A.HLL_ERROR / 64 * n and abs(whole[c] - n) <= 4 * A.HLL_ERROR / 64 * n
+    per = A.union_distinct(kept, ["MarketplaceId"])
+    assert per.count() == 2 * offers.select("MarketplaceId").distinct().count()
