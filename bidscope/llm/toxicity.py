@@ -190,7 +190,7 @@ def _as_csr(rows, known_n):
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positive: int = 4096,
                    slice_rows: int = 16384, max_features: int = 8192, min_df: int = 3, z_least: float = 4.0,
-                   members: int = 3, class_prior: float | None = None, id_col: str = "doc_id",
+                   members: int = 1, class_prior: float | None = None, id_col: str = "doc_id",
                    text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """``docs`` without its text, plus ``score`` (probability of label 1).
 

@@ -206,7 +206,7 @@ def test_toxicity_equals_a_dense_version(spark):
     kept = sorted(f for f in z if abs(z[f]) >= 4)
     assert 3 <= len(kept) < 100
     x = {i: np.array([f in bags[i] for f in kept], float) for i, _ in rows}
-    slices = max(3, -(-len(base) // 120))
+    slices = max(1, -(-len(base) // 120))
     of = {r["doc_id"]: r["s"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(slices)).alias("s")).collect()}
     csr = lambda ids: (*np.nonzero(np.array([x[i] for i in ids])), len(ids))
     fits = [fit_nnpu(csr(pos), csr([i for i in base if of[i] == s]), len(kept), prior) for s in range(slices)]
