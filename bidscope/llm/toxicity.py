@@ -125,6 +125,29 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+class _Rows:
+    """0/1 features in row order and in column order, to be added up along either."""
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, n: int, n_features: int):
+        self.n, self.n_features = n, n_features
+        by_row, by_column = np.argsort(row, kind="stable"), np.argsort(column, kind="stable")
+        self.column, self.row = column[by_row], row[by_column]
+        self.rows, self.row_at = np.unique(row[by_row], return_index=True)
+        self.columns, self.column_at = np.unique(column[by_column], return_index=True)
+
+    def sums(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.rows):
+            out[self.rows] = np.add.reduceat(w[self.column], self.row_at)
+        return out
+
+    def column_sums(self, slope: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n_features)
+        if len(self.columns):
+            out[self.columns] = np.add.reduceat(slope[self.row], self.column_at)
+        return out
+
+
 def fit_nnpu(pos, unl, n_features: int, prior: float, steps: int = 400, rate: float = 0.05,
              decay: float = 1e-4, gamma: float = 1.0, weight: np.ndarray | None = None):
     """(weights, bias) of the non-negative PU risk; ``pos`` and ``unl`` are
@@ -134,18 +157,20 @@ def fit_nnpu(pos, unl, n_features: int, prior: float, steps: int = 400, rate: fl
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     share = np.full(unl[2], 1 / max(unl[2], 1)) if weight is None else weight / weight.sum()
 
+    pos, unl = _Rows(*pos, n_features), _Rows(*unl, n_features)
+
     def scores(part):
-        return np.bincount(part[0], w[part[1]], part[2]) + b
+        return part.sums(w) + b
 
     def back(part, slope):
-        return np.append(np.bincount(part[1], slope[part[0]], n_features), slope.sum())
+        return np.append(part.column_sums(slope), slope.sum())
 
     for step in range(1, steps + 1):
         fp, fu = scores(pos), scores(unl)
         # logistic loss: l(f) = log(1 + exp(-f)), slopes of l(f) and of l(-f)
-        up = back(pos, -_sigmoid(-fp) * prior / pos[2])
+        up = back(pos, -_sigmoid(-fp) * prior / pos.n)
         neg = (np.logaddexp(0, fu) @ share - prior * np.logaddexp(0, fp).mean())
-        down = back(unl, _sigmoid(fu) * share) - back(pos, _sigmoid(fp) * prior / pos[2])
+        down = back(unl, _sigmoid(fu) * share) - back(pos, _sigmoid(fp) * prior / pos.n)
         grad = up + down if neg >= 0 else -gamma * down
         grad[:-1] += decay * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
@@ -234,7 +259,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_positi
         lists = (base.select("_text", dealt.cast("long").alias("_id"), F.lit(False).alias("_p"))
                  .mapInArrow(_feature_lists(held), "id long, positive boolean, at binary")
                  .groupBy("id", "at").agg(F.count(F.lit(1)).alias("n")))
-        fits = (lists.repartition(min(slices, store.shuffle_partitions(spark) * 8), "id").groupBy("id")
+        # by range: neighbouring slices in one task, none left with several by chance
+        fits = (lists.repartitionByRange(min(slices, store.shuffle_partitions(spark) * 8), "id").groupBy("id")
                 .applyInPandas(_fit_slice(sc.broadcast(pos), len(known), prior), sums.DENSE))
         total = sums.tree_summed(fits, len(known) + 2, "float64", parts=slices)
         w, b = total[:-2] / total[-1], total[-2] / total[-1]
