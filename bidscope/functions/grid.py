@@ -20,6 +20,25 @@ def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row.
+
+    A column that a function of an array's elements names may be put into that
+    function by the optimizer, and is then computed for every element.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def exploded(df, array: str, keep, pos: str = "pos", value: str = "value"):
+    """``keep`` with ``posexplode(array)``, the array computed once a row.
+
+    An inner explode gets a filter on the array's size, which the optimizer pushes down
+    with all that computes the array, many times over where later steps use earlier ones
+    more than once.  The outer form has none; rows without elements go afterwards.
+    """
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 def linspace(a, b, n) -> Column:
     """G1: n evenly spaced points from a to b, both ends included.
 
@@ -51,8 +70,8 @@ def grid_cents(x) -> Column:
 
 
 def unique_sorted(arr: Column) -> Column:
-    """U4: distinct values, ascending."""
-    return F.array_sort(F.array_distinct(arr))
+    """U4: distinct values, ascending (in the values' own order: no comparison per pair is interpreted)."""
+    return F.sort_array(F.array_distinct(arr))
 
 
 def price_bounds(status, customer_price, winner_price, min_price) -> Column:
@@ -72,15 +91,12 @@ def price_bounds(status, customer_price, winner_price, min_price) -> Column:
     return F.struct(lo.alias("lo"), hi.alias("hi"), w.alias("mid"))
 
 
-def grid_from_raw(lo, mid, hi, raw) -> Column:
-    """G5 from the branch's raw log-spaced points (see ``with_price_grid``)."""
+def grid_from_base(lo, mid, hi, base, pivot) -> Column:
+    """G5 from the branch's distinct prices and the smallest of them (see ``with_price_grid``)."""
     lo, mid, hi = _lit(lo), _lit(mid), _lit(hi)
-    base = unique_sorted(F.transform(_lit(raw), grid_cents))
-    pivot = F.array_min(base)
     mirror = F.transform(F.filter(base, lambda e: ((pivot - (e - pivot)) >= lo) & (e != lo)),
                          lambda e: pivot - (e - pivot))
-    both = unique_sorted(F.concat(mirror, base))
-    return F.when((lo == mid) | (mid == hi), base).otherwise(both)
+    return F.when((lo == mid) | (mid == hi), base).otherwise(unique_sorted(F.concat(mirror, base)))
 
 
 def with_price_grid(df, lo: str = "lo", mid: str = "mid", hi: str = "hi", out: str = "grid",
@@ -92,15 +108,20 @@ def with_price_grid(df, lo: str = "lo", mid: str = "mid", hi: str = "hi", out: s
     mid = hi: 50 log-spaced points from lo to hi.
     otherwise: 50 log-spaced points from mid to hi plus their mirror
     images below the smallest of them, kept while >= lo.
-    One log-spaced array per row (the branch picks its ends and size), then
+    One log-spaced array per row (G2 between the branch's ends), then
     rounding (``grid_cents``), distinct, mirror and sort, all as JVM expressions.
     """
     lo_c, mid_c, hi_c = F.col(lo), F.col(mid), F.col(hi)
     start = F.when(lo_c == mid_c, mid_c).when(mid_c == hi_c, lo_c).otherwise(mid_c)
     n = F.when(lo_c == mid_c, F.lit(POINTS_UP_ONLY)).otherwise(F.lit(POINTS_DEFAULT))
-    raw = df.withColumn("_raw_grid", F.when(_lit(only), logspace(start, hi_c, n)))
-    grid = F.when(_lit(only), grid_from_raw(lo_c, mid_c, hi_c, F.col("_raw_grid")))
-    return raw.withColumn(out, grid).drop("_raw_grid")
+    a, b = F.log10(start), F.log10(hi_c)
+    ends = F.struct(a.alias("a"), b.alias("b"), (n - 1).alias("last"), ((b - a) / (n - 1).cast("double")).alias("step"))
+    cents = once(ends, lambda e: F.transform(F.sequence(F.lit(0), e["last"]), lambda i: grid_cents(F.pow(
+        F.lit(10.0), F.when(i == e["last"], e["b"]).otherwise(i.cast("double") * e["step"] + e["a"])))))
+    base = df.withColumn("_base", F.when(_lit(only), unique_sorted(cents)))
+    base = base.withColumn("_pivot", F.array_min("_base"))
+    grid = F.when(_lit(only), grid_from_base(lo_c, mid_c, hi_c, F.col("_base"), F.col("_pivot")))
+    return base.withColumn(out, grid).drop("_base", "_pivot")
 
 
 def split_range(lo, hi, current, steps, state) -> Column:
@@ -117,7 +138,11 @@ def split_range(lo, hi, current, steps, state) -> Column:
 
 def array_median(arr: Column) -> Column:
     """Median of a numeric array (mean of the two middle values if even)."""
-    srt = F.array_sort(arr)
+    return _middle(F.sort_array(arr))
+
+
+def _middle(srt: Column) -> Column:
+    """Median of a sorted array."""
     n = F.size(srt)
     lo = F.element_at(srt, ((n - 1) / 2).cast("int") + 1)
     hi = F.element_at(srt, (n / 2).cast("int") + 1)
@@ -136,9 +161,12 @@ def limit_prices(prices, current, state) -> Column:
     win:  max > c -> clip [c, max]; max = c -> clip [median, c];
           max < c -> split_range between max and c.
     """
-    arr = F.array_sort(_lit(prices))
-    c, s = _lit(current), _lit(state)
-    mn, mx, med, n = F.array_min(arr), F.array_max(arr), array_median(arr), F.size(arr)
+    arr = F.sort_array(_lit(prices))
+    return _limited(arr, F.array_min(arr), F.array_max(arr), array_median(arr), _lit(current), _lit(state))
+
+
+def _limited(arr: Column, mn: Column, mx: Column, med: Column, c: Column, s: Column) -> Column:
+    n = F.size(arr)
     lose = (F.when(mn < c, _clip_all(arr, mn, c))
              .when(mn == c, _clip_all(arr, c, med))
              .otherwise(split_range(c, mn, c, n, F.lit(-1))))
@@ -148,6 +176,16 @@ def limit_prices(prices, current, state) -> Column:
     return F.when(s == -1, lose).when(s == 1, win).otherwise(arr)
 
 
+def with_limited_prices(df, prices: str, current: str, state: str, out: str = "limited"):
+    """G7 as a column ``out``; the sorted list, its ends and its median are computed once a row
+    (``limit_prices`` is one expression that holds them many times)."""
+    rows = df.withColumn("_la", F.sort_array(prices))
+    rows = rows.withColumns({"_lmn": F.array_min("_la"), "_lmx": F.array_max("_la"), "_lmd": _middle(F.col("_la"))})
+    fixed = F.struct(*[F.col(x).alias(n) for x, n in (("_lmn", "mn"), ("_lmx", "mx"), ("_lmd", "med"), (current, "c"), (state, "s"))])
+    limited = once(fixed, lambda e: _limited(F.col("_la"), e["mn"], e["mx"], e["med"], e["c"], e["s"]))
+    return rows.withColumn(out, limited).drop("_la", "_lmn", "_lmx", "_lmd")
+
+
 def nearest(items, pivot) -> Column:
     """Element closest to ``pivot``; the first one wins ties."""
     p = _lit(pivot)

@@ -313,7 +313,7 @@ select CompetitionName, round(unnest(grid), {R}) as Price from g""")
 def q_j7(offers):
     """Lateral expansion of each auction's own grid into candidate rows."""
     c = G.with_price_grid(_context(offers))
-    return c.select(AUCTION, F.explode("grid").alias("Price"))
+    return G.exploded(c, "grid", [AUCTION], "pos", "Price").drop("pos")
 
 
 @query("g6_split_range", f"""
@@ -366,8 +366,8 @@ select CompetitionName, cast(pos as int) as pos, round(v, {R}) as value from e""
 def q_g7(offers):
     """Grid clipped around the customer price by win/lose status."""
     c = G.with_price_grid(_context(offers))
-    lim = G.limit_prices(F.col("grid"), F.col("CustomerPrice"), F.col("CustomerStatus"))
-    return c.select(AUCTION, F.posexplode(lim)).withColumnRenamed("col", "value")
+    c = G.with_limited_prices(c, "grid", "CustomerPrice", "CustomerStatus")
+    return G.exploded(c, "limited", [AUCTION])
 
 
 @query("g8_nearest", f"""
