@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.operators.reprice import POLY_DEGREE, reprice
+from bidscope.operators.reprice import POLY_DEGREE, product_history_min, reprice
 from bidscope.sources.notifications import parse_notifications
+from bidscope.session import cut_lineage
 from bidscope.streaming.tables import EpochTable
 
 DEDUP_KEYS = ("CompetitionName", "SellerId", "ListingPrice", "ShippingPrice",
@@ -75,11 +76,14 @@ def recommend_stream(offers: DataFrame, table: EpochTable, checkpoint: str, hist
     An auction is one notification, so none spans micro-batches; ``history`` gives the
     product minima of R2 (the offers of the batch by default; the table of T3 may
     serve).  The ledger of epochs is the table's own manifest, so a batch that is
-    replayed after a crash, before or after its commit, is in the table once.
+    replayed after a crash, before or after its commit, is in the table once.  The minima
+    of a given history are aggregated once, not by every micro-batch.
     """
+    minima = cut_lineage(product_history_min(history)) if history is not None else None
+
     def sink(batch: DataFrame, epoch: int) -> None:
         if epoch > table.last_epoch():
-            table.write(reprice(batch, history, prob, degree), epoch)
+            table.write(reprice(batch, history, prob, degree, minima), epoch)
 
     w = offers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
