@@ -171,3 +171,21 @@ def test_models_of_shared_passes_equal_single_fits(spark, frame, monkeypatch):
         _, scores = M.evaluate(M.train(rows, 2, feats), frame)
         for r in scores.collect():
             assert got[name, r["label"]] == pytest.approx(r["f1"], abs=0.02)
+
+
+def test_svm_keeps_no_second_copy_of_its_features(spark, frame, monkeypatch):
+    """The solver keeps its own blocks; D numbers a row must not be kept beside them."""
+    kept, plain = [], type(frame).persist
+    monkeypatch.setattr(type(frame), "persist", lambda self, *a: kept.append(self.columns) or plain(self, *a))
+    M.train(frame, 4, FEATURES)
+    assert kept == [["label", "features"]]
+
+
+def test_market_models_are_fit_at_the_same_time_and_equal_single_fits(frame, monkeypatch):
+    import threading
+    both, plain = threading.Barrier(2, timeout=60), M.train
+    monkeypatch.setattr(M, "train", lambda *a: both.wait() is not None and plain(*a))      # one after the other never meets
+    trained = M.train_markets(frame, ["X", "Y"], 2, FEATURES)
+    for market, clf in trained:
+        own = plain(frame.where(F.col("MarketplaceId") == market), clf, FEATURES, 0, M.MAX_DEPTH)["model"]
+        assert np.allclose(own.coefficients.toArray(), trained[market, clf]["model"].coefficients.toArray())
