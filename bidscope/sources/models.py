@@ -8,7 +8,7 @@ other's, so both are registered, and a reader never sees half a model.  The newe
 model per (market, classifier) is chosen with a window over the registry.
 
 Spark ML models are stored as a ``PipelineModel`` with their assembler;
-AdaBoost as a table of stumps, boosted trees as one of nodes; RBF-SVM as a table of its random features and
+AdaBoost as a table of stumps, forests and boosted trees as one of nodes; RBF-SVM as a table of its random features and
 two models; 3-NN as its training points.
 """
 
@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bidscope.operators.boosting import BoostedTreesModel
+from bidscope.operators.forest import RandomForestModel
 from bidscope.operators.models import AdaBoostModel, NearestNeighboursModel, RbfSvmModel, retrain
 from bidscope.schema import ALL_CLASSIFIERS
 from bidscope.sources.manifests import ManifestLog
 
 TREE = "tree int, node int, feature int, threshold double, value double"
+FOREST = "tree int, node int, feature int, threshold double, left int, share double, n double, gain double"
 STUMP = "position int, feature int, threshold double, left double, right double, alpha double"
 
 
@@ -49,6 +51,9 @@ def _write_model(spark: SparkSession, model, features: list[str], path: str) ->
     if isinstance(model, BoostedTreesModel):
         spark.createDataFrame(model.rows, TREE).write.parquet(path)
         return "boosted_trees"
+    if isinstance(model, RandomForestModel):
+        spark.createDataFrame(model.rows, FOREST).write.parquet(path)
+        return "forest"
     if isinstance(model, RbfSvmModel):
         rows = [(i, [float(x) for x in w], float(b)) for i, (w, b) in enumerate(zip(model.w, model.b))]
         spark.createDataFrame(rows, "position int, w array<double>, b double").write.parquet(f"{path}/random")
@@ -71,6 +76,8 @@ def _read_model(spark: SparkSession, kind: str, path: str):
         return AdaBoostModel([tuple(r)[1:] for r in rows])
     if kind == "boosted_trees":
         return BoostedTreesModel(spark.read.parquet(path).orderBy("tree", "node").collect())    # a few rows per tree
+    if kind == "forest":
+        return RandomForestModel(spark.read.parquet(path).orderBy("tree", "node").collect())    # one row a node
     if kind == "rbf_svm":
         rows = spark.read.parquet(f"{path}/random").orderBy("position").collect()   # one row per random feature
         return RbfSvmModel(np.array([r["w"] for r in rows]), np.array([r["b"] for r in rows]),
