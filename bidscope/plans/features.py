@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from bidscope.functions.scalars import (drop_if_present, landed_price, ship_hours_floor,
                                         text_code)
-from bidscope.operators.features import (PLATFORM, PRICE_STATS, auction_features, auction_order_split, auction_split_flags,
+from bidscope.operators.features import (PLATFORM, PRICE_STATS, auction_features, auction_split_flags,
                                          diff_from_stats, minmax, normalise_all,
                                          platform_seller, product_minima, product_price_stats)
 from bidscope.schema import (AUCTION, DIFF_MIN_PRODUCT, IDEAL_POINT, LANDED, LISTING, MARKET,
@@ -107,14 +107,16 @@ IS_TEST = "is_test"
 
 
 def train_test_frame(df: DataFrame, platform_dim: DataFrame, ratio: float = 0.3, time_col: str = "Time",
-                     keep: Sequence[str] = ()) -> DataFrame:
+                     keep: Sequence[str] = (), flags: DataFrame | None = None) -> DataFrame:
     """FP3 as one frame with the side of each row in ``is_test``.
 
     Auctions are whole on either side (W11), so everything by auction is built once
     for both.  Product statistics are one aggregate with a minimum and a maximum per side;
     test rows are compared with the minimum learned on train (J3), else with their own.
+    ``flags``: the sides of the auctions (W11) where they are known.
     """
-    flags = auction_split_flags(df, ratio, time_col)
+    if flags is None:
+        flags = auction_split_flags(df, ratio, time_col)
     tagged = df.join(flags, on=AUCTION, how="inner").drop(time_col)
     landed, test = F.col(LISTING) + F.col(SHIPPING), F.col(IS_TEST)
     ends = tagged.groupBy(PRODUCT).agg(F.min(F.when(~test, landed)).alias("_l0"), F.max(F.when(~test, landed)).alias("_h0"),
@@ -136,7 +138,8 @@ def train_test_features(df: DataFrame, platform_dim: DataFrame, ratio: float = 0
     """FP3: W11 split by auction order; product minima learned on train (A1)
     and applied to test (J3).  Returns (train, test, minima); the frame of both sides is
     computed once and cut off from its lineage."""
-    both = cut_lineage(train_test_frame(df, platform_dim, ratio, time_col, keep))
-    train, _ = auction_order_split(df, ratio, time_col)
+    flags = auction_split_flags(df, ratio, time_col)        # auctions are ranked once, for frame and minima
+    both = cut_lineage(train_test_frame(df, platform_dim, ratio, time_col, keep, flags))
+    train = df.join(flags.where(~F.col(IS_TEST)), on=AUCTION, how="inner")
     return (both.where(~F.col(IS_TEST)).drop(IS_TEST), both.where(IS_TEST).drop(IS_TEST),
             product_minima(landed_price(train)))
